@@ -21,8 +21,11 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value",
     if corrupt:
         fields.append(T.StructField(corrupt, T.StringType(), True))
         opts["columnNameOfCorruptRecord"] = corrupt
-    parsed = F.from_json(F.col(value), T.StructType(fields), opts).alias("_p")
-    return df.select(*keep, parsed).select(*keep, "_p.*")
+    parsed = F.from_json(F.col(value), T.StructType(fields), opts)
+    # ``inline`` of a one-element array makes the parse a Generate node: filters on the
+    # parsed fields stay above it, so each line is parsed once (a plain projection lets
+    # predicate pushdown inline ``from_json`` into every conjunct).
+    return df.select(*keep, F.inline(F.array(parsed)))
 
 
 def to_message(df: DataFrame, cols: list[str] | None = None, value: str = "value") -> DataFrame:
