@@ -39,8 +39,15 @@ def _seen(spark, path: str, days: list, batch_id: int) -> DataFrame | None:
     return t.where(F.col("log_date").isin(days) & (F.col("batch_id") != batch_id))
 
 
-def dau_batch(path: str, broadcast_max_rows: int | None = None):
-    """The ``foreachBatch`` function writing new daily-first devices to ``path``."""
+def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000):
+    """The ``foreachBatch`` function writing new daily-first devices to ``path``.
+
+    Seen check without shuffling the seen set: when the batch has at most
+    ``broadcast_max_rows`` keys (counted, the batch is cached), its keys are broadcast
+    into a left-semi join over the day partitions of the table (a parallel scan), which
+    yields the few already-seen keys; the anti join then runs against those. A larger
+    batch (an unbounded backfill) uses a plain shuffled anti join.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         logs = batch.where(F.col("mid").isNotNull() & F.col("log_date").isNotNull())
@@ -52,7 +59,14 @@ def dau_batch(path: str, broadcast_max_rows: int | None = None):
             if not days:
                 return
             seen = _seen(spark, path, days, batch_id)
-            new = firsts if seen is None else drop_seen(firsts, seen, KEYS, broadcast_max_rows)
+            if seen is None:
+                new = firsts
+            elif broadcast_max_rows is not None and firsts.count() <= broadcast_max_rows:
+                keys = firsts.select(*KEYS)
+                hit = seen.select(*KEYS).join(F.broadcast(keys), list(KEYS), "left_semi")
+                new = drop_seen(firsts, hit, KEYS)
+            else:
+                new = drop_seen(firsts, seen, KEYS)
             append_table(new, path, ["log_date"], batch_id)
         finally:
             firsts.unpersist()
@@ -61,7 +75,7 @@ def dau_batch(path: str, broadcast_max_rows: int | None = None):
 
 def dau_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                tz: str | None = None, mode: str = "table", watermark: str = "2 days",
-               broadcast_max_rows: int | None = None, quarantine: str | None = None):
+               broadcast_max_rows: int | None = 2_000_000, quarantine: str | None = None):
     """Start the daily dedup over a stream of startup-log JSON lines (``value``)."""
     parsed = with_metrics(parse_startup(logs, tz=tz), "dau_in")
     good = parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
