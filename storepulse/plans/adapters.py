@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A file made of one large row group is one task however big it is; the per-row work
+    pipelined after the scan (JSON, regular expressions) would then run on one core.
+    When the scan is split finely enough — any large table — this is a no-op and adds
+    no shuffle. Filters and column pruning still reach the scan below the repartition.
+    Used only in front of CPU-heavy per-row work (text regexes, JSON messages).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _ntz(day: str) -> Column:
     return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
 
@@ -70,7 +83,7 @@ def startup_records(spark: SparkSession, sf_dir: str, days=None, until=None) ->
 
 def startup_json(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Startup logs as JSON lines (``value``)."""
-    return to_message(startup_records(spark, sf_dir, days))
+    return to_message(spread(startup_records(spark, sf_dir, days)))
 
 
 def startup_logs(spark: SparkSession, sf_dir: str, days=None, until=None, tz: str = UTC) -> DataFrame:
@@ -104,7 +117,7 @@ def raw_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_view, F.lit(None)).otherwise(F.col("event_type")).alias("evid"),
         epoch_ms("ts").alias("ts"),
         F.col("event_id").alias("log_id"))
-    return to_message(rec)
+    return to_message(spread(rec))
 
 
 def order_rows(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
@@ -136,14 +149,14 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
 
 def order_messages(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Order rows as camelCase JSON messages with every value as text."""
-    rows = order_rows(spark, sf_dir, days)
+    rows = spread(order_rows(spark, sf_dir, days))
     as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     return to_message(camel_columns(as_text))
 
 
 def cdc_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change envelopes of ``order_info``: INSERT, or UPDATE for status ``F``; one row each."""
-    rows = order_rows(spark, sf_dir)
+    rows = spread(order_rows(spark, sf_dir))
     cols = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                      for c in rows.columns])
     env = rows.select(
@@ -205,5 +218,5 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFr
 
 def documents(spark: SparkSession, sf_dir: str, ascii_only: bool = True) -> DataFrame:
     """Documents (``doc_id, text``); ``ascii_only`` keeps rows without non-ASCII characters."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.where(~F.col("text").rlike("[^\\x00-\\x7F]")) if ascii_only else d

@@ -63,7 +63,7 @@ def parse_startup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_event_q(spark, sf_dir):
-    ev = parse_event(to_message(A.event_records(spark, sf_dir)))
+    ev = parse_event(to_message(A.spread(A.event_records(spark, sf_dir))))
     return ev.select("mid", "evid", "itemid", "ts")
 
 
@@ -190,7 +190,7 @@ def sale_partition_scan_q(spark, sf_dir):
     """Write the warehouse table by month, load one month into the index through the
     partition-pruned scan, read the loaded day back."""
     root = scratch_path(spark, "sale_load")
-    A.sale_rows(spark, sf_dir).write.partitionBy("dt").parquet(f"{root}/warehouse")
+    A.sale_rows(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/warehouse")
     load_sale_day(spark, f"{root}/warehouse", f"{root}/sale_detail", SALE_DT)
     return sale_scan(spark, f"{root}/sale_detail", SALE_DT).select(*SALE_SCAN_COLUMNS)
 
