@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import AGE_EDGES, pct1
-from ..functions.text import has_term, keyword_terms, match_all, term_count, token_count
+from ..functions.text import keyword_terms, match_all, term_count, token_count
+from ..session import scratch_root
 from .kpi import on_date
 
 # Group titles and option labels of the sale answer.
@@ -114,31 +115,39 @@ def sale_detail(sale: DataFrame, date: str, keyword: str | None, page_no: int =
 
 def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
               page_no: int = 1, size: int = 10, k1: float = 1.2, b: float = 0.75,
-              digits: int = 6) -> DataFrame:
+              digits: int = 6, materialize: bool = True) -> DataFrame:
     """Documents containing every keyword term, best BM25 score first: ``id, score``.
 
+    One pass over the text builds a narrow table (id, length, count of each term);
+    with ``materialize`` it is checkpointed to the shared checkpoint folder, so the text
+    is read and matched once and the statistics and the scores both come from it.
     Statistics (document count, average length, document frequency per term) are over
     the whole of ``docs``, not the hits: one global aggregate, used through scalar
-    subqueries. Scoring touches only the hits. ``idf = ln(1 + (N - n + 0.5)/(n + 0.5))``,
-    score rounded to ``digits``; ties by id.
+    subqueries. ``idf = ln(1 + (N - n + 0.5)/(n + 0.5))``, score rounded to ``digits``;
+    ties by id.
     """
     terms = keyword_terms(keyword)
     text = F.col(text_col)
     if not terms:
         return docs.where(F.lit(False)).select(F.col(id_col), F.lit(0.0).alias("score"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(token_count(text)).alias("avgdl"),
-                     *[F.count_if(has_term(text, t)).alias(f"df{i}") for i, t in enumerate(terms)])
+    narrow = docs.select(F.col(id_col), token_count(text).alias("_dl"),
+                         *[term_count(text, t).alias(f"_tf{i}") for i, t in enumerate(terms)])
+    if materialize:
+        scratch_root(docs.sparkSession)  # the cluster's checkpoint folder (set only if missing)
+        narrow = narrow.checkpoint(eager=True)
+    tfs = [F.col(f"_tf{i}") for i in range(len(terms))]
+    stats = narrow.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"),
+                       *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)])
     n = stats.select("n").scalar()
     avgdl = stats.select("avgdl").scalar()
-    hits = docs.where(match_all(text, keyword)).select(
-        F.col(id_col), token_count(text).alias("_dl"),
-        *[term_count(text, t).alias(f"_tf{i}") for i, t in enumerate(terms)])
+    all_terms = tfs[0] > 0
+    for tf in tfs[1:]:
+        all_terms = all_terms & (tf > 0)
     score = None
-    for i in range(len(terms)):
+    for i, tf in enumerate(tfs):
         dfi = stats.select(f"df{i}").scalar()
         idf = F.log(1 + (n - dfi + 0.5) / (dfi + 0.5))
-        tf = F.col(f"_tf{i}")
         part = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_dl") / avgdl))
         score = part if score is None else score + part
-    scored = hits.select(F.col(id_col), F.round(score, digits).alias("score"))
+    scored = narrow.where(all_terms).select(F.col(id_col), F.round(score, digits).alias("score"))
     return page(scored, page_no, size, [F.col("score").desc(), F.col(id_col)])
