@@ -18,12 +18,17 @@ from ..functions.scalars import add_log_time, camel_columns
 UTC = "UTC"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """One test table; ``heavy`` when CPU-heavy per-row work follows (see :func:`spread`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if heavy else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
+    """Round-robin a raw file scan that has fewer splits than the cluster has cores.
+
+    Only for a plain scan: its split count is known from the file listing, while asking
+    a plan with joins for its partition count would run the join stages.
 
     A file made of one large row group is one task however big it is; the per-row work
     pipelined after the scan (JSON, regular expressions) would then run on one core.
@@ -63,15 +68,15 @@ def epoch_ms(col: str) -> Column:
     return F.timestamp_diff("MILLISECOND", _ntz("1970-01-01"), F.col(col))
 
 
-def _events(spark, sf_dir, days=None, until=None) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def _events(spark, sf_dir, days=None, until=None, heavy=False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", heavy)
     p = day_range("ts", days, until)
     return ev.where(p) if p is not None else ev
 
 
-def startup_records(spark: SparkSession, sf_dir: str, days=None, until=None) -> DataFrame:
+def startup_records(spark: SparkSession, sf_dir: str, days=None, until=None, heavy=False) -> DataFrame:
     """Startup logs as posted and stamped: ``view`` events, device ``mid_<user>``."""
-    ev = _events(spark, sf_dir, days, until).where(F.col("event_type") == "view")
+    ev = _events(spark, sf_dir, days, until, heavy).where(F.col("event_type") == "view")
     return ev.select(
         F.lit("startup").alias("type"),
         F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
@@ -83,7 +88,7 @@ def startup_records(spark: SparkSession, sf_dir: str, days=None, until=None) ->
 
 def startup_json(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Startup logs as JSON lines (``value``)."""
-    return to_message(spread(startup_records(spark, sf_dir, days)))
+    return to_message(startup_records(spark, sf_dir, days, heavy=True))
 
 
 def startup_logs(spark: SparkSession, sf_dir: str, days=None, until=None, tz: str = UTC) -> DataFrame:
@@ -92,9 +97,9 @@ def startup_logs(spark: SparkSession, sf_dir: str, days=None, until=None, tz: st
     return add_log_time(r, "ts", tz)
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_records(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Event logs: every non-``view`` event, ``evid`` = event type, ``itemid`` from props."""
-    ev = _events(spark, sf_dir).where(F.col("event_type") != "view")
+    ev = _events(spark, sf_dir, heavy=heavy).where(F.col("event_type") != "view")
     return ev.select(
         F.lit("event").alias("type"),
         F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
@@ -108,7 +113,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a stamped log line (startup for ``view``, else event)."""
-    ev = _events(spark, sf_dir)
+    ev = _events(spark, sf_dir, heavy=True)
     is_view = F.col("event_type") == "view"
     rec = ev.select(
         F.when(is_view, F.lit("startup")).otherwise(F.lit("event")).alias("type"),
@@ -117,17 +122,17 @@ def raw_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_view, F.lit(None)).otherwise(F.col("event_type")).alias("evid"),
         epoch_ms("ts").alias("ts"),
         F.col("event_id").alias("log_id"))
-    return to_message(spread(rec))
+    return to_message(rec)
 
 
-def order_rows(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
+def order_rows(spark: SparkSession, sf_dir: str, days=None, heavy: bool = False) -> DataFrame:
     """Rows of ``order_info`` (snake_case, text timestamps): orders + customer + nation.
 
     ``create_time`` is the order day plus ``(key * 7919) mod 86400`` seconds, so the
     day of ``create_time`` is the order day and ``days`` can prune the scan.
     """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                              "o_totalprice", "o_orderdate")
+    o = table(spark, sf_dir, "orders", heavy).select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                     "o_totalprice", "o_orderdate")
     p = day_range("o_orderdate", days)
     if p is not None:
         o = o.where(p)
@@ -149,14 +154,14 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
 
 def order_messages(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Order rows as camelCase JSON messages with every value as text."""
-    rows = spread(order_rows(spark, sf_dir, days))
+    rows = order_rows(spark, sf_dir, days, heavy=True)
     as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     return to_message(camel_columns(as_text))
 
 
 def cdc_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change envelopes of ``order_info``: INSERT, or UPDATE for status ``F``; one row each."""
-    rows = spread(order_rows(spark, sf_dir))
+    rows = order_rows(spark, sf_dir, heavy=True)
     cols = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                      for c in rows.columns])
     env = rows.select(
@@ -218,5 +223,5 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFr
 
 def documents(spark: SparkSession, sf_dir: str, ascii_only: bool = True) -> DataFrame:
     """Documents (``doc_id, text``); ``ascii_only`` keeps rows without non-ASCII characters."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text")
     return d.where(~F.col("text").rlike("[^\\x00-\\x7F]")) if ascii_only else d

@@ -63,7 +63,7 @@ def parse_startup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_event_q(spark, sf_dir):
-    ev = parse_event(to_message(A.spread(A.event_records(spark, sf_dir))))
+    ev = parse_event(to_message(A.event_records(spark, sf_dir, heavy=True)))
     return ev.select("mid", "evid", "itemid", "ts")
 
 

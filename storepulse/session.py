@@ -25,16 +25,33 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, tens of TB per job): many
+# initial shuffle partitions that AQE coalesces to ~256 MB, larger file splits, and the
+# RocksDB state store for the state-store form of the daily-device stream.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str | None = None, app: str = "storepulse",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
     """Create (or reuse) a session with the library's defaults.
 
-    ``master`` is only set when given; on a cluster the launcher decides it.
+    ``master`` is only set when given; on a cluster the launcher decides it, and
+    ``cluster=True`` adds :data:`CLUSTER_CONF`.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -142,3 +142,10 @@ def test_bm25_matches_hand_computation(spark):
     want = sorted([(i, score(i)) for i in (2, 4)], key=lambda x: (-x[1], x[0]))
     assert got == want
     assert rank_bm25(df, "id", "text", "", 1, 10).count() == 0
+
+
+def test_sale_day_without_rows(spark):
+    st = sale_stats(sale_hits(_sale(spark), "2030-01-01", "red")).first()
+    assert st.total == 0
+    a = {r.name: r.value for r in age_band_share(sale_hits(_sale(spark), "2030-01-01", "red")).collect()}
+    assert a == {"lt20": 0.0, "20_29": 0.0, "ge30": 0.0}
