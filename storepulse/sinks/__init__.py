@@ -1,5 +1,7 @@
 """Writers: replay-safe partitioned tables, topic publishing, raw log archive."""
 
 from .tables import append_table, archive_logs, load_sale_day, publish, read_table
+from .compact import COMPACTED, compact_partition
 
-__all__ = ["append_table", "archive_logs", "load_sale_day", "publish", "read_table"]
+__all__ = ["append_table", "archive_logs", "load_sale_day", "publish", "read_table", "COMPACTED",
+           "compact_partition"]

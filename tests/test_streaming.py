@@ -145,3 +145,21 @@ def test_kafka_options_pure():
     o = kafka_options("broker:9092", "startup", group_id="dau", max_offsets=100)
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "startup", "startingOffsets": "latest",
                  "kafka.group.id": "dau", "maxOffsetsPerTrigger": "100"}
+
+
+def test_compact_closed_day_keeps_rows_and_dedup(spark, tmp_dir):
+    from storepulse.sinks import COMPACTED, compact_partition
+    table = f"{tmp_dir}/dau"
+    run = dau_batch(table)
+    for i, lines in enumerate(FILES[:2]):
+        df = parse_startup(spark.createDataFrame([(l,) for l in lines], "value string"), tz="UTC")
+        run(df.where(F.col("_corrupt").isNull()).drop("_corrupt"), i)
+    before = sorted((r.log_date, r.mid, r.ts) for r in spark.read.schema(DAU_TABLE).parquet(table).collect())
+    assert compact_partition(spark, table, DAU_TABLE, "log_date", "2019-03-04") == len(before)
+    after = spark.read.schema(DAU_TABLE).parquet(table).collect()
+    assert sorted((r.log_date, r.mid, r.ts) for r in after) == before
+    assert {r.batch_id for r in after} == {COMPACTED}
+    # a later batch still sees the compacted devices
+    df = parse_startup(spark.createDataFrame([(l,) for l in FILES[0]], "value string"), tz="UTC").drop("_corrupt")
+    run(df, 7)
+    assert spark.read.schema(DAU_TABLE).parquet(table).count() == len(before)
