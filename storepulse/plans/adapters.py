@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonio import to_message
 from ..functions.scalars import add_log_time, camel_columns
+from ..functions.text import match_all
 
 UTC = "UTC"
 
@@ -177,7 +178,8 @@ def _month_range(col: str, month: str) -> Column:
     return (F.col(col) >= _ntz(f"{month}-01")) & (F.col(col) < _ntz(nxt))
 
 
-def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFrame:
+def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
+              sku_keyword: str | None = None) -> DataFrame:
     """The warehouse wide table ``dws_sale_detail_daycount``: per user, sku and month
     ``dt`` the quantity, distinct orders and amount.
 
@@ -191,6 +193,9 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None) -> DataFr
         o = o.where(_month_range("o_orderdate", dt))
     o = o.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("dt"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    if sku_keyword is not None:
+        skus = table(spark, sf_dir, "part").where(match_all("p_name", sku_keyword)).select("p_partkey")
+        li = li.join(skus, li["l_partkey"] == skus["p_partkey"], "left_semi")
     per_order = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
                    .groupBy("o_orderkey", "o_custkey", "l_partkey", "dt")
                    .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"),

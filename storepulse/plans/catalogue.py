@@ -12,17 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonio import as_json, to_message
-from ..functions.text import match_all
 from ..operators import dedup, kpi, search
 from ..session import scratch_path
 from ..sinks.tables import load_sale_day, read_table
 from ..sources.cdc import cdc_to_messages, parse_envelope
-from ..sources.logs import parse_event, parse_logs, parse_startup, route
+from ..sources.logs import log_stream, parse_event, parse_logs, parse_startup, route, topic_stream
 from ..sources.orders import enrich_order, parse_order
 from ..sources.warehouse import sale_scan
 from ..streaming import DAU_TABLE, ORDERS_TABLE, collect_logs, dau_stream, order_stream, run_to_end
-from ..streaming.runner import trigger_options  # noqa: F401
-from ..sources.logs import log_stream, topic_stream
 from . import adapters as A
 
 # Fixed parameters of the catalogue (dates present in the test tables).
@@ -52,7 +49,8 @@ def _sale(spark, sf_dir) -> DataFrame:
 
 
 def _hits(spark, sf_dir) -> DataFrame:
-    return search.sale_hits(_sale(spark, sf_dir), SALE_DT, SALE_KEYWORD)
+    sale = A.sale_rows(spark, sf_dir, SALE_DT, sku_keyword=SALE_KEYWORD)
+    return search.sale_hits(sale, SALE_DT, SALE_KEYWORD)
 
 
 # --- ingest -----------------------------------------------------------------------------
@@ -229,7 +227,8 @@ def sale_summary_q(spark, sf_dir):
 
 
 def sale_summary_json_q(spark, sf_dir):
-    return as_json(search.sale_detail(_sale(spark, sf_dir), SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE))
+    sale = A.sale_rows(spark, sf_dir, SALE_DT, sku_keyword=SALE_KEYWORD)
+    return as_json(search.sale_detail(sale, SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE))
 
 
 QUERIES = {

@@ -1,7 +1,6 @@
 """Column functions on literal frames: each semantic edge of the survey's operator table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from storepulse.functions import (add_create_time, add_log_time, age_band, camel_case, camel_columns,
                                   keyword_terms, mask_tel, match_all, pct1, previous_day,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from storepulse.operators import first_per_key
 from storepulse.sources import kafka_options, log_stream, topic_stream
-from storepulse.streaming import (DAU_TABLE, ORDERS_TABLE, cdc_stream_to_orders, collect_logs, dau_batch,
+from storepulse.streaming import (DAU_TABLE, cdc_stream_to_orders, collect_logs, dau_batch,
                                   dau_stream, order_stream, read_orders, run_to_end)
 from storepulse.sources.logs import parse_startup
 

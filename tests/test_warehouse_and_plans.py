@@ -1,10 +1,8 @@
 """Warehouse scan, loads, and the physical plans we rely on at scale."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
-from storepulse.plans import adapters as A
 from storepulse.plans import catalogue as C
 from storepulse.schemas import SALE
 from storepulse.sinks import load_sale_day
