@@ -85,14 +85,20 @@ def age_band_share(hits: DataFrame) -> DataFrame:
 
 
 def sale_detail(sale: DataFrame, date: str, keyword: str | None, page_no: int = 1,
-                size: int = 20, order=None) -> DataFrame:
+                size: int = 20, order=None, materialize: bool = False) -> DataFrame:
     """The sale search answer as one row: ``total``, ``stat`` (two option groups with
     labels and shares) and ``detail`` (one page of rows, in order).
 
-    Filters once; the shares come from one aggregate, the page from a top-k.
+    Filters once; the shares come from one aggregate, the page from a top-k. With
+    ``materialize`` (for a ``sale`` that is an expensive derived view rather than a
+    stored table) the hits are checkpointed to the shared folder first, so the view is
+    computed once for both parts.
     """
     order = order or sale_order()
     hits = sale_hits(sale, date, keyword)
+    if materialize:
+        scratch_root(sale.sparkSession)
+        hits = hits.checkpoint(eager=True)
     stats = sale_stats(hits)
     cols = {"M": "m", "F": "f", "lt20": "lt20", "20_29": "a20_29", "ge30": "ge30"}
 

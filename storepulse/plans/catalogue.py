@@ -228,7 +228,7 @@ def sale_summary_q(spark, sf_dir):
 
 def sale_summary_json_q(spark, sf_dir):
     sale = A.sale_rows(spark, sf_dir, SALE_DT, sku_keyword=SALE_KEYWORD)
-    return as_json(search.sale_detail(sale, SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE))
+    return as_json(search.sale_detail(sale, SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE, materialize=True))
 
 
 QUERIES = {

@@ -16,6 +16,8 @@ for lower latency; days older than the delay (default two days) are closed.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -27,6 +29,7 @@ from ..sources.logs import parse_startup
 from .metrics import with_metrics
 from .runner import DEFAULT_TRIGGER, start
 
+_log = logging.getLogger(__name__)
 KEYS = ("log_date", "mid")
 DAU_TABLE = T.StructType(list(STARTUP.fields) + [T.StructField("batch_id", T.LongType(), True)])
 
@@ -39,7 +42,7 @@ def _seen(spark, path: str, days: list, batch_id: int) -> DataFrame | None:
     return t.where(F.col("log_date").isin(days) & (F.col("batch_id") != batch_id))
 
 
-def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000):
+def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000, on_metrics=None):
     """The ``foreachBatch`` function writing new daily-first devices to ``path``.
 
     Seen check without shuffling the seen set: when the batch has at most
@@ -47,6 +50,10 @@ def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000):
     into a left-semi join over the day partitions of the table (a parallel scan), which
     yields the few already-seen keys; the anti join then runs against those. A larger
     batch (an unbounded backfill) uses a plain shuffled anti join.
+
+    The count of new daily devices written (read from the Parquet footers of the batch's
+    own partitions) is logged and passed to ``on_metrics(batch_id, dict)`` when given;
+    the count of logs in is the stream's ``dau_in`` metric.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -68,6 +75,12 @@ def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000):
             else:
                 new = drop_seen(firsts, seen, KEYS)
             append_table(new, path, ["log_date"], batch_id)
+            mine = spark.read.schema(DAU_TABLE).parquet(path).where(
+                F.col("log_date").isin(days) & (F.col("batch_id") == batch_id))
+            metrics = {"days": sorted(days), "rows_new": mine.count()}
+            _log.info("dau batch %s: %s", batch_id, metrics)
+            if on_metrics:
+                on_metrics(batch_id, metrics)
         finally:
             firsts.unpersist()
     return run

@@ -163,3 +163,12 @@ def test_compact_closed_day_keeps_rows_and_dedup(spark, tmp_dir):
     df = parse_startup(spark.createDataFrame([(l,) for l in FILES[0]], "value string"), tz="UTC").drop("_corrupt")
     run(df, 7)
     assert spark.read.schema(DAU_TABLE).parquet(table).count() == len(before)
+
+
+def test_dau_batch_metrics(spark, tmp_dir):
+    got = {}
+    run = dau_batch(f"{tmp_dir}/dau", on_metrics=lambda b, m: got.setdefault(b, m))
+    df = parse_startup(spark.createDataFrame([(l,) for l in FILES[0]], "value string"), tz="UTC").drop("_corrupt")
+    run(df, 0)
+    run(df, 1)
+    assert got == {0: {"days": ["2019-03-04"], "rows_new": 2}, 1: {"days": ["2019-03-04"], "rows_new": 0}}
