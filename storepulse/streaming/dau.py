@@ -61,26 +61,30 @@ def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000, on_metrics=
         firsts = first_per_key(logs, KEYS, [F.col("ts").asc_nulls_last(), F.col("log_id").asc_nulls_last()])
         firsts = firsts.select(*[f.name for f in STARTUP.fields]).persist()
         try:
-            # Days in one batch: a handful for a live stream, bounded by the span of the input.
-            days = [r[0] for r in firsts.select("log_date").distinct().collect()]
+            # Days in one batch (a handful for a live stream, bounded by the span of the
+            # input) and the batch size, in one job.
+            per_day = firsts.groupBy("log_date").count().collect()
+            days = [r[0] for r in per_day]
             if not days:
                 return
+            n = sum(r[1] for r in per_day)
             seen = _seen(spark, path, days, batch_id)
             if seen is None:
                 new = firsts
-            elif broadcast_max_rows is not None and firsts.count() <= broadcast_max_rows:
+            elif broadcast_max_rows is not None and n <= broadcast_max_rows:
                 keys = firsts.select(*KEYS)
                 hit = seen.select(*KEYS).join(F.broadcast(keys), list(KEYS), "left_semi")
                 new = drop_seen(firsts, hit, KEYS)
             else:
                 new = drop_seen(firsts, seen, KEYS)
             append_table(new, path, ["log_date"], batch_id)
-            mine = spark.read.schema(DAU_TABLE).parquet(path).where(
-                F.col("log_date").isin(days) & (F.col("batch_id") == batch_id))
-            metrics = {"days": sorted(days), "rows_new": mine.count()}
-            _log.info("dau batch %s: %s", batch_id, metrics)
-            if on_metrics:
-                on_metrics(batch_id, metrics)
+            if on_metrics or _log.isEnabledFor(logging.INFO):
+                mine = spark.read.schema(DAU_TABLE).parquet(path).where(
+                    F.col("log_date").isin(days) & (F.col("batch_id") == batch_id))
+                metrics = {"days": sorted(days), "rows_in": n, "rows_new": mine.count()}
+                _log.info("dau batch %s: %s", batch_id, metrics)
+                if on_metrics:
+                    on_metrics(batch_id, metrics)
         finally:
             firsts.unpersist()
     return run

@@ -45,8 +45,9 @@ def order_batch(path: str, quarantine: str | None = None):
             good = (rec.where(~bad).select(*ORDER_COLUMNS, "create_date")
                     .withColumn("create_month", F.substr("create_date", F.lit(1), F.lit(7))))
             append_table(good, path, ["create_month"], batch_id, sort_by=["create_date"])
-            if quarantine:
-                append_table(rec.where(bad).select("value"), quarantine, [], batch_id)
+            bad_rows = rec.where(bad).select("value")
+            if quarantine and not bad_rows.isEmpty():  # cheap on the cached batch
+                append_table(bad_rows, quarantine, [], batch_id)
         finally:
             rec.unpersist()
     return run

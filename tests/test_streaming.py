@@ -171,4 +171,5 @@ def test_dau_batch_metrics(spark, tmp_dir):
     df = parse_startup(spark.createDataFrame([(l,) for l in FILES[0]], "value string"), tz="UTC").drop("_corrupt")
     run(df, 0)
     run(df, 1)
-    assert got == {0: {"days": ["2019-03-04"], "rows_new": 2}, 1: {"days": ["2019-03-04"], "rows_new": 0}}
+    assert got == {0: {"days": ["2019-03-04"], "rows_in": 2, "rows_new": 2},
+                   1: {"days": ["2019-03-04"], "rows_in": 2, "rows_new": 0}}
