@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import to_message
 from ..functions.scalars import add_log_time, camel_columns
 from ..functions.text import match_all
+from ..operators.dedup import checked_broadcast
 
 UTC = "UTC"
 
@@ -137,10 +138,12 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None, heavy: bool = False)
     p = day_range("o_orderdate", days)
     if p is not None:
         o = o.where(p)
+    # Area per customer first (customer x 25 nations, a dimension lookup), then one join
+    # of the orders on the customer key: orders are shuffled once, never by nation.
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (o.join(c, o["o_custkey"] == c["c_custkey"])
-          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    n = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
+    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select("c_custkey", "n_name")
+    j = o.join(cn, o["o_custkey"] == cn["c_custkey"])
     secs = (F.col("o_orderkey") * 7919) % 86400
     created = F.timestamp_add("SECOND", secs, F.col("o_orderdate"))
     return j.select(
