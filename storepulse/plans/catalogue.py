@@ -84,7 +84,7 @@ def archive_daily_q(spark, sf_dir, max_files: int | None = None):
     root = scratch_path(spark, "collect")
     A.raw_log_json(spark, sf_dir).write.text(f"{root}/in")
     q = collect_logs(log_stream(spark, f"{root}/in", max_files=max_files), f"{root}/out", f"{root}/_checkpoint",
-                     trigger="availableNow", now=F.col("ts"), tz=TZ)
+                     trigger="availableNow", now="client", tz=TZ)
     _run("archive_daily", q)
     arch = spark.read.schema("value string, dt string, batch_id long").text(f"{root}/out/archive")
     return arch.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))

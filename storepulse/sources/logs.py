@@ -57,12 +57,15 @@ def parse_logs(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ())
     return parse_json(df, LOG_WIRE, value, keep=keep)
 
 
-def stamp_ts(df: DataFrame, now: Column | int | None = None) -> DataFrame:
+def stamp_ts(df: DataFrame, now: Column | int | str | None = None) -> DataFrame:
     """Server time stamp: ``ts`` := arrival time in epoch ms, overwriting any client value.
 
-    ``now``: None for the current time, an int, or a column (e.g. the Kafka record
-    ``timestamp`` cast to ms, or ``ts`` itself when replaying stamped archives).
+    ``now``: None for the current time, an int, a column (e.g. the Kafka record
+    ``timestamp`` cast to ms), or ``"client"`` to keep the logged ``ts`` (replaying
+    archives that were stamped already).
     """
+    if now == "client":
+        return df
     if now is None:
         now_col = F.unix_millis(F.current_timestamp())
     elif isinstance(now, int):

@@ -19,7 +19,7 @@ TOPICS = "topics"
 QUARANTINE = "quarantine"
 
 
-def stamped_lines(batch: DataFrame, now: Column | int | None = None, tz: str | None = None) -> DataFrame:
+def stamped_lines(batch: DataFrame, now: Column | int | str | None = None, tz: str | None = None) -> DataFrame:
     """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; malformed lines get
     topic NULL and keep their raw text."""
     p = stamp_ts(parse_logs(batch, keep=("value",)).withColumnRenamed("value", "_raw"), now)
@@ -36,7 +36,7 @@ def _write_text(df: DataFrame, path: str, parts: list, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").text(path))
 
 
-def collect_batch(out: str, now: Column | int | None = None, tz: str | None = None):
+def collect_batch(out: str, now: Column | int | str | None = None, tz: str | None = None):
     """The ``foreachBatch`` function writing ``<out>/archive/dt=..`` and ``<out>/topics/topic=..``."""
     root = out.rstrip("/")
 
@@ -54,7 +54,7 @@ def collect_batch(out: str, now: Column | int | None = None, tz: str | None = No
 
 
 def collect_logs(src: DataFrame, out: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
-                 now: Column | int | None = None, tz: str | None = None):
+                 now: Column | int | str | None = None, tz: str | None = None):
     """Start log collection over a stream of raw JSON lines (``value``)."""
     return start(src.select("value").writeStream.foreachBatch(collect_batch(out, now, tz)),
                  checkpoint, trigger)
