@@ -8,10 +8,17 @@ JSON answer) has no oracle: its flat parts are checked by ``sale_summary``.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The package sits next to this file; make it importable whatever the caller's cwd.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 

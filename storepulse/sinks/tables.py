@@ -36,6 +36,14 @@ def append_table(df: DataFrame, path: str, partition_by=(), batch_id: int | None
     writer.parquet(path)
 
 
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by=()) -> None:
+    """Create the table folder (no rows) so that readers with an explicit schema find it."""
+    w = spark.createDataFrame([], schema).write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a table written by :func:`append_table` (explicit schema keeps date text as text)."""
     r = spark.read

@@ -24,7 +24,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.dedup import drop_seen, first_per_key
 from ..schemas import STARTUP, T
-from ..sinks.tables import append_table
+from ..sinks.tables import append_table, ensure_table
 from ..sources.logs import parse_startup
 from .metrics import with_metrics
 from .runner import DEFAULT_TRIGGER, start
@@ -97,6 +97,7 @@ def dau_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None
     parsed = with_metrics(parse_startup(logs, tz=tz), "dau_in")
     good = parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
     if mode == "table":
+        ensure_table(logs.sparkSession, path, DAU_TABLE, ["log_date", "batch_id"])
         writer = dau_batch(path, broadcast_max_rows)
         if not quarantine:
             return start(good.writeStream.foreachBatch(writer), checkpoint, trigger)
