@@ -2,8 +2,10 @@
 
 ``queries()`` maps every implemented operator/query to a ``(spark, sf_dir) -> DataFrame``
 callable (see ``storepulse/plans/catalogue.py``); ``oracle_sql()`` gives the same
-answer as ANSI SQL over the pre-registered test tables. ``sale_summary_json`` (nested
-JSON answer) has no oracle: its flat parts are checked by ``sale_summary``.
+answer as ANSI SQL over the pre-registered test tables. The three JSON answers
+(``sale_summary_json``, ``realtime_total_json``, ``dau_hour_compare_json``) have no
+oracle: their flat parts are checked by ``sale_summary``, ``realtime_total`` and
+``dau_hour_compare``.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonio import as_json, to_message
-from ..operators import dedup, kpi, search
+from ..operators import answers, dedup, kpi, search
 from ..session import scratch_path
 from ..sinks.tables import load_sale_day, read_table
 from ..sources.cdc import cdc_to_messages, parse_envelope
@@ -235,6 +235,19 @@ def sale_summary_q(spark, sf_dir):
     return search.sale_stats(_hits(spark, sf_dir))
 
 
+def realtime_total_json_q(spark, sf_dir):
+    """The KPI list answer as JSON (flat values checked by ``realtime_total``)."""
+    dau = _firsts(A.startup_logs(spark, sf_dir, days=[KPI_DATE]))
+    logs = A.startup_logs(spark, sf_dir, until=KPI_DATE)
+    orders = _orders(spark, sf_dir, days=[ORDER_DATE])
+    return answers.kpi_list_json(kpi.realtime_total(dau, logs, orders, KPI_DATE, ORDER_DATE))
+
+
+def dau_hour_compare_json_q(spark, sf_dir):
+    """The hourly comparison answer as JSON maps (flat values checked by ``dau_hour_compare``)."""
+    return answers.hour_maps_json(dau_hour_compare_q(spark, sf_dir))
+
+
 def sale_summary_json_q(spark, sf_dir):
     sale = A.sale_rows(spark, sf_dir, SALE_DT, sku_keyword=SALE_KEYWORD)
     return as_json(search.sale_detail(sale, SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE, materialize=True))
@@ -270,6 +283,8 @@ QUERIES = {
     "age_band_share": age_band_share_q,
     "sale_summary": sale_summary_q,
     "sale_summary_json": sale_summary_json_q,
+    "realtime_total_json": realtime_total_json_q,
+    "dau_hour_compare_json": dau_hour_compare_json_q,
     "area_sales": area_sales_q,
     "area_sales_binned": area_sales_binned_q,
 }

@@ -149,3 +149,14 @@ def test_sale_day_without_rows(spark):
     assert st.total == 0
     a = {r.name: r.value for r in age_band_share(sale_hits(_sale(spark), "2030-01-01", "red")).collect()}
     assert a == {"lt20": 0.0, "20_29": 0.0, "ge30": 0.0}
+
+
+def test_json_answers(spark):
+    import json
+    from storepulse.operators import hour_maps_json, kpi_list_json
+    cards = realtime_total(_dau(spark), _dau(spark), _orders(spark), "2019-03-04")
+    assert json.loads(kpi_list_json(cards).first().json) == [
+        {"id": "dau", "name": "新增日活", "value": 3.0}, {"id": "new_mid", "name": "新增设备", "value": 2.0},
+        {"id": "order_amount", "name": "新增交易额", "value": 10.3}]
+    cmp = hour_compare(spark, _dau(spark), "log_date", "log_hour", "2019-03-04")
+    assert json.loads(hour_maps_json(cmp).first().json) == {"yesterday": {"23": 1}, "today": {"09": 2, "10": 1}}

@@ -81,4 +81,5 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["hour", "yesterday", "today"] and df.count() == 24
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"sale_summary_json"}
+    assert set(E.queries()) - set(E.oracle_sql()) == {"sale_summary_json", "realtime_total_json",
+                                                      "dau_hour_compare_json"}
