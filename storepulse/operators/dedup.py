@@ -20,16 +20,17 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int | None, bound: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows; otherwise leave the
     choice to the planner (sort-merge join, or AQE's runtime switch).
 
-    The count is one extra job; on a partition-pruned Parquet read it is answered from
-    file footers.
+    ``bound``: a cheaper DataFrame whose row count is an upper bound of ``df``'s (e.g. the
+    dimension table a lookup join starts from). The count is one extra job; on a Parquet
+    read it is answered from file footers.
     """
     if max_rows is None:
         return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if (bound if bound is not None else df).count() <= max_rows else df
 
 
 def drop_seen(batch: DataFrame, seen: DataFrame, keys=("log_date", "mid"),

@@ -18,6 +18,8 @@ from ..functions.text import match_all
 from ..operators.dedup import checked_broadcast
 
 UTC = "UTC"
+# Largest dimension (in rows) broadcast to a join; beyond it the planner decides.
+DIM_BROADCAST_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
@@ -140,9 +142,12 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None, heavy: bool = False)
         o = o.where(p)
     # Area per customer first (customer x 25 nations, a dimension lookup), then one join
     # of the orders on the customer key: orders are shuffled once, never by nation.
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customer = table(spark, sf_dir, "customer")
+    c = customer.select("c_custkey", "c_nationkey")
     n = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select("c_custkey", "n_name")
+    # the lookup side has at most as many rows as the customer table
+    cn = checked_broadcast(cn, DIM_BROADCAST_ROWS, bound=customer)
     j = o.join(cn, o["o_custkey"] == cn["c_custkey"])
     secs = (F.col("o_orderkey") * 7919) % 86400
     created = F.timestamp_add("SECOND", secs, F.col("o_orderdate"))
