@@ -36,8 +36,10 @@ def _write_text(df: DataFrame, path: str, parts: list, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").text(path))
 
 
-def collect_batch(out: str, now: Column | int | str | None = None, tz: str | None = None):
-    """The ``foreachBatch`` function writing ``<out>/archive/dt=..`` and ``<out>/topics/topic=..``."""
+def collect_batch(out: str, now: Column | int | str | None = None, tz: str | None = None,
+                  kafka: dict | None = None):
+    """The ``foreachBatch`` function writing ``<out>/archive/dt=..`` and the routed lines,
+    to ``<out>/topics/topic=..`` or, with ``kafka`` producer options, to the topics."""
     root = out.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -45,7 +47,11 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
         try:
             _write_text(lines.select("value", "dt"), f"{root}/{ARCHIVE}", ["dt"], batch_id)
             good = lines.where(F.col("topic").isNotNull())
-            _write_text(good.select("value", "topic"), f"{root}/{TOPICS}", ["topic"], batch_id)
+            if kafka:
+                # Kafka's sink takes the topic per row from the ``topic`` column (at least once).
+                good.select("topic", "value").write.format("kafka").options(**kafka).save()
+            else:
+                _write_text(good.select("value", "topic"), f"{root}/{TOPICS}", ["topic"], batch_id)
             bad = lines.where(F.col("topic").isNull()).select("value")
             _write_text(bad, f"{root}/{QUARANTINE}", [], batch_id)
         finally:
@@ -54,7 +60,7 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
 
 
 def collect_logs(src: DataFrame, out: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
-                 now: Column | int | str | None = None, tz: str | None = None):
+                 now: Column | int | str | None = None, tz: str | None = None, kafka: dict | None = None):
     """Start log collection over a stream of raw JSON lines (``value``)."""
-    return start(src.select("value").writeStream.foreachBatch(collect_batch(out, now, tz)),
+    return start(src.select("value").writeStream.foreachBatch(collect_batch(out, now, tz, kafka)),
                  checkpoint, trigger)
