@@ -31,14 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> D
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a raw file scan that has fewer splits than the cluster has cores.
 
-    Only for a plain scan: its split count is known from the file listing, while asking
-    a plan with joins for its partition count would run the join stages.
-
     A file made of one large row group is one task however big it is; the per-row work
     pipelined after the scan (JSON, regular expressions) would then run on one core.
     When the scan is split finely enough — any large table — this is a no-op and adds
     no shuffle. Filters and column pruning still reach the scan below the repartition.
-    Used only in front of CPU-heavy per-row work (text regexes, JSON messages).
+    Used only in front of CPU-heavy per-row work (text regexes, JSON messages), and only
+    on a plain scan: its split count comes from the file listing, while asking a plan
+    with joins for its partition count would run the join stages.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
@@ -68,7 +67,8 @@ def day_range(col: str, days=None, until: str | None = None) -> Column | None:
 
 
 def epoch_ms(col: str) -> Column:
-    """Zone-less timestamp read as UTC -> epoch milliseconds (floored)."""
+    """Zone-less timestamp read as UTC -> whole epoch milliseconds (truncated; equal to the
+    floor for the tables' post-1970 times)."""
     return F.timestamp_diff("MILLISECOND", _ntz("1970-01-01"), F.col(col))
 
 
