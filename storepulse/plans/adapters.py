@@ -188,7 +188,7 @@ def _month_range(col: str, month: str) -> Column:
 
 def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
               sku_keyword: str | None = None) -> DataFrame:
-    """The warehouse wide table ``dws_sale_detail_daycount``: per user, sku and month
+    """The warehouse wide table of daily sale details: per user, sku and month
     ``dt`` the quantity, distinct orders and amount.
 
     Aggregates on keys first and joins customer and part attributes after, so the big
