@@ -195,6 +195,13 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
     shuffles carry narrow rows. Distinct orders come from a two-level aggregate: the
     first level groups by order key and reuses the join's partitioning (no shuffle),
     the second counts orders per (user, sku, month) with map-side partial counts.
+
+    ``sku_keyword``: only SKUs whose name matches (for searches). The match is on the
+    part table, which joins after the aggregation, so the optimizer cannot push it down;
+    here lineitems are semi-joined with the matching part keys before aggregating — as
+    a broadcast, when the matching keys are counted within the dimension limit. A broad
+    keyword skips this pre-filter (a shuffled semi join would move all lineitems once
+    more); callers still apply the match on the result.
     """
     o = table(spark, sf_dir, "orders")
     if dt:
@@ -203,7 +210,8 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     if sku_keyword is not None:
         skus = table(spark, sf_dir, "part").where(match_all("p_name", sku_keyword)).select("p_partkey")
-        li = li.join(skus, li["l_partkey"] == skus["p_partkey"], "left_semi")
+        if skus.count() <= DIM_BROADCAST_ROWS:
+            li = li.join(F.broadcast(skus), li["l_partkey"] == skus["p_partkey"], "left_semi")
     per_order = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
                    .groupBy("o_orderkey", "o_custkey", "l_partkey", "dt")
                    .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
