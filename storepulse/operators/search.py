@@ -128,8 +128,8 @@ def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
     with ``materialize`` it is checkpointed to the shared checkpoint folder, so the text
     is read and matched once and the statistics and the scores both come from it.
     Statistics (document count, average length, document frequency per term) are over
-    the whole of ``docs``, not the hits: one global aggregate, used through scalar
-    subqueries. ``idf = ln(1 + (N - n + 0.5)/(n + 0.5))``, score rounded to ``digits``;
+    the whole of ``docs``, not the hits: one global aggregate (partial per task, one row
+    to the driver). ``idf = ln(1 + (N - n + 0.5)/(n + 0.5))``, score rounded to ``digits``;
     ties by id.
     """
     terms = keyword_terms(keyword)
@@ -144,14 +144,17 @@ def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
     tfs = [F.col(f"_tf{i}") for i in range(len(terms))]
     stats = narrow.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"),
                        *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)])
-    n = stats.select("n").scalar()
-    avgdl = stats.select("avgdl").scalar()
+    # One aggregate job; its single row (a fixed-size record of statistics) becomes
+    # literals of the score expression. As scalar subqueries, each reference would be
+    # planned as a subquery of its own.
+    st = stats.first()
+    n, avgdl = F.lit(st["n"]), F.lit(st["avgdl"])
     all_terms = tfs[0] > 0
     for tf in tfs[1:]:
         all_terms = all_terms & (tf > 0)
     score = None
     for i, tf in enumerate(tfs):
-        dfi = stats.select(f"df{i}").scalar()
+        dfi = F.lit(st[f"df{i}"])
         idf = F.log(1 + (n - dfi + 0.5) / (dfi + 0.5))
         part = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_dl") / avgdl))
         score = part if score is None else score + part
