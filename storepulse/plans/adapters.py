@@ -18,6 +18,9 @@ from ..functions.text import match_all
 from ..operators.dedup import checked_broadcast
 
 UTC = "UTC"
+# At most this many partitions when spreading an under-split scan (a small input on a
+# large cluster should not become thousands of tiny tasks).
+SPREAD_MAX = 256
 # Largest dimension (in rows) broadcast to a join; beyond it the planner decides.
 DIM_BROADCAST_ROWS = 2_000_000
 
@@ -39,7 +42,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     on a plain scan: its split count comes from the file listing, while asking a plan
     with joins for its partition count would run the join stages.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
