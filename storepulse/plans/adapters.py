@@ -93,9 +93,13 @@ def startup_records(spark: SparkSession, sf_dir: str, days=None, until=None, hea
         F.col("event_id").alias("log_id"))
 
 
-def startup_json(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
-    """Startup logs as JSON lines (``value``)."""
-    return to_message(startup_records(spark, sf_dir, days, heavy=True))
+def startup_json(spark: SparkSession, sf_dir: str, days=None, in_time_order: int | None = None) -> DataFrame:
+    """Startup logs as JSON lines (``value``); ``in_time_order=n`` range-partitions them by
+    ``ts`` into ``n`` parts, as a live feed arrives (one file per time slice)."""
+    rec = startup_records(spark, sf_dir, days, heavy=True)
+    if in_time_order:
+        rec = rec.repartitionByRange(in_time_order, "ts", "log_id")
+    return to_message(rec)
 
 
 def startup_logs(spark: SparkSession, sf_dir: str, days=None, until=None, tz: str = UTC) -> DataFrame:
@@ -164,9 +168,12 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None, heavy: bool = False)
         F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("create_time"))
 
 
-def order_messages(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
-    """Order rows as camelCase JSON messages with every value as text."""
+def order_messages(spark: SparkSession, sf_dir: str, days=None, in_time_order: int | None = None) -> DataFrame:
+    """Order rows as camelCase JSON messages with every value as text; ``in_time_order=n``
+    range-partitions them by creation time into ``n`` parts (a live feed's order)."""
     rows = order_rows(spark, sf_dir, days, heavy=True)
+    if in_time_order:
+        rows = rows.repartitionByRange(in_time_order, "create_time", "id")
     as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     return to_message(camel_columns(as_text))
 

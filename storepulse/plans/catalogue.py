@@ -37,6 +37,12 @@ TZ = A.UTC
 STREAM_BATCH_MS: dict[str, list[int]] = {}
 
 
+def _slices(spark, max_files: int | None) -> int | None:
+    """Fed in micro-batches (``max_files``), the input is written in time order like a live
+    feed; drained in one batch, its order does not matter."""
+    return spark.sparkContext.defaultParallelism if max_files else None
+
+
 def _run(name: str, query) -> None:
     run_to_end(query)
     STREAM_BATCH_MS[name] = [p["durationMs"].get("triggerExecution", 0) for p in query.recentProgress
@@ -105,7 +111,7 @@ def order_enrich_q(spark, sf_dir):
 
 def order_stream_q(spark, sf_dir, max_files: int | None = None):
     root = scratch_path(spark, "order_stream")
-    A.order_messages(spark, sf_dir).write.text(f"{root}/in")
+    A.order_messages(spark, sf_dir, in_time_order=_slices(spark, max_files)).write.text(f"{root}/in")
     _run("order_stream", order_stream(topic_stream(spark, f"{root}/in", max_files=max_files), f"{root}/orders",
                                       f"{root}/_checkpoint", trigger="availableNow", quarantine=f"{root}/quarantine"))
     o = read_table(spark, f"{root}/orders", ORDERS_TABLE)
@@ -126,7 +132,7 @@ def dau_first_logs_q(spark, sf_dir):
 
 def dau_stream_q(spark, sf_dir, max_files: int | None = None):
     root = scratch_path(spark, "dau_stream")
-    A.startup_json(spark, sf_dir).write.text(f"{root}/in")
+    A.startup_json(spark, sf_dir, in_time_order=_slices(spark, max_files)).write.text(f"{root}/in")
     _run("dau_stream", dau_stream(log_stream(spark, f"{root}/in", max_files=max_files), f"{root}/dau",
                                   f"{root}/_checkpoint", trigger="availableNow", tz=TZ))
     return read_table(spark, f"{root}/dau", DAU_TABLE).select("log_date", "mid", "ts", "log_hour")
