@@ -85,3 +85,21 @@ def test_entry_smoke(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(E.queries()) - set(E.oracle_sql()) == {"sale_summary_json", "realtime_total_json",
                                                       "dau_hour_compare_json"}
+
+
+def test_checked_broadcast_with_bound(spark):
+    from storepulse.operators import checked_broadcast
+    small = spark.range(5)
+    big_bound = spark.range(100)
+    assert checked_broadcast(small, 10, bound=big_bound) is small          # bound too large: no hint
+    hinted = checked_broadcast(small, 10)
+    assert hinted is not small and "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
+
+
+def test_spread_only_under_split_scans(spark):
+    from storepulse.plans.adapters import spread, table
+    raw = table(spark, SF001, "events")
+    assert spread(raw, min_partitions=1) is raw                              # already split enough
+    spread_df = spread(raw.where("event_type = 'view'"), min_partitions=64)
+    plan = _plan(spread_df)
+    assert "RoundRobinPartitioning(64)" in plan and "EqualTo(event_type,view)" in plan  # filter still pushed
