@@ -61,11 +61,14 @@ def stamp_ts(df: DataFrame, now: Column | int | str | None = None) -> DataFrame:
     """Server time stamp: ``ts`` := arrival time in epoch ms, overwriting any client value.
 
     ``now``: None for the current time, an int, a column (e.g. the Kafka record
-    ``timestamp`` cast to ms), or ``"client"`` to keep the logged ``ts`` (replaying
-    archives that were stamped already).
+    ``timestamp`` cast to ms), ``"record"`` for the source record's ``timestamp`` column
+    (Kafka's append time), or ``"client"`` to keep the logged ``ts`` (replaying archives
+    that were stamped already).
     """
     if now == "client":
         return df
+    if now == "record":
+        return df.withColumn("ts", F.unix_millis(F.col("timestamp")))
     if now is None:
         now_col = F.unix_millis(F.current_timestamp())
     elif isinstance(now, int):

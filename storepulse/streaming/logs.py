@@ -22,7 +22,8 @@ QUARANTINE = "quarantine"
 def stamped_lines(batch: DataFrame, now: Column | int | str | None = None, tz: str | None = None) -> DataFrame:
     """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; malformed lines get
     topic NULL and keep their raw text."""
-    p = stamp_ts(parse_logs(batch, keep=("value",)).withColumnRenamed("value", "_raw"), now)
+    keep = ("value", "timestamp") if "timestamp" in batch.columns else ("value",)
+    p = stamp_ts(parse_logs(batch, keep=keep).withColumnRenamed("value", "_raw"), now)
     p = route(p)
     ok = F.col("_corrupt").isNull()
     line = F.to_json(F.struct(*[f.name for f in LOG_WIRE.fields]))
@@ -62,5 +63,6 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
 def collect_logs(src: DataFrame, out: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                  now: Column | int | str | None = None, tz: str | None = None, kafka: dict | None = None):
     """Start log collection over a stream of raw JSON lines (``value``)."""
-    return start(src.select("value").writeStream.foreachBatch(collect_batch(out, now, tz, kafka)),
+    cols = ["value", "timestamp"] if "timestamp" in src.columns else ["value"]
+    return start(src.select(*cols).writeStream.foreachBatch(collect_batch(out, now, tz, kafka)),
                  checkpoint, trigger)

@@ -71,3 +71,13 @@ def test_append_table_batch_replay(spark, tmp_dir):
     append_table(df.limit(1), f"{tmp_dir}/t", ["d"], batch_id=4)
     t = spark.read.schema("v int, d string, batch_id long").parquet(f"{tmp_dir}/t")
     assert sorted((r.d, r.v, r.batch_id) for r in t.collect()) == [("d1", 1, 3), ("d1", 1, 4), ("d2", 2, 3)]
+
+
+def test_stamp_with_record_time(spark, tmp_dir):
+    import datetime as dt
+    from storepulse.streaming.logs import collect_batch
+    t = dt.datetime(2019, 3, 4, 1, 2, 3, tzinfo=dt.timezone.utc)
+    batch = spark.createDataFrame([('{"type":"startup","mid":"m1","ts":1}', t)], "value string, timestamp timestamp")
+    collect_batch(tmp_dir, now="record", tz="UTC")(batch, 0)
+    line = spark.read.schema("value string, topic string, batch_id long").text(f"{tmp_dir}/topics").first()
+    assert json.loads(line.value)["ts"] == int(t.timestamp() * 1000) and line.topic == "startup"
