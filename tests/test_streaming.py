@@ -192,3 +192,20 @@ def test_dau_state_mode_watermark_closes_old_days(spark, tmp_dir):
                               mode="state"))
     got = sorted((r.log_date, r.mid) for r in spark.read.schema(STARTUP).parquet(out).collect())
     assert got == [("2019-03-06", "a"), ("2019-03-07", "late_new"), ("2019-03-08", "b")]
+
+
+def test_dau_state_mode_with_rocksdb_provider(spark, tmp_dir):
+    from storepulse.schemas import STARTUP
+    from storepulse.session import CLUSTER_CONF
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        src = f"{tmp_dir}/in"
+        _write_lines(src, "a.json", FILES[0] + FILES[2], time.time() - 10)
+        run_to_end(dau_stream(log_stream(spark, src), f"{tmp_dir}/dau", f"{tmp_dir}/ck", trigger="availableNow",
+                              tz="UTC", mode="state"))
+        got = sorted((r.log_date, r.mid) for r in spark.read.schema(STARTUP).parquet(f"{tmp_dir}/dau").collect())
+        assert got == [("2019-03-04", "m1"), ("2019-03-04", "m2"), ("2019-03-05", "m1"), ("2019-03-05", "m3")]
+    finally:
+        spark.conf.set(key, old)
