@@ -54,7 +54,8 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
             else:
                 _write_text(good.select("value", "topic"), f"{root}/{TOPICS}", ["topic"], batch_id)
             bad = lines.where(F.col("topic").isNull()).select("value")
-            _write_text(bad, f"{root}/{QUARANTINE}", [], batch_id)
+            if not bad.isEmpty():  # cheap on the cached batch
+                _write_text(bad, f"{root}/{QUARANTINE}", [], batch_id)
         finally:
             lines.unpersist()
     return run
