@@ -209,3 +209,21 @@ def test_dau_state_mode_with_rocksdb_provider(spark, tmp_dir):
         assert got == [("2019-03-04", "m1"), ("2019-03-04", "m2"), ("2019-03-05", "m1"), ("2019-03-05", "m3")]
     finally:
         spark.conf.set(key, old)
+
+
+def test_order_stream_parity_with_restarts(spark, tmp_dir):
+    from storepulse.sources import enrich_order, parse_order
+    from storepulse.streaming.orders import ORDER_COLUMNS
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/orders", f"{tmp_dir}/ck"
+    files = [[_order(1, "2019-03-04 09:05:01"), _order(2, "2019-02-28 23:59:59", "139")],
+             [_order(3, "2019-03-05 00:00:00", None, "7"), _order(4, "2019-03-05 10:11:12")],
+             [_order(5, "2018-12-31 23:00:00", "1234567890123")]]
+    base = time.time() - 1000
+    for i, lines in enumerate(files):
+        _write_lines(src, f"part-{i}.json", lines, base + i)
+        run_to_end(order_stream(topic_stream(spark, src, max_files=1), out, ck, trigger="availableNow"))
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    got = sorted((tuple(r) for r in read_orders(spark, out).select(*ORDER_COLUMNS, "create_date").collect()), key=key)
+    batch = enrich_order(parse_order(spark.createDataFrame([(l,) for f in files for l in f], "value string")))
+    want = sorted((tuple(r) for r in batch.select(*ORDER_COLUMNS, "create_date").collect()), key=key)
+    assert got == want and len(got) == 5
