@@ -30,9 +30,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return dau_hour_compare_q(spark, SMOKE_DIR)
 
 
+def _training_data():
+    """(queries, oracle SQL) of the training-data operators, empty where that subpackage is not installed."""
+    try:
+        from storepulse.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if (e.name or "").startswith("storepulse.llm"):
+            return {}, {}
+        raise
+    except ImportError as e:  # a folder left without modules is an empty namespace package
+        if "storepulse.llm" in str(e):
+            return {}, {}
+        raise
+    import corpus_pipeline
+    oracle = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        oracle["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, oracle
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from storepulse.plans.catalogue import QUERIES
-    return dict(QUERIES)
+    return {**QUERIES, **_training_data()[0]}
 
 
 # Shared fragments of the oracle texts (test tables -> dashboard records).
@@ -67,6 +86,7 @@ def _w(*frags: str) -> str:
 def oracle_sql() -> dict[str, str]:
     S, O, SA = _STARTUP, _ORDER, _SALE
     return {
+        **_training_data()[1],
         "parse_startup": _w(S) + "SELECT mid, uid, area, ts, log_date, log_hour, log_hour_minute FROM startup",
         "parse_event": "SELECT 'mid_' || user_id AS mid, event_type AS evid, CAST(json_extract_string(props,'$.k') AS INTEGER) AS itemid, "
                        "epoch_us(ts) // 1000 AS ts FROM events WHERE event_type <> 'view'",
