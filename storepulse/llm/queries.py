@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storepulse.llm import bpe, decontam, langid, minhash, rans, tokencount, windows
+from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, minhash, rans, tokencount, windows
 from storepulse.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -15,6 +15,10 @@ def _vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, written as rANS files in document order, and read back from them."""
     return rans.read_digests(spark, rans.pack_documents(table(spark, sf_dir, "documents"), _vocabulary()))
@@ -29,10 +33,21 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of a tree: its source, then folders of 512 and of 32 ids."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.expr("cast(doc_id div 512 as string)"), F.expr("cast(doc_id div 32 as string)"), F.col("doc_id").cast("string"))
+    return license.scan(docs.select("doc_id", "text", path.alias("path")))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,10 +61,13 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hnsw": op1_hnsw,
     "op2_rans_tokens": op2_rans_tokens,
     "op3_compact_windows": op3_compact_windows,
     "op4_language": op4_language,
+    "op5_license_scan": op5_license_scan,
     "op6_minhash": op6_minhash,
+    "op7_cross_entropy": op7_cross_entropy,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
