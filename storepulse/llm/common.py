@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from storepulse.session import scratch_path
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new shared table and read it back: cuts lineage and recomputation."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -62,6 +63,23 @@ def record_batch(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """(node, root) of the components of the links a-b."""
+    parent: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        parent.setdefault(v, v)
+        while parent[v] != v:
+            parent[v] = v = parent[parent[v]]
+        return v
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    return [(v, root(v)) for v in list(parent) if root(v) != v]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable over undirected ``edges`` (a, b), for every node of an edge.
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import components, stored
+from storepulse.llm.common import components, forest, stored
 
 SHARD_ROWS = 8192
 BLOCK = 512
@@ -195,23 +195,6 @@ def linked(graph: Graph, q: np.ndarray, exact_x: np.ndarray, exact_q: np.ndarray
     return i[ok], j[ok]
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """(node, root) of the components of the links a-b."""
-    parent: dict[int, int] = {}
-
-    def root(v: int) -> int:
-        parent.setdefault(v, v)
-        while parent[v] != v:
-            parent[v] = v = parent[parent[v]]
-        return v
-
-    for x, y in zip(a.tolist(), b.tolist()):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-    return [(v, root(v)) for v in list(parent) if root(v) != v]
-
-
 def _matrix(blob: bytes, dim: int) -> np.ndarray:
     return np.frombuffer(blob, np.float64).reshape(-1, dim)
 
@@ -278,7 +261,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     np.add.at(n_q, a, copies[b])
                     if not same:
                         np.add.at(n_x, b, q_copies[a])
-                    pairs = _forest(q_ids[a], ids[b])
+                    pairs = forest(q_ids[a], ids[b])
                     edges_a.extend(p[0] for p in pairs)
                     edges_b.extend(p[1] for p in pairs)
                 there, other = np.flatnonzero(n_q), np.flatnonzero(n_x)

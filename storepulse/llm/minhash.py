@@ -7,10 +7,12 @@ equal positions are counted on the bits of two signatures and the count is corre
 chance collisions, 2**-BITS of the other positions. Pairs whose estimate is five standard
 errors below the threshold are dropped; every other pair is confirmed on the full sets.
 
-Documents with the same set are one node, so copies make no pairs. Buckets do not emit all
-their pairs: a large bucket emits stars around the members that resemble most of it, which
-join its parts; then, with the confirmed components known, it emits the pairs that are still
-between different components, so no link between components is lost.
+Documents with the same set are one node, so copies make no pairs. A small bucket emits its
+pairs, which are confirmed by a join with the sets. A larger one only ties its members to its
+first: what such ties connect is a cluster, cut into blocks of BLOCK documents by a hash; a task
+gets two blocks with their full sets, counts all shared shingles by matrix products, and returns
+a spanning forest of the links. So every pair of a cluster is compared on full sets, none is emitted,
+and no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import components, record_batch, slices, stored
+from storepulse.llm.common import components, forest, record_batch, slices, stored
 
 HASHES, ROWS, BITS = 96, 4, 2
 BANDS = HASHES // ROWS
-#: Buckets up to this size emit all pairs at once; larger ones first emit up to HUBS stars.
-SMALL, HUBS, HUB_CHOICES = 16, 8, 256
+#: Buckets up to this size emit their pairs; documents of a cluster that are compared in one task with as many others.
+SMALL, BLOCK = 8, 1024
 _rng = np.random.default_rng(20240611)
 _MULT = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -143,78 +145,98 @@ def _groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int
     yield from flush()
 
 
-_PAIR = "a long, b long, bucket long"
-
-
-def _pair_batch(a: list, b: list, bucket: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b, bucket)], names=["a", "b", "bucket"])
-
-
-def _first_pairs(rows: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs (a, b) of buckets; (null, null, bucket) for each bucket that holds more pairs than it emitted."""
+def _pairs(rows: DataFrame, least: float) -> DataFrame:
+    """(a, b, tie) from bucket rows sorted by key: candidate pairs of small buckets, ties of large ones to their first member."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, size = [], [], 0
-        for key, (ids, sigs) in _groups(batches, 3):
+        out, size = [], 0
+        for _, (ids, sigs) in _groups(batches, 3):
             n = len(ids)
             if n <= SMALL:
                 i, j = np.triu_indices(n, 1)
                 ok = estimate(sigs[i], sigs[j]) >= least
                 i, j = i[ok], j[ok]
             else:
-                some = np.unique(np.linspace(0, n - 1, min(n, HUB_CHOICES)).astype(int))
-                est = np.stack([estimate(sigs[s], sigs) for s in some])
-                open_, i, j = np.ones(n, bool), [], []
-                for _ in range(HUBS):
-                    hub = int(((est >= 0.8) & open_).sum(1).argmax())
-                    near = np.flatnonzero((est[hub] >= least) & (np.arange(n) != some[hub]))
-                    i.append(np.full(len(near), some[hub]))
-                    j.append(near)
-                    covered = open_ & (est[hub] >= 0.8)
-                    open_ &= ~covered
-                    open_[some[hub]] = False
-                    est[hub] = -1
-                    if not covered.any() or not open_.any():
-                        break
-                i, j = np.concatenate(i), np.concatenate(j)
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "bucket"])
-            a.append(ids[i])
-            b.append(ids[j])
+                j = np.arange(1, n)
+                i = np.zeros(len(j), int)
+            out.append((ids[i], ids[j], np.full(len(i), n > SMALL)))
             size += len(i)
             if size > 100_000:
-                yield _pair_batch(a, b, [np.zeros(size, np.int64)])
-                a, b, size = [], [], 0
-        yield _pair_batch(a, b, [np.zeros(size, np.int64)])
+                yield _batch(out)
+                out, size = [], 0
+        if out:
+            yield _batch(out)
+
+    def _batch(out: list) -> pa.RecordBatch:
+        a, b, tie = (np.concatenate(c) for c in zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(tie)], names=["a", "b", "tie"])
+
+    return rows.mapInArrow(run, "a long, b long, tie boolean")
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 1 << 13) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``, by products of 0/1 matrices ``width`` shingles at a time."""
+    values = np.concatenate(a + b)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in a + b])
+    order = np.argsort(values, kind="stable")
+    values, row = values[order], row[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    column, count = np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), len(values)))
+    keep = count[column] > 1  # a shingle of one set is shared with none
+    row, column = row[keep], np.unique(column[keep], return_inverse=True)[1]
+    total = np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        here = slice(*np.searchsorted(column, [start, start + width]))
+        m = np.zeros((len(a) + len(b), width), np.float32)
+        m[row[here], column[here] - start] = 1
+        total += m[:len(a)] @ m[len(a):].T
+    return total
+
+
+def _sets(rows: DataFrame, words: int) -> DataFrame:
+    """``rows`` (id, text, more columns) with the text replaced by the sorted hashes of its shingles, ``s``."""
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text") + ", s binary"
 
-    return rows.mapInArrow(run, _PAIR)
-
-
-def _later_pairs(rows: DataFrame, least: float) -> DataFrame:
-    """Every candidate pair of a large bucket whose members lie in different components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (ids, comp, sigs) in _groups(batches, 4):
-            names, group, count = np.unique(comp, return_inverse=True, return_counts=True)
-            if len(names) < 2:
-                continue
-            for i in np.flatnonzero(group != count.argmax()):
-                j = np.flatnonzero((group != group[i]) & ((group == count.argmax()) | (np.arange(len(ids)) > i)))
-                j = j[estimate(sigs[i], sigs[j]) >= least]
-                if len(j):
-                    yield _pair_batch([np.full(len(j), ids[i])], [ids[j]], [np.zeros(len(j), np.int64)])
-
-    return rows.mapInArrow(run, _PAIR)
+        for batch in batches:
+            names = [n for n in batch.schema.names if n != "text"]
+            texts = batch.column("text").to_pylist()
+            for a, b in slices(texts):
+                part = batch.slice(a, b - a)
+                s = pa.array([np.unique(shingles(word_hashes(t), words)).tobytes() for t in texts[a:b]], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [s], names=names + ["s"])
+
+    return rows.mapInArrow(run, out)
+
+
+def _clustered(ties: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) inside the clusters that ``ties`` connect: a spanning forest from each pair of blocks."""
+    clusters = components(ties)
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("n")).select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = clusters.join(sizes, "component").select(F.col("node").alias("id"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    sets = stored(_sets(dealt.join(docs, "id").select("id", "component", "blocks", "block", "text"), words), "sets")
+    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("id", "s", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def compare(key, rows):
+        block = rows.column("block").to_numpy()
+        ids = rows.column("id").to_numpy()
+        s = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("s")]
+        lo, hi = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        if not len(lo) or not len(hi):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        both = shared_counts([s[i] for i in lo], [s[i] for i in hi])
+        n = np.array([len(x) for x in s], np.float64)
+        i, j = np.nonzero(100 * both >= percent * (n[lo][:, None] + n[hi][None] - both))
+        pairs = forest(ids[lo[i]], ids[hi[j]])
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return met.groupBy("component", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
     used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    schema = pa.schema([("id", pa.int64()), ("s", pa.binary())])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                yield record_batch({"id": ids[a:b], "s": [np.unique(shingles(word_hashes(t), words)).tobytes() for t in texts[a:b]]}, schema)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,7 +247,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
                 keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], names=["a", "b"])
 
-    of = stored(docs.join(used, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "sets")
+    of = stored(_sets(docs.join(used, "id", "left_semi").select("id", "text"), words), "sets")
     left, right = of.select(F.col("id").alias("a"), F.col("s").alias("x")), of.select(F.col("id").alias("b"), F.col("s").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
@@ -244,17 +266,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = real.join(reps, (real["fp"] == reps["fp"]) & (real["id"] == reps["rep"]), "left_semi").dropDuplicates(["id", "fp"])
     bands = nodes.select(F.explode("keys").alias("key"), "id", "sig")
     dealt = bands.repartition("key").sortWithinPartitions("key", "id")
-    found = stored(_first_pairs(dealt, least), "candidates")
+    found = stored(_pairs(dealt, least).distinct(), "candidates")
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    edges = stored(_confirmed(found.where("a is not null"), plain, words, percent), "links")
-    comps = components(edges)
-    large = found.where("a is null").select(F.col("bucket").alias("key")).distinct()
-    rest = bands.join(large, "key", "left_semi").join(comps, F.col("id") == F.col("node"), "left")
-    rest = rest.select("key", "id", F.coalesce("component", "id").alias("comp"), "sig")
-    if not large.isEmpty():
-        more = _confirmed(_later_pairs(rest.repartition("key").sortWithinPartitions("key", "id"), least), plain, words, percent)
-        comps = components(edges.unionByName(more))
-    comps = stored(comps, "components")
+    links = _confirmed(found.where("not tie"), plain, words, percent).unionByName(_clustered(found.where("tie"), plain, words, percent))
+    comps = stored(components(links), "components")
     # a document's class is that of its set's first document
     out = sig.join(reps, "fp", "left").withColumn("node", F.coalesce("rep", "id"))
     out = out.select("id", "n_shingles", "node").join(comps, "node", "left")
