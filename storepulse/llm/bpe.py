@@ -33,7 +33,7 @@ from storepulse.llm.common import record_batch, slices
 MAX_WORDS = 500_000
 MAX_CHUNKS = 100_000
 #: About every so many'th proven join ends a chunk.
-CHUNK_JOINS = 32
+CHUNK_JOINS = 64
 #: Fixed value: the byte-level pre-token pattern that the vocabulary files name.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Beyond these blocks letter classes differ between Unicode versions of two libraries; such texts are the library's.

@@ -35,8 +35,8 @@ from storepulse.llm.common import record_batch, slices, stored
 from storepulse.session import scratch_path
 
 SCALE_BITS = 20
-LANES = 512
-BLOCK_TOKENS = 1 << 17
+LANES = 1024
+BLOCK_TOKENS = 1 << 18
 #: Ids a file aims at; one file is written and read by one task at a time.
 FILE_TOKENS = 1 << 22
 _LOW = np.uint64(1 << 31)
@@ -122,27 +122,35 @@ def _fs(path: str):
 
 
 def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids of every whole text as little-endian uint32, the end id appended; null texts are empty."""
+    """(doc_id, n_tokens, ids): ids of every whole text, the end id appended; null texts are empty.
+
+    Ids are little-endian and as wide as :func:`id_type` of the vocabulary's size says.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, end = codec(path), np.uint32(end_id).tobytes()
+        kind = id_type(len(c.bytes_of))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts, 1 << 22):
-                coded = [x + end for x in c.encode_words([t or "" for t in texts[a:b]])]
-                yield record_batch({"doc_id": ids[a:b], "n_tokens": [len(x) // 4 for x in coded], "ids": coded}, schema)
+                coded = [np.frombuffer(x + end, np.uint32).astype(kind) for x in c.encode_chunks([t or "" for t in texts[a:b]])]
+                yield record_batch({"doc_id": ids[a:b], "n_tokens": [len(x) for x in coded], "ids": [x.tobytes() for x in coded]}, schema)
 
     out = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return out.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def token_counts(coded: DataFrame) -> np.ndarray:
+def id_type(vocabulary: int) -> type:
+    return np.uint16 if vocabulary <= 1 << 16 else np.uint32
+
+
+def token_counts(coded: DataFrame, kind: type = np.uint32) -> np.ndarray:
     """Occurrences of every id over all documents; as long as the largest id, so bounded by the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(x or b"" for x in batch.column(0).to_pylist()), np.uint32)
+            ids = np.frombuffer(b"".join(x or b"" for x in batch.column(0).to_pylist()), kind)
             found = np.bincount(ids)
             if len(found) > len(total):
                 total = np.pad(total, (0, len(found) - len(total)))
@@ -161,7 +169,7 @@ _SCHEMA = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("offset", pa.
                      ("tokens", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary())])
 
 
-def write_tokens(coded: DataFrame, folder: str) -> str:
+def write_tokens(coded: DataFrame, folder: str, kind: type = np.uint32) -> str:
     """Write (doc_id, n_tokens, ids) as a dataset in ascending doc_id order (null ids first, ties by content).
 
     Each range of ids is one sorted partition and one file, written under a name of the attempt's own and then renamed,
@@ -171,7 +179,7 @@ def write_tokens(coded: DataFrame, folder: str) -> str:
     import uuid
 
     spark = coded.sparkSession
-    counts = token_counts(coded)
+    counts = token_counts(coded, kind)
     freqs = scaled(counts)
     fs, root = _fs(folder)
     fs.create_dir(root, recursive=True)
@@ -188,7 +196,7 @@ def write_tokens(coded: DataFrame, folder: str) -> str:
         t, part = Table(shared.value), TaskContext.get().partitionId()
         here, base = _fs(folder)
         temp, offset, block = f"{base}/.{uuid.uuid4().hex}", 0, 0
-        docs, lengths, rows, left = [], [], [], np.zeros(0, np.uint32)
+        docs, lengths, rows, left = [], [], [], np.zeros(0, kind)
         with here.open_output_stream(temp) as out:
             def put(ids):
                 nonlocal offset, block
@@ -202,7 +210,7 @@ def write_tokens(coded: DataFrame, folder: str) -> str:
                 lengths.extend(batch.column(1).to_pylist())
                 whole = [left]
                 for x in batch.column(2):
-                    whole.append(np.frombuffer(x.as_buffer(), np.uint32))
+                    whole.append(np.frombuffer(x.as_buffer(), kind))
                 left = np.concatenate(whole)
                 for a in range(0, len(left) - BLOCK_TOKENS + 1, BLOCK_TOKENS):
                     put(left[a:a + BLOCK_TOKENS])
@@ -219,7 +227,7 @@ def write_tokens(coded: DataFrame, folder: str) -> str:
             yield record_batch({"file": [part], "block": [b], "offset": [o], "bytes": [size], "tokens": [n],
                                 "doc_ids": [first[0] if not i else b""], "lengths": [first[1] if not i else b""]}, _SCHEMA)
 
-    ranged = coded.repartitionByRange(parts, "doc_id", "ids") if parts > 1 else coded.coalesce(1)
+    ranged = coded.repartitionByRange(parts, "doc_id") if parts > 1 else coded.coalesce(1)
     ranged.sortWithinPartitions("doc_id", "ids").mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
 
@@ -294,4 +302,5 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 def pack_documents(docs: DataFrame, path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode every whole text and write the dataset; returns its folder (a new shared one unless given)."""
     folder = folder or scratch_path(docs.sparkSession, "rans")
-    return write_tokens(stored(tokenize(docs, path, id_col, text_col), "ids"), folder)
+    kind = id_type(len(codec(path).bytes_of))
+    return write_tokens(stored(tokenize(docs, path, id_col, text_col), "ids"), folder, kind)
