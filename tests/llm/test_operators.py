@@ -1,0 +1,209 @@
+"""The training-data operators against brute force, the libraries themselves and awkward rows."""
+
+import hashlib
+import os
+import re
+import sys
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, minhash, rans, tokencount, windows
+from storepulse.llm.common import components, ship
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+COPY = " ".join(f"word{i % 37}x{i}" for i in range(120))
+ODD = ["", None, "   ", "\n\n", "a" * 3000, "the  cat\n sat　down <|endoftext|> it's 12", COPY, COPY, COPY + " one more", "中文 text 😀 und Straße"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    ship(spark)
+    rows = [(i, t, None, "s", 0, 1.0) for i, t in enumerate(ODD)] + [(None, COPY, "en", None, None, None), (6, COPY, "en", "s", 1, 2.0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_tokens int, score double")
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture(scope="module")
+def lib():
+    return Tokenizer.from_file(PATH)
+
+
+def test_encode_and_decode_as_the_library(lib):
+    c, texts = bpe.codec(PATH), [t or "" for t in ODD]
+    for text, a, b in zip(texts, c.encode_words(texts), c.encode_chunks(texts)):
+        ids = lib.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(a, np.uint32).tolist() == np.frombuffer(b, np.uint32).tolist() == ids
+        assert c.decode(ids) == lib.decode(ids, skip_special_tokens=False)
+
+
+def test_round_trip_and_counts(odd, empty, lib):
+    got = sorted((r.n_tokens, r.ids_sha256) for r in bpe.encode_digest(odd, PATH).collect())
+    texts = [t or "" for t in ODD] + [COPY] * 2
+    ids = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got == sorted((len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for x in ids)
+    rows = tokencount.count_tokens(odd, PATH).collect()
+    assert sorted((r.n_bytes, r.n_tokens) for r in rows) == sorted((len(t.encode()), len(x)) for t, x in zip(texts, ids))
+    assert bpe.encode_digest(empty, PATH).count() == tokencount.count_tokens(empty, PATH).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, rans.LANES, rans.LANES + 1, 20_000])
+def test_rans_block_round_trip(n):
+    ids = np.random.default_rng(n).zipf(1.3, n) % 900
+    t = rans.Table(rans.scaled(np.bincount(ids, minlength=1000)))
+    data = rans.encode_block(ids, t) if n else rans.encode_block(ids, rans.Table(rans.scaled(np.array([1]))))
+    if n:
+        assert rans.decode_block(data, t).tolist() == ids.tolist()
+        broken = bytearray(data)
+        broken[-1] ^= 1
+        with pytest.raises(ValueError):
+            rans.decode_block(bytes(broken), t)
+
+
+def test_rans_files(odd, empty, lib):
+    got = rans.read_digests(odd.sparkSession, rans.pack_documents(odd, PATH)).orderBy("start").collect()
+    rows = sorted([(None, COPY)] + list(enumerate(ODD)) + [(6, COPY)], key=lambda r: (r[0] is not None, r[0] or 0))
+    start = 0
+    for r, (i, t) in zip(got, rows, strict=True):
+        ids = np.array(lib.encode(t or "", add_special_tokens=False).ids + [0], np.uint32)
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert rans.read_digests(odd.sparkSession, rans.pack_documents(empty, PATH)).count() == 0
+
+
+def test_minhash_odd_rows(odd, empty):
+    rows = minhash.near_duplicates(odd).collect()
+    by = {r.doc_id: r for r in rows}
+    assert len(rows) == odd.count()
+    assert by[7].component_id == by[8].component_id == 6 and not by[7].kept and by[6].kept
+    assert by[0].n_shingles == 0 and by[0].kept and by[None].kept and by[None].component_id is None
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_minhash_large_cluster_matches_brute_force(spark):
+    ship(spark)
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for k in rng.integers(0, 150, rng.integers(0, 9)):
+            w[k] = f"n{rng.integers(1 << 30)}"
+        texts.append(" ".join(w))
+    sets = [set(minhash.shingles(minhash.word_hashes(t), 4).tolist()) for t in texts]
+    parent = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = parent[i], parent[j]
+                parent = [min(a, b) if p in (a, b) else p for p in parent]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=4)
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(parent))
+
+
+def test_passages(spark, odd, empty):
+    share = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, "a b c " + share + " x y"), (2, "q w " + share + " e r t"), (3, "nothing like the others " * 20)]
+    got = windows.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.from_word, r.to_word, r.source_id) for r in got] == [(2, 2, 62, 1)]
+    cut = {r.doc_id: r.text for r in windows.cut_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert cut[2] == "q w e r t" and cut[1] == rows[0][1] and cut[3] == rows[2][1]
+    assert windows.cut_passages(odd).columns == odd.columns and windows.cut_passages(odd).count() == odd.count()
+    assert windows.duplicate_passages(empty).count() == 0
+
+
+def test_wu_manber_against_brute_force(spark, odd, empty):
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 3, n))
+    docs, items = [(i, text(60)) for i in range(40)], [(100 + i, text(n)) for i, n in enumerate([0, 1, 4, 9, 10, 11, 14])]
+    got = {r.doc_id: r for r in decontam.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for i, t in docs:
+        w, hit, found = t.split(), set(), set()
+        for item, x in items:
+            p = x.split()
+            m = min(10, len(p))
+            for k in range(len(p) - m + 1 if m else 0):
+                for j in range(len(w) - m + 1):
+                    if w[j:j + m] == p[k:k + m]:
+                        hit.update(range(j, j + m))
+                        found.add(str(item))
+        r = got[i]
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(found), bool(hit))
+        assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.report(odd, none).where("contaminated").count() == 0 and decontam.report(empty, none).count() == 0
+
+
+def test_language(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+    by = {r.doc_id: r for r in langid.identify(odd).collect()}
+    assert by[0].lang_pred == by[1].lang_pred == by[2].lang_pred == "und" and by[0].score == 0
+    assert langid.identify(empty).count() == 0
+
+
+def test_embeddings_against_brute_force(spark):
+    ship(spark)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 16))
+    v = (centres[rng.integers(0, 12, 300)] + 0.12 * rng.normal(size=(300, 16))).astype(np.float32)
+    rows = [(i, v[i].tolist(), int(i % 2)) for i in range(300)]
+    rows += [(300, v[0].tolist(), 0), (301, None, 0), (302, [0.0] * 16, 0), (303, [float("nan")] * 16, 0), (304, v[0].tolist(), None), (None, v[0].tolist(), 0)]
+    old, hnsw.SHARD_ROWS = hnsw.SHARD_ROWS, 40
+    try:
+        got = {r.vec_id: r for r in hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    finally:
+        hnsw.SHARD_ROWS = old
+    x = np.vstack([v, v[:1]]).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([i % 2 for i in range(300)] + [0])
+    near = (x @ x.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    assert [got[i].n_links for i in range(301)] == near.sum(1).tolist()
+    assert all(got[i].n_links == 0 and got[i].kept for i in (301, 302, 303, 304, None))
+
+
+def test_licences(spark, empty):
+    rows = [(1, "prose of no interest", "a/b/c.txt"), (2, "Licensed under the Apache License, Version 2.0.", "a/LICENSE"),
+            (3, "long words " * 30 + "\nReleased under the MIT License.", "a/b/d.txt"), (4, None, None), (5, "x", "z/y.txt")]
+    got = {r.doc_id: (r.license, r.found) for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string, path string")).collect()}
+    assert got == {1: ("Apache-2.0", "inherited"), 2: ("Apache-2.0", "file"), 3: ("MIT", "header"), 4: (None, "none"), 5: (None, "none")}
+    assert license.scan(empty.withColumnRenamed("source", "path")).count() == 0
+
+
+def test_cross_entropy_difference(spark, odd, empty):
+    docs = spark.createDataFrame([(i, "red green blue " * 9 if i % 2 else "one two three " * 9) for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in lmscore.score(docs, labels).collect()}
+    assert all((got[i].score < 0) == bool(i % 2) for i in range(20))
+    rows = lmscore.score(odd, labels).collect()
+    assert len(rows) == odd.count() and all(r.score is None for r in rows if not r.n_tokens)
+    assert lmscore.score(empty, labels).count() == 0
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 1), (7, 7), (8, None)], "a long, b long")
+    assert {r.node: r.component for r in components(edges).collect()} == {1: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    for _, stage in pipeline.STAGES[:-1]:
+        before, docs = docs.count(), stage(spark, docs, sf_dir)
+        assert docs.columns == columns and 0 < docs.count() <= before
+    assert pipeline.run(spark, sf_dir).count() == docs.count()
