@@ -154,7 +154,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                     if len(memo) > _MEMO:
                         memo.clear()
                     counts = Counter(words)
-                    for w in counts.keys() - memo.keys():
+                    for w in [w for w in counts if w not in memo]:
                         memo[w] = m.of_word(w)
                     s = m.prior + np.array(list(counts.values()), float) @ np.array([memo[w] for w in counts])
                     p = np.exp(s - s.max())
