@@ -71,8 +71,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
     Order: ``spark.checkpoint.dir`` from the session, then a checkpoint dir set on the
-    context, then (tests only) a fresh local temporary folder which is also installed
-    as the context's checkpoint dir.
+    context, then (local masters only) a fresh local temporary folder which is also installed
+    as the context's checkpoint dir. On a cluster without a shared folder it raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -81,6 +81,9 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = sc.master or ""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(sc)
     if key not in _LOCAL_ROOT:
         _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="storepulse-")
