@@ -103,8 +103,8 @@ def previous_day_col(d) -> Column:
 
 def camel_case(name) -> Column:
     """lower_underscore -> lowerCamel on a string column (``consignee_tel`` -> ``consigneeTel``)."""
-    spaced = F.initcap(F.regexp_replace(F.lower(_col(name)), "_", " "))
-    joined = F.regexp_replace(spaced, " ", "")
+    spaced = F.initcap(F.replace(F.lower(_col(name)), F.lit("_"), F.lit(" ")))
+    joined = F.replace(spaced, F.lit(" "), F.lit(""))
     return F.concat(F.lower(F.substr(joined, F.lit(1), F.lit(1))), F.substr(joined, F.lit(2)))
 
 

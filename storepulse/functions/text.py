@@ -1,10 +1,10 @@
 """One tokenizer for documents and keywords, and keyword predicates built on it.
 
-Tokens are the maximal runs of Unicode word characters of the lower-cased text
-(Java ``(?U)\\w``: letters, marks, decimal digits, connector punctuation, joiners).
-Matching a keyword term is done with a word-bounded regular expression on the whole
-text, which is exactly "the term is one of the tokens" without materialising token
-arrays; counting uses ``regexp_count`` the same way.
+Tokens of the lower-cased text: each Han character is one token (those scripts put no
+spaces between words), and so is every maximal run of other letters, marks, decimal
+digits and connector punctuation. Matching a keyword term is done with a word-bounded
+regular expression on the whole text, which is exactly "the term is one of the tokens"
+without materialising token arrays; counting uses ``regexp_count`` the same way.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_JAVA_WORD = r"(?U)\w"
-_JAVA_NONWORD_RUN = r"(?U)\W+"
-# Python twin of Java's (?U)\w so that keywords split the same way on the driver.
-_PY_NONWORD_RUN = regex.compile(r"[^\p{Alphabetic}\p{Mn}\p{Me}\p{Mc}\p{Nd}\p{Pc}\p{Join_Control}]+")
+_HAN = r"\p{IsHan}"
+_WORD = r"[\p{L}\p{M}\p{Nd}\p{Pc}&&[^\p{IsHan}]]"
+_TOKEN = f"{_HAN}|{_WORD}+"
+# The same rule for keywords, which are split on the driver.
+_PY_TOKEN = regex.compile(r"(?V1)\p{Han}|[[\p{L}\p{M}\p{Nd}\p{Pc}]--\p{Han}]+")
+_PY_HAN = regex.compile(r"\p{Han}")
 
 
 def _col(c) -> Column:
@@ -25,13 +27,13 @@ def _col(c) -> Column:
 
 
 def tokens(text) -> Column:
-    """Array of tokens (lower case, empty pieces removed)."""
-    return F.filter(F.split(F.lower(_col(text)), _JAVA_NONWORD_RUN), lambda t: t != "")
+    """Array of tokens (lower case)."""
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(_TOKEN), F.lit(0))
 
 
 def token_count(text) -> Column:
     """Number of tokens, without building the array."""
-    return F.regexp_count(F.lower(_col(text)), F.lit(_JAVA_WORD + "+"))
+    return F.regexp_count(F.lower(_col(text)), F.lit(_TOKEN))
 
 
 def keyword_terms(keyword: str | None) -> list[str]:
@@ -39,14 +41,14 @@ def keyword_terms(keyword: str | None) -> list[str]:
     if not keyword:
         return []
     seen: dict[str, None] = {}
-    for t in _PY_NONWORD_RUN.split(keyword.lower()):
-        if t:
-            seen.setdefault(t, None)
+    for t in _PY_TOKEN.findall(keyword.lower()):
+        seen.setdefault(t, None)
     return list(seen)
 
 
 def _term_regex(term: str) -> str:
-    return r"(?U)(?<!\w)\Q" + term + r"\E(?!\w)"
+    literal = r"\Q" + term + r"\E"
+    return literal if _PY_HAN.fullmatch(term) else f"(?<!{_WORD}){literal}(?!{_WORD})"
 
 
 def has_term(text, term: str) -> Column:

@@ -1,8 +1,8 @@
 """The dashboard's JSON answers in the service's shapes.
 
 KPI list: ``[{"id", "name", "value"}, ...]`` in card order; hourly comparison:
-``{"yesterday": {"HH": v}, "today": {"HH": v}}`` with hours that have no data left out
-(the chart fills them). Both collect a bounded number of rows (3 cards, 24 hours).
+``{"yesterday": {"HH": v}, "today": {"HH": v}}`` with hours that have no data (NULL) left
+out (the chart fills them); a real sum of 0 stays. Both collect a bounded number of rows (3 cards, 24 hours).
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ def kpi_list_json(cards: DataFrame) -> DataFrame:
 
 def hour_maps_json(compare: DataFrame, hour: str = "hour") -> DataFrame:
     """``json`` = ``{"yesterday": {HH: v}, "today": {HH: v}}`` from an hourly comparison
-    (``hour, yesterday, today``); zero hours are left out as in the service's answer."""
+    (``hour, yesterday, today``, made with ``fill=False``); NULL is "no data" and left out."""
     def day_map(c):
-        entries = F.collect_list(F.when(F.col(c) != 0, F.struct(F.col(hour).alias("k"), F.col(c).alias("v"))))
+        entries = F.collect_list(F.when(F.col(c).isNotNull() & F.col(hour).isNotNull(), F.struct(F.col(hour).alias("k"), F.col(c).alias("v"))))
         return F.map_from_entries(F.array_sort(entries))
     return compare.agg(F.to_json(F.struct(day_map("yesterday").alias("yesterday"),
                                           day_map("today").alias("today"))).alias("json"))

@@ -51,38 +51,47 @@ def hours24(spark: SparkSession) -> DataFrame:
 
 
 def fill_hours(spark: SparkSession, df: DataFrame, hour_col: str, values: dict) -> DataFrame:
-    """Every hour present: left join the 24 hours with ``df`` and fill ``values`` defaults."""
-    joined = hours24(spark).join(df.withColumnRenamed(hour_col, "hour"), "hour", "left")
-    return joined.select("hour", *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in values.items()])
+    """Every hour present: the 24 hours joined with ``df`` (one row per hour), ``values`` defaults
+    filled (a default of None stays NULL). Rows of ``df`` whose hour is none of the 24 (NULL, ``25``)
+    are kept as rows of their own, so no amount is lost."""
+    joined = hours24(spark).join(df.withColumnRenamed(hour_col, "hour"), "hour", "full")
+    return joined.select("hour", *[F.col(c) if v is None else F.coalesce(F.col(c), F.lit(v)).alias(c)
+                                   for c, v in values.items()])
+
+
+def hour_text(c: str) -> F.Column:
+    """An hour as ``HH``: a single digit gets its zero, anything else stays."""
+    return F.when(F.col(c).rlike("^[0-9]$"), F.lpad(c, 2, "0")).otherwise(F.col(c))
 
 
 def hour_compare(spark: SparkSession, df: DataFrame, date_col: str, hour_col: str, date: str,
-                 amount: str | None = None) -> DataFrame:
+                 amount: str | None = None, fill: bool = True) -> DataFrame:
     """One scan for ``date`` and the day before: ``hour, yesterday, today`` for all 24 hours.
 
-    Counts rows when ``amount`` is None, else sums it (decimal, reported as double).
+    Counts rows when ``amount`` is None, else sums it (decimal, reported as double). Hours
+    without rows are 0, or NULL with ``fill=False``, which tells them from a real sum of 0.
     """
     y = previous_day(date)
     scoped = df.where(F.col(date_col).isin(y, date))
     is_y, is_t = F.col(date_col) == y, F.col(date_col) == date
     if amount is None:
-        agg = scoped.groupBy(hour_col).agg(F.count_if(is_y).alias("yesterday"),
-                                           F.count_if(is_t).alias("today"))
-        return fill_hours(spark, agg, hour_col, {"yesterday": 0, "today": 0})
+        agg = scoped.groupBy(hour_text(hour_col).alias("hour")).agg(
+            F.nullif(F.count_if(is_y), F.lit(0)).alias("yesterday"), F.nullif(F.count_if(is_t), F.lit(0)).alias("today"))
+        return fill_hours(spark, agg, "hour", dict.fromkeys(("yesterday", "today"), 0 if fill else None))
     a = F.col(amount).cast("decimal(18,2)")
-    agg = scoped.groupBy(hour_col).agg(
+    agg = scoped.groupBy(hour_text(hour_col).alias("hour")).agg(
         F.sum(F.when(is_y, a)).cast("double").alias("yesterday"),
         F.sum(F.when(is_t, a)).cast("double").alias("today"))
-    return fill_hours(spark, agg, hour_col, {"yesterday": 0.0, "today": 0.0})
+    return fill_hours(spark, agg, "hour", dict.fromkeys(("yesterday", "today"), 0.0 if fill else None))
 
 
 def realtime_hour(spark: SparkSession, kpi_id: str, date: str, dau: DataFrame | None = None,
-                  orders: DataFrame | None = None) -> DataFrame:
+                  orders: DataFrame | None = None, fill: bool = True) -> DataFrame:
     """Hourly series of today and yesterday for KPI ``dau`` or ``order_amount``."""
     if kpi_id == "dau":
-        return hour_compare(spark, dau, "log_date", "log_hour", date)
+        return hour_compare(spark, dau, "log_date", "log_hour", date, fill=fill)
     if kpi_id == "order_amount":
-        return hour_compare(spark, orders, "create_date", "create_hour", date, amount="total_amount")
+        return hour_compare(spark, orders, "create_date", "create_hour", date, amount="total_amount", fill=fill)
     raise ValueError(f"unknown KPI id {kpi_id!r}")
 
 

@@ -119,10 +119,12 @@ def sale_detail(sale: DataFrame, date: str, keyword: str | None, page_no: int =
         detail.scalar().alias("detail"))
 
 
-def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
+def rank_bm25(docs: DataFrame, ids: str | list[str], text_col: str, keyword: str | None,
               page_no: int = 1, size: int = 10, k1: float = 1.2, b: float = 0.75,
-              digits: int = 6, materialize: bool = True) -> DataFrame:
-    """Documents containing every keyword term, best BM25 score first: ``id, score``.
+              digits: int = 6, materialize: bool = True, where: Column | None = None) -> DataFrame:
+    """Documents containing every keyword term, best BM25 score first: ``ids``, ``score``.
+
+    ``where`` filters the hits only: it changes neither the statistics nor a score.
 
     One pass over the text builds a narrow table (id, length, count of each term);
     with ``materialize`` it is checkpointed to the shared checkpoint folder, so the text
@@ -132,11 +134,13 @@ def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
     to the driver). ``idf = ln(1 + (N - n + 0.5)/(n + 0.5))``, score rounded to ``digits``;
     ties by id.
     """
+    ids = [ids] if isinstance(ids, str) else list(ids)
     terms = keyword_terms(keyword)
     text = F.col(text_col)
     if not terms:
-        return docs.where(F.lit(False)).select(F.col(id_col), F.lit(0.0).alias("score"))
-    narrow = docs.select(F.col(id_col), token_count(text).alias("_dl"),
+        return docs.where(F.lit(False)).select(*ids, F.lit(0.0).alias("score"))
+    hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    narrow = docs.select(*ids, hit.alias("_hit"), token_count(text).alias("_dl"),
                          *[term_count(text, t).alias(f"_tf{i}") for i, t in enumerate(terms)])
     if materialize:
         scratch_root(docs.sparkSession)  # the cluster's checkpoint folder (set only if missing)
@@ -149,8 +153,8 @@ def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
     # planned as a subquery of its own.
     st = stats.first()
     n, avgdl = F.lit(st["n"]), F.lit(st["avgdl"])
-    all_terms = tfs[0] > 0
-    for tf in tfs[1:]:
+    all_terms = F.col("_hit")
+    for tf in tfs:
         all_terms = all_terms & (tf > 0)
     score = None
     for i, tf in enumerate(tfs):
@@ -158,5 +162,5 @@ def rank_bm25(docs: DataFrame, id_col: str, text_col: str, keyword: str | None,
         idf = F.log(1 + (n - dfi + 0.5) / (dfi + 0.5))
         part = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("_dl") / avgdl))
         score = part if score is None else score + part
-    scored = narrow.where(all_terms).select(F.col(id_col), F.round(score, digits).alias("score"))
-    return page(scored, page_no, size, [F.col("score").desc(), F.col(id_col)])
+    scored = narrow.where(all_terms).select(*ids, F.round(score, digits).alias("score"))
+    return page(scored, page_no, size, [F.col("score").desc(), *ids])

@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import to_message
 from ..functions.scalars import add_log_time, camel_columns
 from ..functions.text import match_all
-from ..operators.dedup import checked_broadcast
 
 UTC = "UTC"
 # At most this many partitions when spreading an under-split scan (a small input on a
 # large cluster should not become thousands of tiny tasks).
 SPREAD_MAX = 256
-# Largest dimension (in rows) broadcast to a join; beyond it the planner decides.
-DIM_BROADCAST_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
@@ -149,12 +146,10 @@ def order_rows(spark: SparkSession, sf_dir: str, days=None, heavy: bool = False)
         o = o.where(p)
     # Area per customer first (customer x 25 nations, a dimension lookup), then one join
     # of the orders on the customer key: orders are shuffled once, never by nation.
-    customer = table(spark, sf_dir, "customer")
-    c = customer.select("c_custkey", "c_nationkey")
-    n = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
+    # No hints: the planner's byte threshold and AQE choose the broadcasts.
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select("c_custkey", "n_name")
-    # the lookup side has at most as many rows as the customer table
-    cn = checked_broadcast(cn, DIM_BROADCAST_ROWS, bound=customer)
     j = o.join(cn, o["o_custkey"] == cn["c_custkey"])
     secs = (F.col("o_orderkey") * 7919) % 86400
     created = F.timestamp_add("SECOND", secs, F.col("o_orderdate"))
@@ -208,10 +203,9 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
 
     ``sku_keyword``: only SKUs whose name matches (for searches). The match is on the
     part table, which joins after the aggregation, so the optimizer cannot push it down;
-    here lineitems are semi-joined with the matching part keys before aggregating — as
-    a broadcast, when the matching keys are counted within the dimension limit. A broad
-    keyword skips this pre-filter (a shuffled semi join would move all lineitems once
-    more); callers still apply the match on the result.
+    here lineitems are semi-joined with the matching part keys before aggregating; the
+    planner and AQE broadcast those keys when they are small. Callers still apply the
+    match on the result.
     """
     o = table(spark, sf_dir, "orders")
     if dt:
@@ -220,8 +214,7 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     if sku_keyword is not None:
         skus = table(spark, sf_dir, "part").where(match_all("p_name", sku_keyword)).select("p_partkey")
-        if skus.count() <= DIM_BROADCAST_ROWS:
-            li = li.join(F.broadcast(skus), li["l_partkey"] == skus["p_partkey"], "left_semi")
+        li = li.join(skus, li["l_partkey"] == skus["p_partkey"], "left_semi")
     per_order = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
                    .groupBy("o_orderkey", "o_custkey", "l_partkey", "dt")
                    .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
@@ -252,7 +245,6 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
         F.col("dt"))
 
 
-def documents(spark: SparkSession, sf_dir: str, ascii_only: bool = True) -> DataFrame:
-    """Documents (``doc_id, text``); ``ascii_only`` keeps rows without non-ASCII characters."""
-    d = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text")
-    return d.where(~F.col("text").rlike("[^\\x00-\\x7F]")) if ascii_only else d
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents (``doc_id, text``)."""
+    return table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text")

@@ -31,6 +31,7 @@ SALE_KEYWORD = "red"
 DOC_KEYWORD = "the"
 REL_KEYWORD = "the in"
 PAGE_SIZE = 10
+STAMP_MS = 1551657600000  # 2019-03-04 00:00 UTC
 TZ = A.UTC
 
 # Micro-batch durations (ms) of the last run of each streaming entry, for the benchmark.
@@ -96,6 +97,19 @@ def archive_daily_q(spark, sf_dir, max_files: int | None = None):
     return arch.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+def archive_lines_q(spark, sf_dir):
+    """Stream lines with a field no schema knows and a quoted number through the collector; content of the routed lines."""
+    root = scratch_path(spark, "collect")
+    odd = F.concat(F.expr("substr(value, 1, length(value) - 1)"), F.lit(',"pgid":"7","net":{"kind":"wifi"}}'))
+    A.raw_log_json(spark, sf_dir).select(odd.alias("value")).write.text(f"{root}/in")
+    run_to_end(collect_logs(log_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/_checkpoint",
+                            trigger="availableNow", now=STAMP_MS, tz=TZ))
+    got = spark.read.schema("value string, topic string").text(f"{root}/out/topics")
+    field = lambda path: F.get_json_object("value", path)
+    return got.select("topic", field("$.log_id").cast("long").alias("log_id"), field("$.mid").alias("mid"), field("$.pgid").alias("pgid"),
+                      field("$.net.kind").alias("net"), field("$.ts").cast("long").alias("ts"))
+
+
 def cdc_insert_orders_q(spark, sf_dir):
     msgs = cdc_to_messages(parse_envelope(A.cdc_envelopes(spark, sf_dir)))
     o = parse_order(msgs)
@@ -196,7 +210,7 @@ def area_sales_binned_q(spark, sf_dir):
 # --- sales search -------------------------------------------------------------------------
 
 SALE_SCAN_COLUMNS = ["user_id", "sku_id", "user_gender", "user_age", "user_level", "sku_price",
-                     "sku_name", "sku_num", "order_count", "order_amount", "dt"]
+                     "sku_name", "sku_tm_id", "sku_category1_name", "sku_num", "order_count", "order_amount", "dt"]
 
 
 def sale_partition_scan_q(spark, sf_dir):
@@ -229,6 +243,12 @@ def relevance_page_q(spark, sf_dir):
     return search.rank_bm25(A.documents(spark, sf_dir), "doc_id", "text", REL_KEYWORD, 1, PAGE_SIZE)
 
 
+def sale_relevance_page_q(spark, sf_dir):
+    """The month's sales that match, best first; statistics over the sales of all months."""
+    return search.rank_bm25(A.sale_rows(spark, sf_dir), ["user_id", "sku_id"], "sku_name", SALE_KEYWORD, 1, PAGE_SIZE,
+                            where=F.col("dt") == SALE_DT)
+
+
 def gender_share_q(spark, sf_dir):
     return search.gender_share(_hits(spark, sf_dir))
 
@@ -251,7 +271,9 @@ def realtime_total_json_q(spark, sf_dir):
 
 def dau_hour_compare_json_q(spark, sf_dir):
     """The hourly comparison answer as JSON maps (flat values checked by ``dau_hour_compare``)."""
-    return answers.hour_maps_json(dau_hour_compare_q(spark, sf_dir))
+    days = [kpi.previous_day(DAU_DATE), DAU_DATE]
+    dau = _firsts(A.startup_logs(spark, sf_dir, days=days))
+    return answers.hour_maps_json(kpi.realtime_hour(spark, "dau", DAU_DATE, dau=dau, fill=False))
 
 
 def sale_summary_json_q(spark, sf_dir):
@@ -285,6 +307,8 @@ QUERIES = {
     "terms_topn": terms_topn_q,
     "sale_page": sale_page_q,
     "relevance_page": relevance_page_q,
+    "sale_relevance_page": sale_relevance_page_q,
+    "archive_lines": archive_lines_q,
     "gender_share": gender_share_q,
     "age_band_share": age_band_share_q,
     "sale_summary": sale_summary_q,

@@ -91,6 +91,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT[key]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` in whatever store it lies, for folder operations."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def existing(spark: SparkSession, paths) -> list[str]:
+    """Those of ``paths`` that exist."""
+    found = ((p, hadoop_path(spark, p)) for p in paths)
+    return [p for p, (fs, hp) in found if fs.exists(hp)]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the scratch root (not created)."""
     return os.path.join(scratch_root(spark), "storepulse", f"{name}-{uuid.uuid4().hex[:12]}")

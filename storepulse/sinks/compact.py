@@ -1,8 +1,18 @@
 """Compaction of closed partitions written by micro-batches.
 
-A stream that triggers every few seconds leaves one ``batch_id`` folder per batch in
-each day (or month) partition. Once a partition is closed — no batch will write it
-again — its folders are rewritten as one folder ``batch_id=-1`` with few, large files.
+A stream that triggers every few seconds leaves one ``writer=/batch_id=`` folder per batch in
+each day (or month) partition. Once a partition is closed, its folders are merged into
+few, large files.
+
+Steps, each of which a rerun goes on from:
+
+1. the folders to merge are listed — all but the newest batch of each writer, the only one
+   that a restarted stream may write again — and copied to a staging folder that readers skip;
+2. the list is written beside it: from here on the merge is decided;
+3. the staging folder becomes a ``writer=compacted`` folder of the partition, then exactly the
+   listed folders are removed. Batches that arrive meanwhile are not on the list.
+
+A crash within step 3 leaves rows twice until the next run ends it; no step can lose rows.
 """
 
 from __future__ import annotations
@@ -11,25 +21,64 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import hadoop_path
+
+COMPACTED = "compacted"  # writer of merged rows; no query has this id
+ROWS_PER_FILE = 5_000_000
+
 
-COMPACTED = -1  # never a real batch id, so replay checks (batch_id != current) keep these rows
+def _finish(spark: SparkSession, stage: str, folder: str) -> None:
+    """Step 3 of a merge whose list is written."""
+    fs, root = hadoop_path(spark, stage)
+    target, *sources = [r[0] for r in spark.read.text(f"{stage}/list").orderBy("value").collect()]
+    target = target.split(" ", 1)[1]
+    _, data = hadoop_path(spark, f"{stage}/data")
+    if fs.exists(data):
+        _, to = hadoop_path(spark, f"{folder}/{target}")
+        fs.mkdirs(to.getParent())
+        if not fs.rename(data, to):
+            raise OSError(f"cannot move the merged rows to {to.toString()}")
+    for s in sources:
+        _, old = hadoop_path(spark, f"{folder}/{s.split(' ', 1)[1]}")
+        fs.delete(old, True)
+    fs.delete(root, True)
 
 
 def compact_partition(spark: SparkSession, path: str, schema: T.StructType, part_col: str, value: str,
-                      target_file_rows: int | None = None) -> int:
-    """Rewrite partition ``part_col=value`` of the table at ``path`` into ``batch_id=-1``.
+                      rows_per_file: int = ROWS_PER_FILE, sort_by=()) -> int:
+    """Merge the batch folders of partition ``part_col=value`` of the table at ``path``.
 
-    The rows are first copied to a scratch folder under the shared root and the partition
-    folder is then replaced from that copy (reading and overwriting the same folder in
-    one job is not allowed); if the replace fails it can be run again from the copy.
-    Returns the number of rows kept.
+    Files hold about ``rows_per_file`` rows, as ranges of ``sort_by`` (and sorted by it) when
+    given. Returns the number of rows of the partition. One compaction of a partition at a time.
     """
-    part = spark.read.schema(schema).parquet(path).where(F.col(part_col) == F.lit(value))
-    copy = scratch_path(spark, "compact")
-    part.drop(part_col, "batch_id").write.parquet(copy)
-    kept = spark.read.parquet(copy)
-    w = kept.withColumn("batch_id", F.lit(COMPACTED).cast("long")).repartition(1 if target_file_rows is None else
-                                                                              max(1, kept.count() // target_file_rows))
-    w.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(f"{path.rstrip('/')}/{part_col}={value}")
-    return spark.read.schema(schema).parquet(path).where(F.col(part_col) == F.lit(value)).count()
+    root = path.rstrip("/")
+    folder, stage = f"{root}/{part_col}={value}", f"{root}/_compaction/{part_col}={value}"
+    fs, staged = hadoop_path(spark, stage)
+    _, listed = hadoop_path(spark, f"{stage}/list/_SUCCESS")
+    if fs.exists(listed):
+        _finish(spark, stage, folder)
+    elif fs.exists(staged):
+        fs.delete(staged, True)  # a copy that was never decided on
+    rows = spark.read.schema(schema).option("basePath", root).parquet(folder)
+    # one row per batch folder: bounded by the batches of one day or month
+    batches = [(r[0], r[1]) for r in rows.select("writer", "batch_id").distinct().collect()]
+    newest: dict[str, int] = {}
+    for w, b in batches:
+        if w != COMPACTED:
+            newest[w] = max(b, newest.get(w, b))
+    merge = sorted(f"writer={w}/batch_id={b}" for w, b in batches if w == COMPACTED or b < newest[w])
+    if len(merge) > 1:
+        old = spark.read.schema(schema).option("basePath", root).parquet(*[f"{folder}/{m}" for m in merge])
+        old = old.drop(part_col, "writer", "batch_id")
+        total = old.count()  # from the files' footers
+        files = max(1, -(-total // rows_per_file))
+        out = old.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by) if sort_by else old.repartition(files)
+        out.write.parquet(f"{stage}/data")
+        copied = spark.read.parquet(f"{stage}/data").count()
+        if copied != total:
+            raise RuntimeError(f"copied {copied} of {total} rows of {folder}; nothing was removed")
+        done = max([b for w, b in batches if w == COMPACTED], default=-1) + 1
+        lines = [f"0 writer={COMPACTED}/batch_id={done}", *[f"1 {m}" for m in merge]]
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{stage}/list")
+        _finish(spark, stage, folder)
+    return spark.read.schema(schema).option("basePath", root).parquet(folder).select(F.count(F.lit(1))).first()[0]

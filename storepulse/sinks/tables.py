@@ -8,14 +8,23 @@ from pyspark.sql import types as T
 
 from ..sources.warehouse import DEFAULT_DT, sale_scan
 
+# The writer of rows that no streaming query writes.
+BATCH_WRITER = "batch"
+
+
+def writer_id(df: DataFrame) -> str:
+    """Id of the streaming query whose micro-batch is running. It is kept in the query's
+    checkpoint: a restart keeps it, a new checkpoint or a second query has another one."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or BATCH_WRITER
+
 
 def append_table(df: DataFrame, path: str, partition_by=(), batch_id: int | None = None,
-                 max_records_per_file: int | None = None, sort_by=()) -> None:
+                 max_records_per_file: int | None = None, sort_by=(), writer: str | None = None) -> None:
     """Append ``df`` to the table at ``path`` (rows sorted by ``sort_by`` inside files).
 
-    With ``batch_id`` the rows go to partitions ``(..., batch_id)`` and only those
+    With ``batch_id`` the rows go to partitions ``(..., writer, batch_id)`` and only those
     partitions are replaced (dynamic overwrite), so a replayed micro-batch replaces its
-    own output instead of duplicating it.
+    own output instead of duplicating it, and never that of another query.
     """
     parts = list(partition_by)
     # One writer per partition value where possible (few files), while AQE still splits
@@ -25,8 +34,8 @@ def append_table(df: DataFrame, path: str, partition_by=(), batch_id: int | None
         w = w.sortWithinPartitions(*parts, *sort_by)
     mode = "append"
     if batch_id is not None:
-        w = w.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        parts.append("batch_id")
+        w = w.withColumn("writer", F.lit(writer or writer_id(df))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        parts += ["writer", "batch_id"]
         mode = "overwrite"
     writer = w.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
@@ -69,9 +78,9 @@ def archive_logs(df: DataFrame, path: str) -> None:
 def load_sale_day(spark: SparkSession, source: str, target: str, dt: str = DEFAULT_DT,
                   max_records_per_file: int | None = None) -> None:
     """Load one warehouse day into the ``sale_detail`` table, replacing that day
-    (a rerun does not duplicate rows)."""
-    day = sale_scan(spark, source, dt)
-    writer = day.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
+    (a rerun does not duplicate rows, and a day that has become empty is emptied)."""
+    day = sale_scan(spark, source, dt).drop("dt")
+    writer = day.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(target)
+    writer.parquet(f"{target.rstrip('/')}/dt={dt}")

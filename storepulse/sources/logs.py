@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import parse_json
 from ..functions.scalars import add_log_time
 from ..schemas import EVENT_WIRE, LOG_WIRE, STARTUP_WIRE
+from ..session import hadoop_path
 
 # Topic names and the log type that goes to the startup topic.
 STARTUP_TOPIC = "startup"
@@ -40,6 +41,9 @@ def topic_stream(spark: SparkSession, topic_or_path: str, kafka: dict | None = N
         opts.setdefault("subscribe", topic_or_path)
         return (spark.readStream.format("kafka").options(**opts).load()
                 .select(F.col("value").cast("string").alias("value"), "timestamp"))
+    fs, folder = hadoop_path(spark, topic_or_path)
+    if not fs.exists(folder):  # the producer has not written yet
+        fs.mkdirs(folder)
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))

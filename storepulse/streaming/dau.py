@@ -1,17 +1,19 @@
 """Daily active devices: the first startup log of each device per day, kept forever.
 
 Default form (``mode="table"``): each micro-batch keeps the earliest log per
-(log_date, mid), drops keys already in the ``dau`` table — read only for the batch's
-days, and excluding the batch's own earlier output so that a replayed batch does not
-drop itself — and writes to partitions (log_date, batch_id) with dynamic overwrite.
-The table is the seen-set; there is no state to size.
+(log_date, mid), drops keys already in the ``dau`` table — only the batch's day folders
+are opened, excluding the batch's own earlier output so that a replayed batch does not
+drop itself — and writes to partitions (log_date, writer, batch_id) with dynamic overwrite.
+The table is the seen-set; there is no state to size. Lines that are malformed, or that
+have no device or no time, go to a quarantine table with their raw text.
 
 Row choice: within a batch the earliest ``ts`` (ties by ``log_id``); across batches the
 first arrival. Counts per day never depend on batching; hour attribution can, when
 logs arrive out of order.
 
 ``mode="state"``: ``dropDuplicates`` in the state store with a watermark on the day,
-for lower latency; days older than the delay (default two days) are closed.
+for lower latency; days older than the delay (default two days) are closed, and their
+rows show up as ``numRowsDroppedByWatermark`` in the query's progress.
 """
 
 from __future__ import annotations
@@ -20,100 +22,94 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.dedup import drop_seen, first_per_key
 from ..schemas import STARTUP, T
-from ..sinks.tables import append_table, ensure_table
+from ..session import existing
+from ..sinks.tables import append_table, ensure_table, writer_id
 from ..sources.logs import parse_startup
 from .metrics import with_metrics
 from .runner import DEFAULT_TRIGGER, start
 
 _log = logging.getLogger(__name__)
 KEYS = ("log_date", "mid")
-DAU_TABLE = T.StructType(list(STARTUP.fields) + [T.StructField("batch_id", T.LongType(), True)])
+DAU_TABLE = T.StructType([*STARTUP.fields, T.StructField("writer", T.StringType(), True),
+                          T.StructField("batch_id", T.LongType(), True)])
 
 
-def _seen(spark, path: str, days: list, batch_id: int) -> DataFrame | None:
-    try:
-        t = spark.read.schema(DAU_TABLE).parquet(path)
-    except AnalysisException:
-        return None
-    return t.where(F.col("log_date").isin(days) & (F.col("batch_id") != batch_id))
+def _days(spark, path: str, days: list) -> DataFrame | None:
+    """Rows of the day folders that exist; other days of the table are not listed."""
+    root = path.rstrip("/")
+    folders = existing(spark, [f"{root}/log_date={d}" for d in days])
+    return spark.read.schema(DAU_TABLE).option("basePath", root).parquet(*folders) if folders else None
 
 
-def dau_batch(path: str, broadcast_max_rows: int | None = 2_000_000, on_metrics=None):
+def dau_batch(path: str, on_metrics=None):
     """The ``foreachBatch`` function writing new daily-first devices to ``path``.
 
-    Seen check without shuffling the seen set: when the batch has at most
-    ``broadcast_max_rows`` keys (counted, the batch is cached), its keys are broadcast
-    into a left-semi join over the day partitions of the table (a parallel scan), which
-    yields the few already-seen keys; the anti join then runs against those. A larger
-    batch (an unbounded backfill) uses a plain shuffled anti join.
+    Seen check without shuffling the seen set: the batch's keys are the small side of a
+    left-semi join over the day folders, which yields the few already-seen keys, and the
+    anti join runs against those. No hints: by their sizes the planner and AQE broadcast
+    the keys of a live batch and shuffle those of a large backfill.
 
     The count of new daily devices written (read from the Parquet footers of the batch's
     own partitions) is logged and passed to ``on_metrics(batch_id, dict)`` when given;
     the count of logs in is the stream's ``dau_in`` metric.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, writer = batch.sparkSession, writer_id(batch)
         logs = batch.where(F.col("mid").isNotNull() & F.col("log_date").isNotNull())
+        # Days in one batch: a handful for a live stream, bounded by the span of the input.
+        days = [r[0] for r in logs.select("log_date").distinct().collect()]
+        if not days:
+            return
         firsts = first_per_key(logs, KEYS, [F.col("ts").asc_nulls_last(), F.col("log_id").asc_nulls_last()])
-        firsts = firsts.select(*[f.name for f in STARTUP.fields]).persist()
-        try:
-            # Days in one batch (a handful for a live stream, bounded by the span of the
-            # input) and the batch size, in one job.
-            per_day = firsts.groupBy("log_date").count().collect()
-            days = [r[0] for r in per_day]
-            if not days:
-                return
-            n = sum(r[1] for r in per_day)
-            seen = _seen(spark, path, days, batch_id)
-            if seen is None:
-                new = firsts
-            elif broadcast_max_rows is not None and n <= broadcast_max_rows:
-                keys = firsts.select(*KEYS)
-                hit = seen.select(*KEYS).join(F.broadcast(keys), list(KEYS), "left_semi")
-                new = drop_seen(firsts, hit, KEYS)
-            else:
-                new = drop_seen(firsts, seen, KEYS)
-            append_table(new, path, ["log_date"], batch_id)
-            if on_metrics or _log.isEnabledFor(logging.INFO):
-                mine = spark.read.schema(DAU_TABLE).parquet(path).where(
-                    F.col("log_date").isin(days) & (F.col("batch_id") == batch_id))
-                metrics = {"days": sorted(days), "rows_in": n, "rows_new": mine.count()}
-                _log.info("dau batch %s: %s", batch_id, metrics)
-                if on_metrics:
-                    on_metrics(batch_id, metrics)
-        finally:
-            firsts.unpersist()
+        firsts = firsts.select(*[f.name for f in STARTUP.fields])
+        own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+        seen = _days(spark, path, days)
+        if seen is None:
+            new = firsts
+        else:
+            hit = seen.where(~own).select(*KEYS).join(firsts.select(*KEYS), list(KEYS), "left_semi")
+            new = drop_seen(firsts, hit, KEYS)
+        append_table(new, path, ["log_date"], batch_id, writer=writer)
+        if on_metrics or _log.isEnabledFor(logging.INFO):
+            written = _days(spark, path, days)
+            metrics = {"days": sorted(days), "rows_in": firsts.count(),
+                       "rows_new": written.where(own).count() if written is not None else 0}
+            _log.info("dau batch %s: %s", batch_id, metrics)
+            if on_metrics:
+                on_metrics(batch_id, metrics)
     return run
 
 
 def dau_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                tz: str | None = None, mode: str = "table", watermark: str = "2 days",
-               broadcast_max_rows: int | None = 2_000_000, quarantine: str | None = None):
-    """Start the daily dedup over a stream of startup-log JSON lines (``value``)."""
-    parsed = with_metrics(parse_startup(logs, tz=tz), "dau_in")
-    good = parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+               quarantine: str | None = None):
+    """Start the daily dedup over a stream of startup-log JSON lines (``value``).
+
+    Refused lines go to ``quarantine`` (default: ``<path>_quarantine``) in table mode.
+    """
+    parsed = with_metrics(parse_startup(logs, tz=tz, keep=("value",)), "dau_in")
+    ok = F.col("_corrupt").isNull() & F.col("mid").isNotNull() & F.col("log_date").isNotNull()
     if mode == "table":
-        ensure_table(logs.sparkSession, path, DAU_TABLE, ["log_date", "batch_id"])
-        writer = dau_batch(path, broadcast_max_rows)
-        if not quarantine:
-            return start(good.writeStream.foreachBatch(writer), checkpoint, trigger)
+        ensure_table(logs.sparkSession, path, DAU_TABLE, ["log_date", "writer", "batch_id"])
+        refused = quarantine or f"{path.rstrip('/')}_quarantine"
+        write_new = dau_batch(path)
 
         def run(batch, batch_id):
-            batch.persist()
+            batch.persist()  # the parsed lines, not a shuffled result: as many partitions as the input has
             try:
-                bad = batch.where(F.col("_corrupt").isNotNull()).select("_corrupt")
-                append_table(bad, quarantine, [], batch_id)
-                writer(batch.where(F.col("_corrupt").isNull()).drop("_corrupt"), batch_id)
+                bad = batch.where(~ok).select("value")
+                if not bad.isEmpty():
+                    append_table(bad, refused, [], batch_id)
+                write_new(batch.where(ok).drop("_corrupt", "value"), batch_id)
             finally:
                 batch.unpersist()
         return start(parsed.writeStream.foreachBatch(run), checkpoint, trigger)
     if mode == "state":
         day = F.to_timestamp(F.col("log_date"), "yyyy-MM-dd")
-        dedup = (good.where(F.col("mid").isNotNull()).withColumn("day", day)
+        dedup = (parsed.where(ok).drop("_corrupt", "value").withColumn("day", day)
                  .withWatermark("day", watermark).dropDuplicates(["log_date", "mid", "day"])
                  .drop("day"))
         w = dedup.writeStream.format("parquet").option("path", path).partitionBy("log_date")

@@ -1,7 +1,8 @@
 """Log collection: stamp arrival time, archive raw lines per day, route to topics.
 
 One ``foreachBatch`` writes both outputs from one cached batch; both go to partitions
-that include the batch id, replaced on replay.
+that include the query and batch id, replaced on replay. Objects pass whole: unknown fields
+and fields of any type stay, only ``ts`` is set.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_ms_parts
-from ..schemas import LOG_WIRE
-from ..sources.logs import parse_logs, route, stamp_ts
+from ..sinks.tables import writer_id
+from ..sources.logs import route, stamp_ts
 from .runner import DEFAULT_TRIGGER, start
 
 ARCHIVE = "archive"
@@ -20,21 +21,30 @@ QUARANTINE = "quarantine"
 
 
 def stamped_lines(batch: DataFrame, now: Column | int | str | None = None, tz: str | None = None) -> DataFrame:
-    """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; malformed lines get
-    topic NULL and keep their raw text."""
-    keep = ("value", "timestamp") if "timestamp" in batch.columns else ("value",)
-    p = stamp_ts(parse_logs(batch, keep=keep).withColumnRenamed("value", "_raw"), now)
-    p = route(p)
-    ok = F.col("_corrupt").isNull()
-    line = F.to_json(F.struct(*[f.name for f in LOG_WIRE.fields]))
-    return p.select(F.when(ok, line).otherwise(F.col("_raw")).alias("value"),
+    """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; lines that are no JSON
+    object get topic NULL and keep their raw text. ``now="client"`` leaves lines as they are."""
+    # exploded, so that each line is parsed once (see parse_json)
+    p = batch.select("*", F.explode(F.array(F.from_json("value", "map<string,variant>"))).alias("_obj"))
+    p = p.withColumn("type", F.try_variant_get(F.element_at("_obj", "type"), "$", "string"))
+    p = p.withColumn("ts", F.try_variant_get(F.element_at("_obj", "ts"), "$", "long"))
+    p = route(stamp_ts(p, now))
+    ok = F.col("_obj").isNotNull()
+    line = F.col("value")
+    if now != "client":
+        fields = F.transform(F.filter(F.map_entries("_obj"), lambda e: e["key"] != "ts"),
+                             lambda e: F.substr(F.to_json(F.create_map(e["key"], e["value"]), {"ignoreNullFields": "false"}), F.lit(2)))
+        # one object per field, without its braces
+        fields = F.transform(fields, lambda t: F.substr(t, F.lit(1), F.length(t) - 1))
+        line = F.concat(F.lit("{"), F.array_join(F.concat(fields, F.array(F.concat(F.lit('"ts":'), F.col("ts").cast("string")))), ","),
+                        F.lit("}"))
+    return p.select(F.when(ok, line).otherwise(F.col("value")).alias("value"),
                     epoch_ms_parts("ts", tz)[0].alias("dt"),
                     F.when(ok, F.col("topic")).alias("topic"))
 
 
 def _write_text(df: DataFrame, path: str, parts: list, batch_id: int) -> None:
-    (df.hint("rebalance", *parts).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").text(path))
+    (df.hint("rebalance", *parts).withColumn("writer", F.lit(writer_id(df))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "writer", "batch_id").text(path))
 
 
 def collect_batch(out: str, now: Column | int | str | None = None, tz: str | None = None,
@@ -63,7 +73,13 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
 
 def collect_logs(src: DataFrame, out: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                  now: Column | int | str | None = None, tz: str | None = None, kafka: dict | None = None):
-    """Start log collection over a stream of raw JSON lines (``value``)."""
-    cols = ["value", "timestamp"] if "timestamp" in src.columns else ["value"]
-    return start(src.select(*cols).writeStream.foreachBatch(collect_batch(out, now, tz, kafka)),
+    """Start log collection over a stream of raw JSON lines (``value``).
+
+    Without ``now`` the stamp is the source record's ``timestamp`` if it has one, else the time of
+    the micro-batch, which the stream keeps in its offset log: a replayed batch gets the same stamp.
+    """
+    if "timestamp" not in src.columns:
+        src = src.withColumn("timestamp", F.current_timestamp())
+    now = "record" if now is None else now
+    return start(src.select("value", "timestamp").writeStream.foreachBatch(collect_batch(out, now, tz, kafka)),
                  checkpoint, trigger)

@@ -1,6 +1,6 @@
 """Order stream: parse -> split create time -> mask phone -> append (stateless).
 
-Exactly-once on replay: each micro-batch replaces its own (create_month, batch_id)
+Exactly-once on replay: each micro-batch replaces its own (create_month, writer, batch_id)
 partitions. Month partitions keep the file count sane when one batch spans years
 (a backfill); rows are sorted by ``create_date`` inside the files, so a one-day query
 reads one month folder and skips row groups by their min/max statistics. Messages whose create time cannot be split go to a quarantine table
@@ -23,7 +23,7 @@ ORDERS_TABLE = T.StructType(
     [T.StructField(c, T.DoubleType() if c == "total_amount" else T.StringType(), True)
      for c in ORDER_COLUMNS]
     + [T.StructField("create_date", T.StringType(), True), T.StructField("create_month", T.StringType(), True),
-       T.StructField("batch_id", T.LongType(), True)])
+       T.StructField("writer", T.StringType(), True), T.StructField("batch_id", T.LongType(), True)])
 
 
 def read_orders(spark, path: str, days=None) -> DataFrame:
@@ -37,7 +37,10 @@ def read_orders(spark, path: str, days=None) -> DataFrame:
 
 
 def order_batch(path: str, quarantine: str | None = None):
-    """The ``foreachBatch`` function for order messages (``value``)."""
+    """The ``foreachBatch`` function for order messages (``value``); refused ones go to
+    ``quarantine`` (default: ``<path>_quarantine``)."""
+    refused = quarantine or f"{path.rstrip('/')}_quarantine"
+
     def run(batch: DataFrame, batch_id: int) -> None:
         rec = enrich_order(parse_order(batch, keep=("value",)), flag="_bad").persist()
         try:
@@ -46,8 +49,8 @@ def order_batch(path: str, quarantine: str | None = None):
                     .withColumn("create_month", F.substr("create_date", F.lit(1), F.lit(7))))
             append_table(good, path, ["create_month"], batch_id, sort_by=["create_date"])
             bad_rows = rec.where(bad).select("value")
-            if quarantine and not bad_rows.isEmpty():  # cheap on the cached batch
-                append_table(bad_rows, quarantine, [], batch_id)
+            if not bad_rows.isEmpty():  # cheap on the cached batch
+                append_table(bad_rows, refused, [], batch_id)
         finally:
             rec.unpersist()
     return run

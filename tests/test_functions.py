@@ -75,6 +75,15 @@ def test_keyword_terms():
     assert keyword_terms("Café-au-lait") == ["café", "au", "lait"]
 
 
+def test_han_characters_are_words(spark):
+    from storepulse.functions import keyword_terms, match_all
+    df = spark.createDataFrame([("小米 红米手机 64G",), ("手表",)], "t string")
+    assert keyword_terms("手机 64G") == ["手", "机", "64g"]
+    assert [r.t for r in df.where(match_all("t", "手机 64g")).collect()] == ["小米 红米手机 64G"]
+    assert [r[0] for r in df.select(token_count("t")).collect()] == [7, 2]
+    assert df.select(tokens("t")).first()[0] == ["小", "米", "红", "米", "手", "机", "64g"]
+
+
 def test_tokens_and_matching_agree(spark):
     texts = ["Red widget", "small RED", "redder widget", "widget-red!", "blue", None, "Thé, the THE"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -47,6 +47,25 @@ def test_dau_total_hour_and_compare(spark):
     assert len(cmp) == 24 and cmp["09"] == (0, 2) and cmp["23"] == (1, 0) and cmp["00"] == (0, 0)
 
 
+def test_hours_lose_no_amount(spark):
+    import json
+    from storepulse.operators import hour_maps_json
+    rows = [("2019-03-04", "9", 6.0), ("2019-03-04", "09", 1.0), ("2019-03-04", None, 2.0), ("2019-03-03", "10", 0.0)]
+    o = spark.createDataFrame(rows, "create_date string, create_hour string, total_amount double")
+    cmp = realtime_hour(spark, "order_amount", "2019-03-04", orders=o)
+    got = {r.hour: (r.yesterday, r.today) for r in cmp.collect()}
+    assert got["09"] == (0.0, 7.0) and got[None] == (0.0, 2.0) and len(got) == 25
+    answer = hour_maps_json(realtime_hour(spark, "order_amount", "2019-03-04", orders=o, fill=False)).first().json
+    assert json.loads(answer) == {"yesterday": {"10": 0.0}, "today": {"09": 7.0}}
+
+
+def test_bm25_filter_keeps_scores(spark):
+    df = spark.createDataFrame([(1, "a", "the cat the"), (2, "b", "the dog"), (3, "a", "in")], "id long, k string, text string")
+    everything = {r.id: r.score for r in rank_bm25(df, ["id", "k"], "text", "the").collect()}
+    some = [(r.id, r.k, r.score) for r in rank_bm25(df, ["id", "k"], "text", "the", where=F.col("k") == "a").collect()]
+    assert some == [(1, "a", everything[1])]
+
+
 def test_realtime_hour_unknown_id(spark):
     import pytest
     with pytest.raises(ValueError):
@@ -158,5 +177,5 @@ def test_json_answers(spark):
     assert json.loads(kpi_list_json(cards).first().json) == [
         {"id": "dau", "name": "新增日活", "value": 3.0}, {"id": "new_mid", "name": "新增设备", "value": 2.0},
         {"id": "order_amount", "name": "新增交易额", "value": 10.3}]
-    cmp = hour_compare(spark, _dau(spark), "log_date", "log_hour", "2019-03-04")
+    cmp = hour_compare(spark, _dau(spark), "log_date", "log_hour", "2019-03-04", fill=False)
     assert json.loads(hour_maps_json(cmp).first().json) == {"yesterday": {"23": 1}, "today": {"09": 2, "10": 1}}

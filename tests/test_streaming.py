@@ -50,7 +50,8 @@ def test_dau_stream_parity_with_restarts(spark, tmp_dir):
     logs = parse_startup(batch_df, tz="UTC").where(F.col("_corrupt").isNull() & F.col("mid").isNotNull())
     want = sorted((r.log_date, r.mid, r.ts) for r in first_per_key(logs, ["log_date", "mid"], ["ts", "log_id"]).collect())
     assert got == want
-    assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
+    # every line is a row, a repeat of a seen device, or in quarantine: the malformed one and the one without a device
+    assert spark.read.parquet(f"{tmp_dir}/bad").count() == 2
 
 
 def test_dau_batch_replay_is_idempotent(spark, tmp_dir):
@@ -151,20 +152,72 @@ def test_compact_closed_day_keeps_rows_and_dedup(spark, tmp_dir):
     from storepulse.sinks import COMPACTED, compact_partition
     table = f"{tmp_dir}/dau"
     run = dau_batch(table)
-    for i, lines in enumerate(FILES[:2]):
+    files = [[_startup("m1", T0 + 1, 1)], [_startup("m2", T0 + 2, 2)], [_startup("m3", T0 + 3, 3)]]
+    for i, lines in enumerate(files):
         df = parse_startup(spark.createDataFrame([(l,) for l in lines], "value string"), tz="UTC")
         run(df.where(F.col("_corrupt").isNull()).drop("_corrupt"), i)
     before = sorted((r.log_date, r.mid, r.ts) for r in spark.read.schema(DAU_TABLE).parquet(table).collect())
     assert compact_partition(spark, table, DAU_TABLE, "log_date", "2019-03-04") == len(before)
     after = spark.read.schema(DAU_TABLE).parquet(table).collect()
     assert sorted((r.log_date, r.mid, r.ts) for r in after) == before
-    assert {r.batch_id for r in after} == {COMPACTED}
+    # the newest batch stays: a restarted stream may write it again
+    assert sorted((r.writer, r.batch_id) for r in after) == [("batch", 2), (COMPACTED, 0), (COMPACTED, 0)]
+    run(spark.createDataFrame([tuple(r) for r in after if r.batch_id == 2], spark.read.schema(DAU_TABLE).parquet(table).schema), 2)
+    assert spark.read.schema(DAU_TABLE).parquet(table).count() == len(before)
     # a later batch still sees the compacted devices
     df = parse_startup(spark.createDataFrame([(l,) for l in FILES[0]], "value string"), tz="UTC").drop("_corrupt")
     run(df, 7)
     assert spark.read.schema(DAU_TABLE).parquet(table).count() == len(before)
 
 
+def test_compaction_goes_on_after_a_crash(spark, tmp_dir, monkeypatch):
+    from storepulse.sinks import append_table, compact, compact_partition
+    table, schema = f"{tmp_dir}/t", "v int, d string, writer string, batch_id long"
+    for i in range(4):
+        append_table(spark.createDataFrame([("x", v) for v in range(10 * i, 10 * i + 10)], "d string, v int"), table, ["d"], i)
+    values = lambda: sorted(r.v for r in spark.read.schema(schema).parquet(table).collect())
+
+    def crash(*a):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(compact, "_finish", crash)
+        try:
+            compact_partition(spark, table, schema, "d", "x", sort_by=["v"])
+        except OSError:
+            pass
+    assert values() == list(range(40))  # decided, nothing moved yet
+    append_table(spark.createDataFrame([("x", 40)], "d string, v int"), table, ["d"], 4)  # arrives in between
+    assert compact_partition(spark, table, schema, "d", "x", rows_per_file=10, sort_by=["v"]) == 41
+    assert values() == list(range(41))
+
+
+def test_two_checkpoints_keep_both(spark, tmp_dir):
+    for i in (1, 2):
+        _write_lines(f"{tmp_dir}/in{i}", "a.json", [_order(i, "2019-03-04 09:05:01")], time.time() - 10)
+        run_to_end(order_stream(topic_stream(spark, f"{tmp_dir}/in{i}"), f"{tmp_dir}/orders", f"{tmp_dir}/ck{i}", trigger="availableNow"))
+    rows = read_orders(spark, f"{tmp_dir}/orders").collect()
+    assert sorted(r.id for r in rows) == ["1", "2"] and len({r.writer for r in rows}) == 2
+
+
+def test_refused_orders_are_kept_by_default(spark, tmp_dir):
+    _write_lines(f"{tmp_dir}/in", "a.json", [_order(1, "2019-03-04 09:05:01"), _order(2, "soon"), "{junk"], time.time() - 10)
+    run_to_end(order_stream(topic_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/orders", f"{tmp_dir}/ck", trigger="availableNow"))
+    assert read_orders(spark, f"{tmp_dir}/orders").count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/orders_quarantine").count() == 2
+
+
+def test_collector_keeps_unknown_fields_and_types(spark, tmp_dir):
+    lines = [{"type": "startup", "mid": "m1", "net": "wifi", "ver": {"a": [1, None]}, "ts": "abc"},
+             {"type": "event", "pgid": "7"}, {"pgid": 3.5, "note": 'say "hi"\n'}, {}]
+    _write_lines(f"{tmp_dir}/in", "a.json", [json.dumps(x) for x in lines] + ["[1]"], time.time() - 10)
+    run_to_end(collect_logs(log_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger="availableNow", now=T0, tz="UTC"))
+    got = [(r.topic, json.loads(r.value)) for r in spark.read.schema("value string, topic string").text(f"{tmp_dir}/out/topics").collect()]
+    assert [t for t, x in got if x.get("mid")] == ["startup"]
+    key = lambda x: json.dumps(x, sort_keys=True)
+    assert sorted((x for _, x in got), key=key) == sorted(({**x, "ts": T0} for x in lines), key=key)
+    assert [r.value for r in spark.read.text(f"{tmp_dir}/out/quarantine").select("value").collect()] == ["[1]"]
+
+
 def test_dau_batch_metrics(spark, tmp_dir):
     got = {}
     run = dau_batch(f"{tmp_dir}/dau", on_metrics=lambda b, m: got.setdefault(b, m))
