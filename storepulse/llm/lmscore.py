@@ -70,6 +70,20 @@ def counts(marked: DataFrame) -> DataFrame:
     return rows.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
+def gathered(table: DataFrame) -> np.ndarray:
+    """The summed table as one array [target, background]; it travels as packed bytes, since a row object for
+    each cell would take many times the room on the driver."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(i).to_numpy().tobytes()], pa.binary()) for i in range(3)], names=["c", "t", "b"])
+
+    n = np.zeros((2, 2 * VOCABULARY + BIGRAMS), np.int64)
+    for r in table.select("cell", "target", "background").mapInArrow(pack, "c binary, t binary, b binary").collect():
+        cell, target, background = (np.frombuffer(x, np.int64) for x in r)
+        n[0, cell], n[1, cell] = target, background
+    return n
+
+
 class Model:
     """Log probabilities of the tokens of a text under one side's counts."""
 
@@ -92,9 +106,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     good = labels.where(labels[quality_col] == 1).select(labels[label_id].cast("long").alias("id"), F.lit(True).alias("target")).distinct()
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    table = counts(plain.join(good, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))).toPandas()  # fixed size
-    n = np.zeros((2, 2 * VOCABULARY + BIGRAMS), np.int64)
-    n[0, table["cell"]], n[1, table["cell"]] = table["target"], table["background"]
+    n = gathered(counts(plain.join(good, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))))
     shared = spark.sparkContext.broadcast(n.astype(np.float32))  # fixed size
     schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64())])
 
