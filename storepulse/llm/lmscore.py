@@ -106,7 +106,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     good = labels.where(labels[quality_col] == 1).select(labels[label_id].cast("long").alias("id"), F.lit(True).alias("target")).distinct()
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    n = gathered(counts(plain.join(good, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))))
+    # one plan at every size: by hash of the id, the ids as the small side, no sort of the texts
+    n = gathered(counts(plain.join(good.hint("shuffle_hash"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))))
     shared = spark.sparkContext.broadcast(n.astype(np.float32))  # fixed size
     schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64())])
 
