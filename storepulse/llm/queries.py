@@ -73,4 +73,43 @@ QUERIES = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Every pair of usable vectors of a label, and the smallest id reachable over links.
+_OP1 = """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.c = l.a),
+comp AS (SELECT a, min(c) AS c FROM reach GROUP BY 1), n AS (SELECT a, count(*) AS n FROM link GROUP BY 1)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, comp.c AS component_id, vec_id = comp.c AS kept
+FROM embeddings JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+#: Every pair of documents that share a shingle.
+_OP6 = rf"""WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.c = l.a),
+comp AS (SELECT a, min(c) AS c FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, comp.c AS component_id, d.doc_id = comp.c AS kept
+FROM documents d JOIN comp ON comp.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+#: Every window of the benchmark against every window of the documents.
+_OP8 = rf"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(ws), 10) AS k, unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2),
+  lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) AS wd FROM b WHERE len(ws) > 0),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+pos AS (SELECT doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: {{'i': i, 'wd': array_to_string(ws[i:i + k - 1], ' ')}})) AS x
+  FROM d, (SELECT DISTINCT k FROM win) WHERE len(ws) >= k),
+occ AS (SELECT doc_id, x.i AS i, pos.k AS k, item FROM pos JOIN win ON win.k = pos.k AND win.wd = x.wd),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM occ)) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(its.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
+
+ORACLE_SQL = {"op1_hnsw": _OP1, "op6_minhash": _OP6, "op8_decontamination": _OP8}
