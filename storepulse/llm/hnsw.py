@@ -30,6 +30,7 @@ BLOCK = 512
 NEIGHBOURS, CAPACITY, UP, BEAM = 12, 32, 16, 32
 #: Audit: vectors of a block compared with the whole shard, and the share of their links that must be found.
 AUDIT, RECALL = 32, 0.995
+#: Vectors of a beam that are expanded at once, at least; an eighth of a wide beam.
 _EXPAND = 4
 #: Slack of single-precision search before the exact verification.
 _SLACK = 1e-4
@@ -50,7 +51,7 @@ def _beam(q: np.ndarray, x: np.ndarray, near: np.ndarray, start: np.ndarray, wid
     ids[:, :m], done[:, :m] = first, first < 0
     live = rows
     while len(live):
-        e = min(_EXPAND, width)
+        e = min(max(_EXPAND, width // 8), width)
         open_ = np.where(done[live], -3, sims[live])
         pick = np.argpartition(-open_, e - 1, axis=1)[:, :e]
         ok = np.take_along_axis(open_, pick, 1) > -3
