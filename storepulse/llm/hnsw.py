@@ -174,7 +174,7 @@ def linked(graph: Graph, q: np.ndarray, exact_x: np.ndarray, exact_q: np.ndarray
     n, floor = len(graph.x), threshold - _SLACK
     some = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
     true = (q[some] @ graph.x.T) >= floor
-    width = BEAM
+    width = 2 * BEAM
     while True:
         todo, out, w = np.arange(len(q)), [], min(width, n)
         while len(todo):
