@@ -44,7 +44,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words between ASCII white space, A-Z lower-cased."""
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in (text or "").encode().lower().split()], np.uint64)
+    words = (text or "").encode().lower().split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingles(w: np.ndarray, words: int) -> np.ndarray:
