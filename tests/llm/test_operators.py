@@ -122,6 +122,38 @@ def test_passages(spark, odd, empty):
     assert windows.duplicate_passages(empty).count() == 0
 
 
+def test_passage_after_a_repeated_line():
+    line, other = [f"l{i}" for i in range(12)], [f"o{i}" for i in range(30)]
+    for own in (40, 44, 60):  # passages of 52, 56 and 72 words
+        passage = line + [f"u{i}" for i in range(own)]
+        a = line + other + passage + ["end"]
+        b = ["x", "y"] + passage + ["z"]
+        sa, sb = (minhash.shingles(minhash.word_hashes(" ".join(t)), 5) for t in (a, b))
+        assert windows.passages(sa, sb, 46, 80) == [(2, 2 + len(passage) - 4)]
+    # each half stands earlier with another continuation, so no shingle's first place is in the passage
+    left, right = [f"p{i}" for i in range(32)], [f"q{i}" for i in range(32)]
+    middle = left[-4:] + right[:4]
+    a, b = left + other + right + other[::-1] + middle + ["m"] + left + right, ["b"] * 3 + left + right + ["c"]
+    sa, sb = (minhash.shingles(minhash.word_hashes(" ".join(t)), 5) for t in (a, b))
+    assert windows.passages(sa, sb, 46, 80) == [(3, 3 + 60)]
+
+
+def test_passages_cover_every_repeat_of_random_texts():
+    rng = np.random.default_rng(4)
+    lines = [[f"l{k}w{i}" for i in range(rng.integers(3, 25))] for k in range(9)]
+    for _ in range(60):
+        a, b = ([w for k in rng.integers(0, 9, 14) for w in lines[k]] for _ in range(2))
+        sa, sb = (minhash.shingles(minhash.word_hashes(" ".join(t)), 5) for t in (a, b))
+        got, longest = windows.passages(sa, sb, 46, 80), {}
+        for i in range(len(sb)):
+            for j in range(len(sa)):
+                n = 0
+                while i + n < len(sb) and j + n < len(sa) and sb[i + n] == sa[j + n]:
+                    n += 1
+                if n >= 46:
+                    assert any(s <= i and i + n <= e for s, e in got)
+
+
 def test_wu_manber_against_brute_force(spark, odd, empty):
     rng = np.random.default_rng(5)
     text = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 3, n))
