@@ -154,6 +154,48 @@ def test_passages_cover_every_repeat_of_random_texts():
                     assert any(s <= i and i + n <= e for s, e in got)
 
 
+def _drift(words, rng, edits):
+    out = list(words)
+    for k in rng.choice(len(words), edits, replace=False):
+        out[k] = f"e{rng.integers(1 << 40)}"
+    return out
+
+
+def test_passages_of_frequent_lines_and_version_chains(spark):
+    """Over many batches, against the comparison of every pair: each passage that some earlier document has is reported."""
+    ship(spark)
+    rng = np.random.default_rng(9)
+    fresh = lambda n: [f"n{rng.integers(1 << 40)}" for _ in range(n)]
+    line, texts = [f"line{i}" for i in range(14)], []
+    for _ in range(30):  # a frequent line with another continuation in each, some of them twice
+        texts.append(fresh(20) + line + fresh(60))
+    for k in range(6):
+        texts.append(fresh(5) + texts[4 * k + 3][20:90] + fresh(9))
+    version = [f"v{i}" for i in range(120)]
+    for _ in range(12):  # drifts away from the first
+        texts.append(version)
+        version = _drift(version, rng, 2)
+    schema = "doc_id long, text string"
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, schema).repartition(6)
+    got = {}
+    for r in windows.duplicate_passages(docs).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.from_word, r.to_word))
+    s = [minhash.shingles(minhash.word_hashes(t), 5) for _, t in rows]
+    for j in range(len(rows)):
+        every = {w for i in range(j) for a, b in windows.passages(s[i], s[j], 46, 80) for w in range(a, b + 4)}
+        assert got.get(j, set()) <= every and len(got.get(j, set())) >= 0.9 * len(every), j
+    assert len(got) == 6 + 11
+
+
+def test_roots_are_those_of_the_compact_windows():
+    v = np.random.default_rng(2).integers(0, 50, 400).astype(np.uint64)
+    n = np.array([100, 3, 0, 97, 200])
+    ends = np.cumsum(n)
+    want = sorted(e - m + c for e, m in zip(ends, n) for _, c, _ in windows.compact_windows(v[e - m:e], 13))
+    assert windows.roots(v, n, 13).tolist() == want
+
+
 def test_wu_manber_against_brute_force(spark, odd, empty):
     rng = np.random.default_rng(5)
     text = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 3, n))
