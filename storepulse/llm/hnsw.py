@@ -6,7 +6,8 @@ so far by all vectors of the batch at once, and are tied to diverse near neighbo
 directions. Blocks of vectors then query every shard of their label (each pair of shards once,
 as links have no direction). A beam that is full of links is widened until it is not, so no
 link is lost to its width; after that a sample of the block is compared with the whole shard,
-and the beam of the whole block is doubled until the audit finds RECALL of the true links. A
+and the beam of the whole block is doubled until each of them finds RECALL of its true links and
+of its nearest vectors, linked or not, so a block without links in its sample is proven as well. A
 beam as wide as the shard ends in a direct comparison.
 
 Every link is verified by its cosine in double precision. A task counts links and returns
@@ -28,8 +29,9 @@ SHARD_ROWS = 8192
 BLOCK = 512
 #: Neighbours chosen per vector, capacity per vector and layer, share of vectors in the next layer, first beam.
 NEIGHBOURS, CAPACITY, UP, BEAM = 12, 32, 16, 32
-#: Audit: vectors of a block compared with the whole shard, and the share of their links that must be found.
-AUDIT, RECALL = 32, 0.995
+#: Audit: vectors of a block compared with the whole shard, their nearest vectors looked for, and the share of these
+#: and of their links that must be found for each of them.
+AUDIT, AUDIT_NEAREST, RECALL = 32, 10, 0.995
 #: Vectors of a beam that are expanded at once, at least; an eighth of a wide beam.
 _EXPAND = 4
 #: Slack of single-precision search before the exact verification.
@@ -173,23 +175,27 @@ def linked(graph: Graph, q: np.ndarray, exact_x: np.ndarray, exact_q: np.ndarray
     """(query, vector) index pairs with a cosine of ``threshold`` or more; widens the beam until the audit passes."""
     n, floor = len(graph.x), threshold - _SLACK
     some = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    true = (q[some] @ graph.x.T) >= floor
+    sims = q[some] @ graph.x.T
+    true, k = (sims >= floor).sum(1), min(AUDIT_NEAREST, n)
+    least = np.partition(sims, n - k, axis=1)[:, n - k] - _SLACK / 10  # of the k nearest, linked or not
     width = 2 * BEAM
     while True:
-        todo, out, w = np.arange(len(q)), [], min(width, n)
+        todo, out, w, nearest = np.arange(len(q)), [], min(width, n), np.full(len(some), k)
         while len(todo):
             if w >= n:
                 i, j = np.nonzero(q[todo] @ graph.x.T >= floor)
                 out.append((todo[i], j))
                 break
             ids, sims = graph.search(q[todo], w)
+            if len(todo) == len(q):
+                nearest = np.minimum((sims[some] >= least[:, None]).sum(1), k)
             full = (sims >= floor).all(1)
-            i, k = np.nonzero((sims >= floor) & ~full[:, None])
-            out.append((todo[i], ids[i, k]))
+            i, c = np.nonzero((sims >= floor) & ~full[:, None])
+            out.append((todo[i], ids[i, c]))
             todo, w = todo[full], min(4 * w, n)
         i, j = np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
-        found = np.isin(i, some).sum()
-        if width >= n or found >= RECALL * true.sum():
+        found = np.bincount(i, minlength=len(q))[some]
+        if width >= n or ((found >= RECALL * true) & (nearest >= RECALL * k)).all():  # the worst row decides
             break
         width *= 2
     ok = _exact(exact_q, exact_x, i, j, threshold)

@@ -266,6 +266,27 @@ def test_cross_entropy_difference(spark, odd, empty):
     assert lmscore.score(empty, labels).count() == 0
 
 
+def test_audit_without_links_in_the_sample():
+    """A graph with most ties lost, rare pairs between two shards and a hot group: no sampled row is linked, yet the beam must widen."""
+    rng = np.random.default_rng(12)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x, q = unit(rng.normal(size=(2500, 24))), unit(rng.normal(size=(hnsw.BLOCK, 24)))
+    sampled = set(np.linspace(0, hnsw.BLOCK - 1, hnsw.AUDIT).astype(int).tolist())
+    rare = [i for i in range(0, hnsw.BLOCK, 7) if i not in sampled]
+    x[100:100 + len(rare)] = unit(q[rare] + 0.01 * rng.normal(size=(len(rare), 24)))
+    x[1500:] = unit(unit(rng.normal(size=(1, 24))) + 0.01 * rng.normal(size=(1000, 24)))
+    x = x[rng.permutation(len(x))]
+    for hot in (False, True):
+        if hot:
+            q[0] = x[np.argmax((x @ x.T >= 0.93).sum(1))]  # a sampled row with a thousand links
+        graph = hnsw.Graph.build(x.astype(np.float32))
+        graph.layers[0][1][:, 3:] = -1
+        got = hnsw.linked(graph, q.astype(np.float32), x, q, 0.93)
+        true = np.nonzero(q @ x.T >= 0.93)
+        found = set(zip(*(a.tolist() for a in got)))
+        assert len(found & set(zip(*(a.tolist() for a in true)))) >= 0.999 * len(true[0]) - 1 and {i for i, _ in found} >= set(rare)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 1), (7, 7), (8, None)], "a long, b long")
     assert {r.node: r.component for r in components(edges).collect()} == {1: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
