@@ -1,14 +1,14 @@
 """Language-model scoring by cross-entropy difference (operator 7).
 
 Two bigram models, one of the target documents and one of the background, share one
-vocabulary: a word is the hash of its bytes in VOCABULARY ids, a bigram the hash of its two ids
-in BIGRAMS cells. Both are counted over all documents and smoothed alike: a bigram backs off to
+vocabulary: the words of all documents. A word is the 64-bit hash of its bytes, a bigram that of
+two words, and each has a count of its own however many there are. A bigram backs off to
 its word, a word to the uniform share. Per token the loss is the negative log probability; a
 document's score is its mean loss under the target model less its mean loss under the
 background model, so the smaller, the more it reads like the target.
 
-Counts are summed per task before the shuffle; the summed tables have a fixed size whatever the
-corpus, which bounds what is broadcast.
+Counts are summed per batch before the shuffle and kept as a table of losses on shared storage, which grows
+with the corpus. Documents meet it by the bigrams they hold; nothing but the totals passes the driver.
 """
 
 from __future__ import annotations
@@ -21,79 +21,82 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import record_batch, slices
+from storepulse.llm.common import slices, stored
+from storepulse.llm.minhash import mix
 
-VOCABULARY, BIGRAMS = 1 << 16, 1 << 20
 #: Weight of the back-off distribution, in occurrences.
 BACK_OFF = 4.0
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_ids(text: str | None) -> np.ndarray:
-    """Ids of the words in order; 0 is kept for the start of a text."""
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in _WORD.findall((text or "").encode().lower())], np.uint64).astype(np.int64) % (VOCABULARY - 1) + 1
-
-
-def cells(ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Cells of the bigrams (before, id)."""
-    x = (before * VOCABULARY + ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (x >> np.uint64(64 - 20)).astype(np.int64)
+    """Hashes of the words in order; 0 is kept for the start of a text."""
+    words = _WORD.findall((text or "").encode().lower())
+    return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.uint64(1))
 
 
 def _before(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    out = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
+    out = np.concatenate([np.zeros(1, np.uint64), ids[:-1]]) if len(ids) else ids
     starts = np.cumsum(lengths) - lengths
     out[starts[lengths > 0]] = 0
     return out
 
 
-def counts(marked: DataFrame) -> DataFrame:
-    """(cell, target, background) summed over all rows of (text, is_target); cells of words, then bigrams, then contexts."""
-    size = 2 * VOCABULARY + BIGRAMS
+def bigrams(ids: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(before * _ODD + ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, size), np.int64)
-        for batch in batches:
-            texts, target = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                each = [word_ids(t) for t in texts[a:b]]
-                for kind in (0, 1):
-                    part = [x for x, t in zip(each, target[a:b]) if bool(t) == (kind == 0) and len(x)]
-                    if part:
-                        ids = np.concatenate(part)
-                        before = _before(ids, np.array([len(x) for x in part]))
-                        total[kind] += np.bincount(np.concatenate([ids, VOCABULARY + cells(ids, before), VOCABULARY + BIGRAMS + before]), minlength=size)
-        there = np.flatnonzero(total.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[0, there]), pa.array(total[1, there])], names=["cell", "target", "background"])
-
-    rows = marked.mapInArrow(run, "cell long, target long, background long")
-    return rows.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def gathered(table: DataFrame) -> np.ndarray:
-    """The summed table as one array [target, background]; it travels as packed bytes, since a row object for
-    each cell would take many times the room on the driver."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(i).to_numpy().tobytes()], pa.binary()) for i in range(3)], names=["c", "t", "b"])
 
-    n = np.zeros((2, 2 * VOCABULARY + BIGRAMS), np.int64)
-    for r in table.select("cell", "target", "background").mapInArrow(pack, "c binary, t binary, b binary").collect():
-        cell, target, background = (np.frombuffer(x, np.int64) for x in r)
-        n[0, cell], n[1, cell] = target, background
-    return n
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows by ``columns`` (the last first) and where a new value begins in it."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    return order, np.flatnonzero(new)
 
 
-class Model:
-    """Log probabilities of the tokens of a text under one side's counts."""
+def _tokens(texts: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(from, to, lengths, words, words before) of slices of ``texts``."""
+    for a, b in slices(texts):
+        each = [word_ids(t) for t in texts[a:b]]
+        lengths, ids = np.array([len(x) for x in each]), np.concatenate(each)
+        yield a, b, lengths, ids, _before(ids, lengths)
 
-    def __init__(self, n: np.ndarray):
-        words, self.pairs, self.contexts = n[:VOCABULARY], n[VOCABULARY:VOCABULARY + BIGRAMS], n[VOCABULARY + BIGRAMS:]
-        self.share = (words + 0.5) / (words.sum() + 0.5 * VOCABULARY)
 
-    def log(self, ids: np.ndarray, before: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        seen = np.minimum(self.pairs[cell], self.contexts[before])  # cells are shared, a context's own count is not exceeded
-        return np.log((seen + BACK_OFF * self.share[ids]) / (self.contexts[before] + BACK_OFF))
+def counts(marked: DataFrame) -> DataFrame:
+    """(key, before, word, target, background) of every bigram, summed over all rows of (text, is_target)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, target = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), bool)
+            for a, b, lengths, ids, before in _tokens(texts):
+                if not len(ids):
+                    continue
+                key, good = bigrams(ids, before), np.repeat(target[a:b], lengths)
+                order, at = _runs(key)
+                n, t = np.diff(np.append(at, len(order))), np.add.reduceat(good[order].astype(np.int64), at)
+                first = order[at]
+                yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)) for x in (key, before, ids)] + [pa.array(t), pa.array(n - t)],
+                                                 names=["key", "before", "word", "target", "background"])
+
+    rows = marked.mapInArrow(run, "key long, before long, word long, target long, background long")
+    return rows.groupBy("key", "before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def losses(pairs: DataFrame) -> DataFrame:
+    """(key, loss_target, loss_background) of every bigram of ``pairs``."""
+    sides = ("target", "background")
+    words = stored(pairs.groupBy("word").agg(*[F.sum(s).alias(f"w_{s}") for s in sides]), "words")
+    contexts = pairs.groupBy("before").agg(*[F.sum(s).alias(f"c_{s}") for s in sides])
+    total = words.agg(F.count("*"), *[F.sum(f"w_{s}") for s in sides]).first()  # one row
+    out = pairs.join(words, "word").join(contexts, "before")
+    made = []
+    for k, s in enumerate(sides):
+        share = (F.col(f"w_{s}") + 0.5) / F.lit(float(total[k + 1] or 0) + 0.5 * total[0])
+        made.append((-F.log((F.col(s) + BACK_OFF * share) / (F.col(f"c_{s}") + BACK_OFF))).alias(f"loss_{s}"))
+    return out.select("key", *made)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", quality_col: str = "quality") -> DataFrame:
@@ -103,29 +106,31 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Null texts and texts without words have 0 tokens and null losses. One row per input row; rows with
     null or repeated ids are scored like any other. Without target or background that model is uniform.
     """
-    spark = docs.sparkSession
     good = labels.where(labels[quality_col] == 1).select(labels[label_id].cast("long").alias("id"), F.lit(True).alias("target")).distinct()
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     # one plan at every size: by hash of the id, the ids as the small side, no sort of the texts
-    n = gathered(counts(plain.join(good.hint("shuffle_hash"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))))
-    shared = spark.sparkContext.broadcast(n.astype(np.float32))  # fixed size
-    schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64())])
+    marked = plain.join(good.hint("shuffle_hash"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    model = stored(losses(stored(counts(marked), "bigrams")), "losses")
+    texts = plain.select("id", F.xxhash64("text").alias("doc"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = [Model(x.astype(np.float64)) for x in shared.value]
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column(0).to_numpy()
+            for a, b, lengths, ids, before in _tokens(batch.column(1).to_pylist()):
+                key, of = bigrams(ids, before), np.repeat(np.arange(a, b), lengths)
+                order, at = _runs(key, of)
+                first = order[at]
+                yield pa.RecordBatch.from_arrays([pa.array(doc[of[first]]), pa.array(key[first].view(np.int64)),
+                                                  pa.array(np.diff(np.append(at, len(order))), pa.int32())], names=["doc", "key", "n"])
+
+    def length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                each = [word_ids(t) for t in texts[a:b]]
-                lengths = np.array([len(x) for x in each])
-                ids = np.concatenate(each)
-                before = _before(ids, lengths)
-                cell, ends = cells(ids, before), np.cumsum(lengths)
-                losses = []
-                for side in sides:
-                    sums = np.concatenate([[0], np.cumsum(-side.log(ids, before, cell))])
-                    losses.append([float((sums[e] - sums[e - k]) / k) if k else None for e, k in zip(ends.tolist(), lengths.tolist())])
-                yield record_batch({"id": names[a:b], "n_tokens": lengths, "loss_target": losses[0], "loss_background": losses[1]}, schema)
-
-    out = plain.mapInArrow(run, "id long, n_tokens long, loss_target double, loss_background double")
+            n = [len(_WORD.findall((t or "").encode().lower())) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["id", "doc", "n_tokens"])
+
+    # the mean of a text is the same however many rows repeat it
+    sums = texts.select("doc", "text").mapInArrow(held, "doc long, key long, n int").join(model, "key").groupBy("doc").agg(
+        F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(c)).alias(c) for c in ("loss_target", "loss_background")])
+    means = sums.select("doc", *[(F.col(c) / F.col("n")).alias(c) for c in ("loss_target", "loss_background")])
+    out = texts.mapInArrow(length, "id long, doc long, n_tokens long").join(means, "doc", "left").drop("doc")
     return out.withColumn("score", F.col("loss_target") - F.col("loss_background")).withColumnRenamed("id", id_col)

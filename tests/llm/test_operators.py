@@ -266,6 +266,35 @@ def test_cross_entropy_difference(spark, odd, empty):
     assert lmscore.score(empty, labels).count() == 0
 
 
+def test_cross_entropy_against_brute_force(spark):
+    """Exact counts of more words than 16 bits and of every bigram."""
+    ship(spark)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 30 if i % 3 else 90_000, 200 if i % 3 else 6000))) for i in range(90)]
+    rows += [(90, rows[0][1]), (91, "never seen"), (None, rows[1][1])]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    sides = [[Counter(), Counter(), Counter()] for _ in range(2)]
+    good = {i for i in range(80) if i % 2 == 0}
+    for i, text in rows:
+        w = text.split()
+        word, pair, context = sides[i not in good]
+        word.update(w)
+        pair.update(zip([""] + w, w))
+        context.update([""] + w[:-1])
+    vocabulary = len(set(sides[0][0]) | set(sides[1][0]))
+    assert vocabulary > 1 << 16
+    got = sorted(((r.doc_id if r.doc_id is not None else -1), r.n_tokens, r.loss_target, r.loss_background)
+                 for r in lmscore.score(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect())
+    want = []
+    for i, text in rows:
+        w, mean = text.split(), []
+        for word, pair, context in sides:
+            total = word.total() + 0.5 * vocabulary
+            mean.append(-np.mean([np.log((pair[a, b] + 4 * (word[b] + 0.5) / total) / (context[a] + 4)) for a, b in zip([""] + w, w)]))
+        want.append((-1 if i is None else i, len(w), *mean))
+    assert np.allclose(got, sorted(want), atol=1e-9)
+
+
 def test_audit_without_links_in_the_sample():
     """A graph with most ties lost, rare pairs between two shards and a hot group: no sampled row is linked, yet the beam must widen."""
     rng = np.random.default_rng(12)
