@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, minhash, rans, tokencount, windows
+from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, merkle, minhash, packing, rans, tokencount, trie, windows
 from storepulse.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -60,6 +60,21 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op11_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text packed into buckets of sequences of equal length, and the pieces' digests read back from them."""
+    return packing.digests(packing.read_packed(spark, packing.pack(table(spark, sf_dir, "documents"), _vocabulary())))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, with every second one's newlines lost before it is verified."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verified(merkle.manifest(docs, merkle.without_newlines(docs)))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(trie.turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_rans_tokens": op2_rans_tokens,
@@ -71,6 +86,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_power_of_two_packing": op11_power_of_two_packing,
+    "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,4 +130,57 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit
   sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
 
-ORACLE_SQL = {"op1_hnsw": _OP1, "op6_minhash": _OP6, "op8_decontamination": _OP8}
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT), lambda a, b: {bits}), 4294967295)"
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+
+#: The tree level by level, then every leaf's way up through it.
+_OP12 = f"""WITH RECURSIVE d AS (SELECT *, coalesce({_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0, false) AS hit FROM documents),
+f AS (SELECT doc_id, source, sha256({_HEAD} || {_field('text')}) AS leaf, sha256({_HEAD} || {_field("if(hit, replace(text, chr(10), ''), text)")}) AS bad FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM f),
+lv AS (SELECT 0 AS lvl, source, idx, leaf AS h, n FROM p
+  UNION ALL SELECT lvl + 1, source, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM lv WHERE n > 1 GROUP BY lvl, source, idx // 3, n),
+subs AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM lv WHERE n = 1),
+rv AS (SELECT 0 AS lvl, idx, h, n FROM subs
+  UNION ALL SELECT lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM rv WHERE n > 1 GROUP BY lvl, idx // 3, n),
+runs AS (SELECT lvl, source, idx // 3 AS q, list(h ORDER BY idx) AS hs FROM lv WHERE n > 1 GROUP BY ALL),
+tops AS (SELECT lvl, idx // 3 AS q, list(h ORDER BY idx) AS hs FROM rv WHERE n > 1 GROUP BY ALL),
+up AS (SELECT doc_id, leaf, source, 0 AS lvl, idx AS place, bad AS h, '' AS proof, row_number() OVER () AS r FROM p
+  UNION ALL SELECT doc_id, leaf, up.source, up.lvl + 1, q, sha256(array_to_string(hs[1:place % 3], '') || h || array_to_string(hs[place % 3 + 2:3], '')),
+    proof || array_to_string(hs[1:place % 3], '') || array_to_string(hs[place % 3 + 2:3], ''), r
+  FROM up JOIN runs ON runs.lvl = up.lvl AND runs.source IS NOT DISTINCT FROM up.source AND runs.q = place // 3),
+top AS (SELECT doc_id, leaf, s.h AS subroot, 0 AS lvl, s.idx AS place, u.h AS h, proof, r
+  FROM (SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1) u JOIN subs s ON s.source IS NOT DISTINCT FROM u.source
+  UNION ALL SELECT doc_id, leaf, subroot, top.lvl + 1, q, sha256(array_to_string(hs[1:place % 3], '') || h || array_to_string(hs[place % 3 + 2:3], '')),
+    proof || array_to_string(hs[1:place % 3], '') || array_to_string(hs[place % 3 + 2:3], ''), r
+  FROM top JOIN tops ON tops.lvl = top.lvl AND tops.q = place // 3)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM (SELECT * FROM top QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1), (SELECT h AS root FROM rv WHERE n = 1)"""
+
+#: Every prefix of every rebuilt conversation, and every node under each of its prefixes.
+_OP13 = rf"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, sha256(strlen(role) || ':' || role || text) AS id, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM t),
+own AS (SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id[:32]) AS turns, {_crc32('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM k GROUP BY conv_id),
+c AS (SELECT a.conv_id, coalesce(b.turns[:a.h], []) || coalesce(a.turns[a.h + 1:], []) AS turns FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+pre AS (SELECT conv_id, len(turns) AS n, unnest(list_transform(range(0, len(turns) + 1), lambda d: {{'d': d, 'p': list_transform(turns[:d], lambda x: x.id), 'w': turns[d].words}})) AS x FROM c),
+node AS (SELECT x.p AS p, x.d AS depth, any_value(x.w) AS w, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = x.d), '')) AS ends_sha256 FROM pre GROUP BY x.p, x.d),
+kids AS (SELECT p[:-2] AS p, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+sub AS (SELECT unnest(list_transform(range(0, depth + 1), lambda d: p[:d])) AS p, (n IS NULL)::INT AS leaf, if(depth = 0, 0, (n_convs - 1) * w) AS saved
+  FROM node LEFT JOIN kids USING (p)),
+total AS (SELECT p, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM sub GROUP BY p)
+SELECT node.conv_id, node.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN total USING (p) LEFT JOIN kids USING (p) LEFT JOIN node up ON node.depth > 0 AND up.p = node.p[:-2]"""
+
+ORACLE_SQL = {"op1_hnsw": _OP1, "op6_minhash": _OP6, "op8_decontamination": _OP8, "op12_merkle": _OP12, "op13_prefix_trie": _OP13}
