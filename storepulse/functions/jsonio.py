@@ -41,3 +41,66 @@ def as_json(df: DataFrame, value: str = "json") -> DataFrame:
 
 def json_col(*cols) -> Column:
     return F.to_json(F.struct(*cols))
+
+
+def json_object_field(value: str, fields: str) -> Column:
+    """Struct of the given top-level ``fields`` plus ``is_object``: whether the text is one JSON object and nothing else.
+
+    The reader stops at the end of the first value and would accept any text behind it. So the object
+    is read as a member of an outer object whose next member holds the text's own checksum: text behind
+    the object breaks the outer one, and no text can hold its own checksum to end it early. Of doubled
+    keys the last one counts.
+    """
+    text = F.col(value)
+    check = F.md5(text)
+    outer = F.concat(F.lit('{"v":'), text, F.lit(',"end":"'), check, F.lit('"}'))
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    read = F.from_json(outer, f"v struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>, end string", strict)
+    ok = F.coalesce((read["end"] == check) & read["v"].isNotNull(), F.lit(False))
+    names = [f.split()[0] for f in fields.split(", ")]
+    return F.struct(ok.alias("is_object"), *[F.when(ok, read["v"][n]).alias(n) for n in names])
+
+
+_SPACE = r"[ \t\n\r]*"
+
+
+def _opened(masked: Column) -> Column:
+    """Brackets opened less brackets closed, strings aside."""
+    bare = F.regexp_replace(masked, '"[^"]*"', "")
+    return F.regexp_count(bare, F.lit(r"[\[{]")) - F.regexp_count(bare, F.lit(r"[\]}]"))
+
+
+def splice_member(value: str, key: str, new: Column) -> Column:
+    """The JSON object text ``value`` with ``new`` as the value of its top-level ``key``, every other byte as it was.
+
+    A scalar value is replaced where it stands (each one, if the key is doubled). Without the key, or where its last
+    value is an object or array, the member is added at the end, where it is the one that counts. ``value`` must be a
+    valid object (see :func:`json_object_field`). ``key`` is plain letters; keys spelled with escapes are found too.
+    """
+    text = F.col(value)
+    # Escapes become two characters no valid text holds: quotes are then string ends only, at their old places.
+    masked = F.regexp_replace(text, r"\\.", "\x01\x01")
+    name = "".join(f"(?:{c}|\x01\x01(?i:{ord(c):04x}))" for c in key)
+    member = f'"{name}"{_SPACE}:'
+    between, found = F.split(masked, member, -1), F.regexp_extract_all(masked, F.lit(member), F.lit(0))
+    scalar = rf'^({_SPACE})("[^"]*"|[^ \t\n\r,\[\]{{}}"]+)'
+
+    def step(acc, i):
+        before, after = F.element_at(between, i), F.element_at(between, i + 1)
+        depth = acc["depth"] + _opened(before)
+        start = acc["at"] + F.length(before) + F.length(F.element_at(found, i))  # where the member's value begins
+        old = F.regexp_extract(after, scalar, 0)
+        top = depth == 1
+        swap = top & (F.length(old) > 0)
+        upto = F.substr(text, acc["copied"], start - acc["copied"])
+        return F.struct(depth.alias("depth"), start.alias("at"), F.when(swap, start + F.length(old)).otherwise(acc["copied"]).alias("copied"),
+                        F.when(swap, F.concat(acc["out"], upto, F.regexp_extract(after, scalar, 1), new)).otherwise(acc["out"]).alias("out"),
+                        F.when(top, swap).otherwise(acc["done"]).alias("done"))
+
+    first = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), F.lit(1).alias("copied"), F.lit("").alias("out"), F.lit(False).alias("done"))
+    swapped = F.aggregate(F.sequence(F.lit(1), F.size(found)), first, step,
+                          lambda acc: F.struct(F.concat(acc["out"], F.substr(text, acc["copied"])).alias("text"), acc["done"].alias("done")))
+    swapped = F.when(F.size(found) > 0, swapped).otherwise(F.struct(text.alias("text"), F.lit(False).alias("done")))
+    comma = F.when(masked.rlike(rf"^{_SPACE}\{{{_SPACE}\}}{_SPACE}$"), "").otherwise(",")
+    added = F.regexp_replace(swapped["text"], F.lit(rf"\}}({_SPACE})$"), F.concat(comma, F.lit(f'"{key}":'), new, F.lit("}$1")))
+    return F.when(swapped["done"], swapped["text"]).otherwise(added)

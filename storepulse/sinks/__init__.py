@@ -1,7 +1,7 @@
 """Writers: replay-safe partitioned tables, topic publishing, raw log archive."""
 
-from .tables import append_table, archive_logs, ensure_table, load_sale_day, publish, read_table
+from .tables import append_table, archive_logs, drop_republished, ensure_table, load_sale_day, publish, read_table
 from .compact import COMPACTED, compact_partition
 
-__all__ = ["append_table", "archive_logs", "ensure_table", "load_sale_day", "publish", "read_table", "COMPACTED",
+__all__ = ["append_table", "archive_logs", "drop_republished", "ensure_table", "load_sale_day", "publish", "read_table", "COMPACTED",
            "compact_partition"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonio import parse_json
@@ -16,17 +16,32 @@ ORDER_TABLE = "order_info"
 INSERT = "INSERT"
 
 
-def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
+MESSAGES, REFUSED, IGNORED = "messages", "refused", "ignored"
+
+
+def parse_envelope(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON change envelope -> ``entry_type, table, type, rows`` (+ ``_corrupt``)."""
-    return parse_json(df, CDC_ENVELOPE, value)
+    return parse_json(df, CDC_ENVELOPE, value, keep=keep)
 
 
 def cdc_stream(spark: SparkSession, path_or_topic: str, kafka: dict | None = None,
                max_files: int | None = None) -> DataFrame:
-    """Streaming change envelopes; row-data entries only. ``max_files`` (or Kafka's
+    """Streaming change envelopes as text (``value``), every one of them. ``max_files`` (or Kafka's
     ``maxOffsetsPerTrigger``) bounds a micro-batch like the poll size did."""
-    env = parse_envelope(topic_stream(spark, path_or_topic, kafka, max_files))
-    return env.where(F.col("entry_type") == ROW_DATA)
+    return topic_stream(spark, path_or_topic, kafka, max_files)
+
+
+def outcome(table: str = ORDER_TABLE) -> Column:
+    """What becomes of an envelope: ``messages`` (a row-data insert of ``table``), ``ignored`` (another entry,
+    table or event) or ``refused``: no JSON, no entry type, or an insert whose rows are no records, i.e. missing,
+    null, or with a column name that is missing or doubled."""
+    insert = (F.col("entry_type") == ROW_DATA) & (F.col("table") == table) & (F.col("type") == INSERT)
+    names = lambda row: F.transform(row, lambda c: camel_case(c["name"]))
+    odd = lambda row: row.isNull() | F.exists(row, lambda c: c["name"].isNull()) | (F.size(F.array_distinct(names(row))) < F.size(row))
+    no_records = F.col("rows").isNull() | F.coalesce(F.exists("rows", odd), F.lit(True))
+    nameless = (F.col("entry_type") == ROW_DATA) & (F.col("table").isNull() | F.col("type").isNull())
+    return (F.when(F.col("_corrupt").isNotNull() | F.col("entry_type").isNull() | nameless, REFUSED)
+            .when(~insert, IGNORED).when(no_records, REFUSED).otherwise(MESSAGES))
 
 
 def inserts_only(df: DataFrame, table: str = ORDER_TABLE) -> DataFrame:

@@ -1,8 +1,9 @@
 """Log collection: stamp arrival time, archive raw lines per day, route to topics.
 
-One ``foreachBatch`` writes both outputs from one cached batch; both go to partitions
-that include the query and batch id, replaced on replay. Objects pass whole: unknown fields
-and fields of any type stay, only ``ts`` is set.
+One ``foreachBatch`` writes both outputs from one cached batch. The archive goes to partitions
+that include the query and batch id, replaced on replay; topic folders are published once per
+query and batch (see ``sinks.publish``). Lines pass as they came: only the value of ``ts`` is
+replaced, at its place in the text, or a ``ts`` is added at the end.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonio import json_object_field, splice_member
 from ..functions.scalars import epoch_ms_parts
-from ..sinks.tables import writer_id
-from ..sources.logs import route, stamp_ts
+from ..sinks.tables import publish, writer_id
+from ..sources.logs import EVENT_TOPIC, STARTUP_TOPIC, route, stamp_ts
 from .runner import DEFAULT_TRIGGER, start
 
 ARCHIVE = "archive"
@@ -21,25 +23,15 @@ QUARANTINE = "quarantine"
 
 
 def stamped_lines(batch: DataFrame, now: Column | int | str | None = None, tz: str | None = None) -> DataFrame:
-    """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; lines that are no JSON
-    object get topic NULL and keep their raw text. ``now="client"`` leaves lines as they are."""
+    """``value`` (stamped JSON), ``dt`` (day of ``ts``), ``topic``; lines that are not one JSON
+    object and nothing else get topic NULL and keep their raw text. ``now="client"`` leaves lines as they are."""
     # exploded, so that each line is parsed once (see parse_json)
-    p = batch.select("*", F.explode(F.array(F.from_json("value", "map<string,variant>"))).alias("_obj"))
-    p = p.withColumn("type", F.try_variant_get(F.element_at("_obj", "type"), "$", "string"))
-    p = p.withColumn("ts", F.try_variant_get(F.element_at("_obj", "ts"), "$", "long"))
-    p = route(stamp_ts(p, now))
-    ok = F.col("_obj").isNotNull()
-    line = F.col("value")
-    if now != "client":
-        fields = F.transform(F.filter(F.map_entries("_obj"), lambda e: e["key"] != "ts"),
-                             lambda e: F.substr(F.to_json(F.create_map(e["key"], e["value"]), {"ignoreNullFields": "false"}), F.lit(2)))
-        # one object per field, without its braces
-        fields = F.transform(fields, lambda t: F.substr(t, F.lit(1), F.length(t) - 1))
-        line = F.concat(F.lit("{"), F.array_join(F.concat(fields, F.array(F.concat(F.lit('"ts":'), F.col("ts").cast("string")))), ","),
-                        F.lit("}"))
-    return p.select(F.when(ok, line).otherwise(F.col("value")).alias("value"),
+    p = batch.select("*", F.inline(F.array(json_object_field("value", "type string, ts string"))))
+    p = route(stamp_ts(p.withColumn("ts", F.col("ts").try_cast("long")), now))
+    line = F.col("value") if now == "client" else splice_member("value", "ts", F.col("ts").cast("string"))
+    return p.select(F.when(F.col("is_object"), line).otherwise(F.col("value")).alias("value"),
                     epoch_ms_parts("ts", tz)[0].alias("dt"),
-                    F.when(ok, F.col("topic")).alias("topic"))
+                    F.when(F.col("is_object"), F.col("topic")).alias("topic"))
 
 
 def _write_text(df: DataFrame, path: str, parts: list, batch_id: int) -> None:
@@ -57,15 +49,15 @@ def collect_batch(out: str, now: Column | int | str | None = None, tz: str | Non
         lines = stamped_lines(batch, now, tz).persist()
         try:
             _write_text(lines.select("value", "dt"), f"{root}/{ARCHIVE}", ["dt"], batch_id)
-            good = lines.where(F.col("topic").isNotNull())
-            if kafka:
-                # Kafka's sink takes the topic per row from the ``topic`` column (at least once).
-                good.select("topic", "value").write.format("kafka").options(**kafka).save()
-            else:
-                _write_text(good.select("value", "topic"), f"{root}/{TOPICS}", ["topic"], batch_id)
-            bad = lines.where(F.col("topic").isNull()).select("value")
-            if not bad.isEmpty():  # cheap on the cached batch
-                _write_text(bad, f"{root}/{QUARANTINE}", [], batch_id)
+            there = {r[0] for r in lines.select("topic").distinct().collect()}  # three values at most
+            for topic in sorted(there.intersection((STARTUP_TOPIC, EVENT_TOPIC))):
+                routed = lines.where(F.col("topic") == topic)
+                if kafka:
+                    publish(routed, topic, kafka=kafka, batch_id=batch_id)
+                else:
+                    publish(routed, f"topic={topic}", f"{root}/{TOPICS}", batch_id=batch_id)
+            if None in there:
+                _write_text(lines.where(F.col("topic").isNull()).select("value"), f"{root}/{QUARANTINE}", [], batch_id)
         finally:
             lines.unpersist()
     return run

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..session import CLUSTER_CONF
+
 DEFAULT_TRIGGER = "5 seconds"
 
 
@@ -25,6 +30,19 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = DEFAU
     return w.start()
 
 
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which arbitrary state needs; a query copies the
+    session's settings when it starts, so the session keeps its own."""
+    key, own = "spark.sql.streaming.stateStore.providerClass", CLUSTER_CONF["spark.sql.streaming.stateStore.providerClass"]
+    old = spark.conf.get(key)
+    spark.conf.set(key, own)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish; re-raise its failure."""
     query.awaitTermination(timeout_s)

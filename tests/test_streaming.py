@@ -228,15 +228,15 @@ def test_dau_batch_metrics(spark, tmp_dir):
                    1: {"days": ["2019-03-04"], "rows_in": 2, "rows_new": 0}}
 
 
-def test_dau_state_mode_watermark_closes_old_days(spark, tmp_dir):
+def test_dau_state_mode_keeps_lines_of_any_day(spark, tmp_dir):
     from storepulse.schemas import STARTUP
     src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/dau", f"{tmp_dir}/ck"
     D = T0 + 2 * DAY  # 2019-03-06
     batches = [
         [_startup("a", D + 1000, 1)],                                  # day D
-        [_startup("b", D + 2 * DAY + 1000, 2)],                        # day D+2: watermark -> D
+        [_startup("b", D + 2 * DAY + 1000, 2)],                        # day D+2
         [_startup("late_new", D + DAY + 5, 3), _startup("a", D + 7, 4),  # D+1 new kept; repeat of a suppressed
-         _startup("too_late", D - DAY + 5, 5)],                         # D-1 is closed: dropped
+         _startup("very_late", D - DAY + 5, 5)],                        # D-1: no day is closed without keep_days
     ]
     base = time.time() - 1000
     for i, lines in enumerate(batches):
@@ -244,7 +244,7 @@ def test_dau_state_mode_watermark_closes_old_days(spark, tmp_dir):
         run_to_end(dau_stream(log_stream(spark, src, max_files=1), out, ck, trigger="availableNow", tz="UTC",
                               mode="state"))
     got = sorted((r.log_date, r.mid) for r in spark.read.schema(STARTUP).parquet(out).collect())
-    assert got == [("2019-03-06", "a"), ("2019-03-07", "late_new"), ("2019-03-08", "b")]
+    assert got == [("2019-03-05", "very_late"), ("2019-03-06", "a"), ("2019-03-07", "late_new"), ("2019-03-08", "b")]
 
 
 def test_dau_state_mode_with_rocksdb_provider(spark, tmp_dir):
