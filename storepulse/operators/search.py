@@ -85,17 +85,21 @@ def age_band_share(hits: DataFrame) -> DataFrame:
 
 
 def sale_detail(sale: DataFrame, date: str, keyword: str | None, page_no: int = 1,
-                size: int = 20, order=None, materialize: bool = False) -> DataFrame:
+                size: int = 20, order=None, materialize: bool = False, score: Column | None = None) -> DataFrame:
     """The sale search answer as one row: ``total``, ``stat`` (two option groups with
     labels and shares) and ``detail`` (one page of rows, in order).
 
-    Filters once; the shares come from one aggregate, the page from a top-k. With
+    Filters once; the shares come from one aggregate, the page from a top-k. Rows are ordered by
+    ``score`` (best first) when given, else by ``order``. With
     ``materialize`` (for a ``sale`` that is an expensive derived view rather than a
     stored table) the hits are checkpointed to the shared folder first, so the view is
     computed once for both parts.
     """
-    order = order or sale_order()
     hits = sale_hits(sale, date, keyword)
+    fields = hits.columns
+    if score is not None:
+        hits, order = hits.withColumn("_score", score), [F.col("_score").desc_nulls_last(), F.col("user_id"), F.col("sku_id")]
+    order = order or sale_order()
     if materialize:
         scratch_root(sale.sparkSession)
         hits = hits.checkpoint(eager=True)
@@ -110,7 +114,7 @@ def sale_detail(sale: DataFrame, date: str, keyword: str | None, page_no: int =
     rows = page(hits, page_no, size, order)
     pos = F.row_number().over(Window.orderBy(*order))  # over one page only
     detail = (rows.withColumn("_pos", pos)
-              .agg(F.sort_array(F.collect_list(F.struct("_pos", F.struct(*hits.columns).alias("r"))))
+              .agg(F.sort_array(F.collect_list(F.struct("_pos", F.struct(*fields).alias("r"))))
                    .alias("d"))
               .select(F.transform("d", lambda x: x["r"]).alias("detail")))
     return stats.select(
