@@ -2,6 +2,7 @@
 
 from .tables import append_table, archive_logs, drop_republished, ensure_table, load_sale_day, publish, read_table
 from .compact import COMPACTED, compact_partition
+from .snapshot import read_snapshot
 
 __all__ = ["append_table", "archive_logs", "drop_republished", "ensure_table", "load_sale_day", "publish", "read_table", "COMPACTED",
-           "compact_partition"]
+           "compact_partition", "read_snapshot"]

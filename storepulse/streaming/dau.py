@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from ..operators.dedup import drop_seen, first_per_key
 from ..schemas import STARTUP, T
 from ..session import existing, hadoop_path
-from ..sinks.tables import append_table, ensure_table, read_table, writer_id
+from ..sinks.snapshot import read_snapshot
+from ..sinks.tables import append_table, ensure_table, writer_id
 from ..sources.logs import parse_startup
 from .metrics import with_metrics
 from .runner import DEFAULT_TRIGGER, start
@@ -48,11 +49,9 @@ DAU_TABLE = T.StructType([*STARTUP.fields, T.StructField("writer", T.StringType(
 KEY, ROW, LATE, REFUSED = "key", "row", "late", "refused"
 
 
-def _days(spark, path: str, days: list) -> DataFrame | None:
-    """Rows of the day folders that exist; other days of the table are not listed."""
-    root = path.rstrip("/")
-    folders = existing(spark, [f"{root}/log_date={d}" for d in days])
-    return spark.read.schema(DAU_TABLE).option("basePath", root).parquet(*folders) if folders else None
+def read_dau(spark: SparkSession, path: str, days=None) -> DataFrame:
+    """The daily-device table; with ``days`` only those days' folders, others are not listed."""
+    return read_snapshot(spark, path, DAU_TABLE, "log_date", days)
 
 
 def _earliest(logs: DataFrame) -> DataFrame:
@@ -81,17 +80,10 @@ def dau_batch(path: str, on_metrics=None):
             return
         firsts = _earliest(logs)
         own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-        seen = _days(spark, path, days)
-        if seen is None:
-            new = firsts
-        else:
-            hit = seen.where(~own).select(*KEYS).join(firsts.select(*KEYS), list(KEYS), "left_semi")
-            new = drop_seen(firsts, hit, KEYS)
-        append_table(new, path, ["log_date"], batch_id, writer=writer)
+        hit = read_dau(spark, path, days).where(~own).select(*KEYS).join(firsts.select(*KEYS), list(KEYS), "left_semi")
+        append_table(drop_seen(firsts, hit, KEYS), path, ["log_date"], batch_id, writer=writer)
         if on_metrics or _log.isEnabledFor(logging.INFO):
-            written = _days(spark, path, days)
-            metrics = {"days": sorted(days), "rows_in": firsts.count(),
-                       "rows_new": written.where(own).count() if written is not None else 0}
+            metrics = {"days": sorted(days), "rows_in": firsts.count(), "rows_new": read_dau(spark, path, days).where(own).count()}
             _log.info("dau batch %s: %s", batch_id, metrics)
             if on_metrics:
                 on_metrics(batch_id, metrics)
@@ -126,7 +118,7 @@ def _inherit(spark: SparkSession, path: str, checkpoint: str) -> tuple[str, set[
     """(folder, days) of the keys that lay in the table when the query first started."""
     folder = f"{checkpoint.rstrip('/')}_seen"
     if not existing(spark, [f"{folder}/_SUCCESS"]):
-        rows = read_table(spark, path, DAU_TABLE).select(*KEYS).distinct()
+        rows = read_dau(spark, path).select(*KEYS).distinct()
         rows.hint("rebalance", "log_date").write.mode("overwrite").partitionBy("log_date").parquet(folder)
     fs, root = hadoop_path(spark, folder)
     names = [s.getPath().getName() for s in fs.listStatus(root)]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ORDER_FIELDS, T
+from ..sinks.snapshot import read_snapshot
 from ..sinks.tables import append_table
 from ..sources.orders import enrich_order, parse_order, snake
 from .metrics import with_metrics
@@ -28,12 +29,11 @@ ORDERS_TABLE = T.StructType(
 
 def read_orders(spark, path: str, days=None) -> DataFrame:
     """The orders table; with ``days`` only those days, reading only their month
-    partitions (partition filter) and row groups (pushed ``create_date`` filter)."""
-    t = spark.read.schema(ORDERS_TABLE).parquet(path)
-    if days:
-        t = t.where(F.col("create_month").isin(sorted({d[:7] for d in days}))
-                    & F.col("create_date").isin(sorted(days)))
-    return t
+    partitions and row groups (pushed ``create_date`` filter)."""
+    if not days:
+        return read_snapshot(spark, path, ORDERS_TABLE, "create_month")
+    t = read_snapshot(spark, path, ORDERS_TABLE, "create_month", {d[:7] for d in days})
+    return t.where(F.col("create_date").isin(sorted(days)))
 
 
 def order_batch(path: str, quarantine: str | None = None):

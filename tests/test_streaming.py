@@ -170,25 +170,91 @@ def test_compact_closed_day_keeps_rows_and_dedup(spark, tmp_dir):
     assert spark.read.schema(DAU_TABLE).parquet(table).count() == len(before)
 
 
-def test_compaction_goes_on_after_a_crash(spark, tmp_dir, monkeypatch):
-    from storepulse.sinks import append_table, compact, compact_partition
-    table, schema = f"{tmp_dir}/t", "v int, d string, writer string, batch_id long"
-    for i in range(4):
+class _Lost(Exception):
+    pass
+
+
+def _steps(monkeypatch, probe):
+    """Call ``probe(step)`` before and after every change that a compaction makes to the table."""
+    from storepulse.sinks import compact
+    n = [0]
+
+    def wrap(name):
+        own = getattr(compact, name)
+
+        def call(*a, **k):
+            for run in (lambda: None, lambda: own(*a, **k)):
+                run()
+                n[0] += 1
+                probe(n[0])
+        monkeypatch.setattr(compact, name, call)
+    for name in ("hide", "_remove", "tidy"):
+        wrap(name)
+    return n
+
+
+SNAP = "v int, d string, writer string, batch_id long"
+
+
+def _batches(spark, table, first, last):
+    from storepulse.sinks import append_table
+    for i in range(first, last):
         append_table(spark.createDataFrame([("x", v) for v in range(10 * i, 10 * i + 10)], "d string, v int"), table, ["d"], i)
-    values = lambda: sorted(r.v for r in spark.read.schema(schema).parquet(table).collect())
 
-    def crash(*a):
-        raise OSError("lost")
+
+def test_a_reader_meets_every_row_once_at_each_step(spark, tmp_dir, monkeypatch):
+    from storepulse.sinks import compact_partition, read_snapshot
+    from pyspark.sql.types import _parse_datatype_string
+    table, schema = f"{tmp_dir}/t", _parse_datatype_string(SNAP)
+    _batches(spark, table, 0, 4)
+    seen = []
+    values = lambda: sorted(r.v for r in read_snapshot(spark, table, schema, "d").collect())
     with monkeypatch.context() as m:
-        m.setattr(compact, "_finish", crash)
-        try:
-            compact_partition(spark, table, schema, "d", "x", sort_by=["v"])
-        except OSError:
-            pass
-    assert values() == list(range(40))  # decided, nothing moved yet
-    append_table(spark.createDataFrame([("x", 40)], "d string, v int"), table, ["d"], 4)  # arrives in between
-    assert compact_partition(spark, table, schema, "d", "x", rows_per_file=10, sort_by=["v"]) == 41
-    assert values() == list(range(41))
+        _steps(m, lambda i: seen.append(values()))
+        assert compact_partition(spark, table, schema, "d", "x", rows_per_file=10, sort_by=["v"]) == 40
+    assert len(seen) > 8 and all(s == list(range(40)) for s in seen)
+    # settled: plain readers see the same, and a second merge takes the merged folder along
+    assert spark.read.schema(schema).parquet(table).count() == 40
+    _batches(spark, table, 4, 6)
+    assert compact_partition(spark, table, schema, "d", "x") == 60 and values() == list(range(60))
+
+
+def test_compaction_goes_on_after_a_crash(spark, tmp_dir, monkeypatch):
+    from storepulse.sinks import compact_partition, read_snapshot
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(SNAP)
+    for at in (1, 2, 3, 4, 6, 9, 11, 12):  # before and after each kind of change
+        table = f"{tmp_dir}/{at}"
+        _batches(spark, table, 0, 4)
+        values = lambda: sorted(r.v for r in read_snapshot(spark, table, schema, "d").collect())  # noqa: B023, E731
+
+        def crash(step):
+            if step == at:  # noqa: B023
+                raise _Lost
+        with monkeypatch.context() as m:
+            _steps(m, crash)
+            try:
+                compact_partition(spark, table, schema, "d", "x", sort_by=["v"])
+            except _Lost:
+                pass
+        assert values() == list(range(40)), at
+        _batches(spark, table, 4, 5)  # arrives in between
+        assert compact_partition(spark, table, schema, "d", "x", rows_per_file=10, sort_by=["v"]) == 50
+        assert values() == list(range(50)) == sorted(r.v for r in spark.read.schema(schema).parquet(table).collect()), at
+
+
+def test_merged_folders_wait_for_readers(spark, tmp_dir):
+    from storepulse.sinks import compact_partition, read_snapshot
+    from pyspark.sql.types import _parse_datatype_string
+    table, schema = f"{tmp_dir}/t", _parse_datatype_string(SNAP)
+    _batches(spark, table, 0, 4)
+    early = read_snapshot(spark, table, schema, "d")  # lists the folders before the switch
+    assert compact_partition(spark, table, schema, "d", "x", grace_s=3600) == 40
+    assert early.count() == read_snapshot(spark, table, schema, "d").count() == 40
+    assert compact_partition(spark, table, schema, "d", "x", grace_s=3600) == 40  # nothing to do while they wait
+    assert early.count() == 40
+    assert compact_partition(spark, table, schema, "d", "x") == 40
+    assert len([d for d, _, _ in os.walk(table) if "writer=batch" in d and "batch_id=" in d]) == 1  # the newest batch
 
 
 def test_two_checkpoints_keep_both(spark, tmp_dir):
