@@ -79,10 +79,35 @@ _TOKENS = r"string_split_regex(regexp_replace(lower(text), '(\p{Han})', ' \1 ',
 _HOURS = "h AS (SELECT lpad(CAST(range AS VARCHAR),2,'0') AS hour FROM range(24))"
 
 
+# BM25 of the month's hits with the statistics of all months.
+_RANKED = r"""toks AS (SELECT *, string_split(lower(sku_name), ' ') AS ws FROM sale),
+stat AS (SELECT count(*) AS n, avg(len(ws)) AS avgdl, count(*) FILTER (WHERE list_contains(ws, 'red')) AS df FROM toks),
+ranked AS (SELECT toks.* EXCLUDE (ws), round(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(ws) / avgdl)), 6) AS score
+  FROM (SELECT *, len(list_filter(ws, lambda x: x = 'red')) AS tf FROM toks WHERE dt = '1998-10') toks, stat WHERE tf > 0)"""
+
+# Order fields that the test tables don't have.
+_ORDER_NULLS = ("consignee", "order_comment", "operate_time", "payment_way", "img_url", "expire_time", "delivery_address", "tracking_no",
+                "parent_order_id", "out_trade_no", "trade_body")
+
+
 def _w(*frags: str) -> str:
     return "WITH " + ",\n".join(frags) + "\n"
 
 
+def _sale_json(rows: str, order: str, *more: str) -> str:
+    """The sale answer, its page taken from ``rows`` by ``order``."""
+    return _w(_SALE, *more) + f"""SELECT * FROM (WITH c AS (SELECT count(*) AS total, count(*) FILTER (WHERE user_gender = 'M') AS m, count(*) FILTER (WHERE user_gender = 'F') AS f,
+  count(*) FILTER (WHERE user_age < 20) AS a, count(*) FILTER (WHERE user_age >= 20 AND user_age < 30) AS b, count(*) FILTER (WHERE user_age >= 30) AS d FROM hits),
+p AS (SELECT total, list_transform([m, f, a, b, d], lambda x: CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE floor(x * 1000::DOUBLE / total + 0.5) / 10 END) AS v FROM c),
+r AS (SELECT * FROM {rows} ORDER BY {order} LIMIT 10),
+j AS (SELECT string_agg(json_object('user_id', user_id, 'sku_id', sku_id, 'user_gender', user_gender, 'user_age', user_age, 'user_level', user_level,
+  'sku_price', sku_price, 'sku_name', sku_name, 'sku_tm_id', sku_tm_id, 'sku_category1_name', sku_category1_name, 'sku_num', sku_num,
+  'order_count', order_count, 'order_amount', order_amount, 'dt', dt)::VARCHAR, ',' ORDER BY {order}) AS d FROM r)
+SELECT '{{"total":' || total || ',"stat":[{{"title":"性别占比","options":[{{"name":"男","value":' || v[1] || '}},{{"name":"女","value":' || v[2]
+  || '}}]}},{{"title":"年龄占比","options":[{{"name":"小于20岁","value":' || v[3] || '}},{{"name":"20至30岁","value":' || v[4]
+  || '}},{{"name":"30岁及以上","value":' || v[5] || '}}]}}],"detail":[' || coalesce(j.d, '') || ']}}' AS json FROM p, j)"""
+
+
 def oracle_sql() -> dict[str, str]:
     S, O, SA = _STARTUP, _ORDER, _SALE
     return {
@@ -107,23 +132,37 @@ SELECT '{"yesterday":{' || coalesce((SELECT j FROM m WHERE log_date = '2024-01-1
   || '},{"id":"new_mid","name":"新增设备","value":' || (SELECT CAST(count(*) AS DOUBLE) FROM (SELECT mid FROM startup GROUP BY 1 HAVING min(log_date) = '2024-01-02'))
   || '},{"id":"order_amount","name":"新增交易额","value":' || (SELECT CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))),0) AS DOUBLE) FROM orde WHERE create_date = '1998-10-03')
   || '}]' AS json""",
-        "sale_summary_json": _w(SA) + """SELECT * FROM (WITH c AS (SELECT count(*) AS total, count(*) FILTER (WHERE user_gender = 'M') AS m, count(*) FILTER (WHERE user_gender = 'F') AS f,
-  count(*) FILTER (WHERE user_age < 20) AS a, count(*) FILTER (WHERE user_age >= 20 AND user_age < 30) AS b, count(*) FILTER (WHERE user_age >= 30) AS d FROM hits),
-p AS (SELECT total, list_transform([m, f, a, b, d], lambda x: CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE floor(x * 1000::DOUBLE / total + 0.5) / 10 END) AS v FROM c),
-r AS (SELECT * FROM hits ORDER BY order_amount DESC, user_id, sku_id LIMIT 10),
-j AS (SELECT string_agg(json_object('user_id', user_id, 'sku_id', sku_id, 'user_gender', user_gender, 'user_age', user_age, 'user_level', user_level,
-  'sku_price', sku_price, 'sku_name', sku_name, 'sku_tm_id', sku_tm_id, 'sku_category1_name', sku_category1_name, 'sku_num', sku_num,
-  'order_count', order_count, 'order_amount', order_amount, 'dt', dt)::VARCHAR, ',' ORDER BY order_amount DESC, user_id, sku_id) AS d FROM r)
-SELECT '{"total":' || total || ',"stat":[{"title":"性别占比","options":[{"name":"男","value":' || v[1] || '},{"name":"女","value":' || v[2]
-  || '}]},{"title":"年龄占比","options":[{"name":"小于20岁","value":' || v[3] || '},{"name":"20至30岁","value":' || v[4]
-  || '},{"name":"30岁及以上","value":' || v[5] || '}]}],"detail":[' || coalesce(j.d, '') || ']}' AS json FROM p, j)""",
+        "sale_summary_json": _sale_json("hits", "order_amount DESC, user_id, sku_id"),
+        "sale_answer_ranked_json": _sale_json("ranked", "score DESC, user_id, sku_id", _RANKED),
         "cdc_insert_orders": _w(O) + 'SELECT id, user_id AS "userId", CAST(total_amount AS DOUBLE) AS "totalAmount", '
                                      'consignee_tel AS "consigneeTel" FROM ord WHERE order_status <> \'F\'',
         "order_enrich": _w(O) + "SELECT id, area, total_amount, create_date, create_hour, create_hour_minute, tel_masked FROM orde",
-        "order_stream": _w(O) + "SELECT id, area, total_amount, create_date, create_hour, create_hour_minute, tel_masked FROM orde",
+        "order_stream": _w(O) + "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _ORDER_NULLS) + ", id, user_id, area, order_status, "
+                                "total_amount, create_time, create_date, create_hour, create_hour_minute, tel_masked FROM orde",
         "order_json_roundtrip": _w(O) + "SELECT id, area, create_time FROM ord",
         "dau_first_logs": _w(S) + "SELECT log_date, mid, ts, log_hour FROM firsts",
-        "dau_stream": _w(S) + "SELECT log_date, mid, ts, log_hour FROM firsts",
+        "dau_stream": _w(S) + "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("appid", "os", "ch", "vs")) + ", mid, uid, area, 'startup' AS log_type, "
+                              "log_date, log_hour, log_hour_minute, ts, event_id AS log_id FROM firsts",
+        "known_devices": _w(S) + "SELECT mid, min(log_date) AS first_date FROM startup GROUP BY 1",
+        "realtime_cards": _w(S, O) + "SELECT 'dau' AS id, '新增日活' AS name, CAST(count(*) AS DOUBLE) AS value FROM firsts WHERE log_date = '2024-01-02' "
+                                     "UNION ALL SELECT 'new_mid', '新增设备', CAST(count(*) AS DOUBLE) FROM (SELECT mid FROM startup GROUP BY 1 HAVING min(log_date) = '2024-01-02') "
+                                     "UNION ALL SELECT 'order_amount', '新增交易额', CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))),0) AS DOUBLE) FROM orde WHERE create_date = '1998-10-03'",
+        "stream_counts": _w(S) + """, n AS (SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 50 = 0) AS torn FROM startup)
+SELECT 'rows' AS counter, (lines + torn)::BIGINT AS n FROM n UNION ALL SELECT 'refused', torn::BIGINT FROM n UNION ALL SELECT 'late', 0::BIGINT
+UNION ALL SELECT 'accepted', lines::BIGINT FROM n UNION ALL SELECT 'keys', (SELECT count(*) FROM firsts)::BIGINT""".replace(", n AS", "SELECT * FROM (WITH n AS", 1) + ")",
+        "collect_faithful": """SELECT CASE WHEN event_type = 'view' THEN 'startup' WHEN event_id % 10 = 0 THEN 'quarantine' ELSE 'event' END AS topic,
+  CASE WHEN event_type = 'view' THEN '{"type":"event","type":"startup","n":1' || repeat('0', 38) || lpad(CAST(event_id AS VARCHAR), 11, '0') || ',"x":1.10, "ts" : 1551657600000 ,"log_id":' || event_id || '}'
+  WHEN event_id % 10 = 0 THEN '{"log_id":' || event_id || ',"a":{"ts":1}} behind' ELSE '{"log_id":' || event_id || ',"a":{"ts":1},"ts":1551657600000}' END AS value FROM events""",
+        "cdc_stream_orders": _w(O) + 'SELECT id, user_id AS "userId", CAST(total_amount AS DOUBLE) AS "totalAmount", '
+                                     'consignee_tel AS "consigneeTel" FROM ord WHERE order_status <> \'F\'',
+        "cdc_ledger": _w(O) + "SELECT CASE WHEN order_status = 'F' THEN 'ignored' ELSE 'messages' END AS outcome, count(*) AS envelopes, "
+                              "(count(*) FILTER (WHERE order_status <> 'F'))::BIGINT AS rows FROM ord GROUP BY 1 "
+                              "UNION ALL SELECT 'refused', count(*), 0::BIGINT FROM ord WHERE order_status = 'P' HAVING count(*) > 0",
+        "publish_once": _w(O) + "SELECT id, area, create_time FROM ord",
+        "orders_compacted": _w(O) + "SELECT id, area, total_amount, create_date FROM orde",
+        "sale_page_keyset": _w(SA) + "SELECT user_id, sku_id, sku_name, order_amount FROM hits ORDER BY order_amount DESC, user_id, sku_id LIMIT 10 OFFSET 10",
+        "sale_load_files": _w(SA) + "SELECT count(*)::BIGINT AS n_rows, true AS bounded FROM sale WHERE dt = '1998-10'",
+        "sale_ranked_page": _w(SA, _RANKED) + "SELECT user_id, sku_id, score FROM ranked ORDER BY score DESC, user_id, sku_id LIMIT 10 OFFSET 10",
         "dau_new_in_batch": _w(S) + "SELECT DISTINCT mid FROM startup b WHERE log_date = '2024-01-15' AND log_hour >= '12' AND NOT EXISTS "
                                     "(SELECT 1 FROM startup s WHERE s.log_date = b.log_date AND s.mid = b.mid AND s.log_hour < '12')",
         "dau_total": _w(S) + "SELECT count(*) AS total FROM firsts WHERE log_date = '2024-01-15'",

@@ -111,14 +111,19 @@ def new_device_total(logs: DataFrame, date: str) -> DataFrame:
     return new_devices(logs, date).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
 
-def realtime_total(dau: DataFrame, logs: DataFrame, orders: DataFrame, date: str,
-                   order_date: str | None = None) -> DataFrame:
-    """KPI cards in fixed order: ``id, name, value`` for dau, new_mid, order_amount."""
+def realtime_total(dau: DataFrame, logs: DataFrame | None, orders: DataFrame, date: str,
+                   order_date: str | None = None, new_mid: DataFrame | None = None) -> DataFrame:
+    """KPI cards in fixed order: ``id, name, value`` for dau, new_mid, order_amount.
+
+    New devices come from ``new_mid`` (``total``, see ``streaming.new_device_card``: one day's moves) or, without
+    it, from the whole history in ``logs``.
+    """
+    new_mid = new_device_total(logs, date) if new_mid is None else new_mid
     def card(i, df, col):
         return df.select(F.lit(i).alias("id"), F.lit(KPI_NAMES[i]).alias("name"),
                          F.col(col).cast("double").alias("value"))
     return (card("dau", dau_total(dau, date), "total")
-            .unionByName(card("new_mid", new_device_total(logs, date), "total"))
+            .unionByName(card("new_mid", new_mid, "total"))
             .unionByName(card("order_amount", order_total(orders, order_date or date), "total")))
 
 

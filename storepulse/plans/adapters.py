@@ -173,16 +173,30 @@ def order_messages(spark: SparkSession, sf_dir: str, days=None, in_time_order: i
     return to_message(camel_columns(as_text))
 
 
-def cdc_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change envelopes of ``order_info``: INSERT, or UPDATE for status ``F``; one row each."""
+def odd_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a log line that a parser and writer would change: a startup line with a number of fifty digits, a
+    doubled key and a time of the client's own; every tenth other one with text behind the object."""
+    ev = _events(spark, sf_dir, heavy=True)
+    i = F.col("event_id").cast("string")
+    startup = F.concat(F.lit('{"type":"event","type":"startup","n":'), F.lit("1" + "0" * 38), F.lpad(i, 11, "0"),
+                       F.lit(',"x":1.10, "ts" : "soon" ,"log_id":'), i, F.lit("}"))
+    other = F.concat(F.lit('{"log_id":'), i, F.lit(',"a":{"ts":1}}'), F.when(F.col("event_id") % 10 == 0, " behind").otherwise(""))
+    return ev.select(F.when(F.col("event_type") == "view", startup).otherwise(other).alias("value"))
+
+
+def cdc_envelopes(spark: SparkSession, sf_dir: str, torn: str | None = None) -> DataFrame:
+    """Change envelopes of ``order_info``: INSERT, or UPDATE for status ``F``; one row each. Orders of status
+    ``torn`` come a second time, cut off in the middle."""
     rows = order_rows(spark, sf_dir, heavy=True)
     cols = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                      for c in rows.columns])
     env = rows.select(
         F.lit("ROWDATA").alias("entry_type"), F.lit("order_info").alias("table"),
         F.when(F.col("order_status") == "F", F.lit("UPDATE")).otherwise(F.lit("INSERT")).alias("type"),
-        F.array(cols).alias("rows"))
-    return to_message(env)
+        F.array(cols).alias("rows"), (F.lit(False) if torn is None else F.col("order_status") == torn).alias("torn"))
+    value = F.to_json(F.struct("entry_type", "table", "type", "rows"))
+    cut = F.when(F.col("torn"), F.array(value, F.substr(value, F.lit(1), F.lit(60)))).otherwise(F.array(value))
+    return env.select(F.explode(cut).alias("value"))
 
 
 def _month_range(col: str, month: str) -> Column:

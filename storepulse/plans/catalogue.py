@@ -12,14 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonio import as_json, to_message
-from ..operators import answers, dedup, kpi, search
+from ..operators import answers, dedup, kpi, paging, ranking, search
+from ..schemas import SALE, STARTUP
 from ..session import scratch_path
-from ..sinks.tables import load_sale_day, read_table
+from ..sinks.compact import compact_partition
+from ..sinks.tables import load_sale_day, publish
 from ..sources.cdc import cdc_to_messages, parse_envelope
 from ..sources.logs import log_stream, parse_event, parse_logs, parse_startup, route, topic_stream
 from ..sources.orders import enrich_order, parse_order
 from ..sources.warehouse import sale_scan
-from ..streaming import DAU_TABLE, ORDERS_TABLE, collect_logs, dau_stream, order_stream, run_to_end
+from ..streaming import (ORDERS_TABLE, BatchCounts, batch_counts, cdc_stream_to_orders, collect_logs, dau_stream,
+                         known_devices, known_devices_stream, new_device_card, order_stream, read_dau, read_ledger, read_orders,
+                         run_to_end)
 from . import adapters as A
 
 # Fixed parameters of the catalogue (dates present in the test tables).
@@ -31,6 +35,7 @@ SALE_KEYWORD = "red"
 DOC_KEYWORD = "the"
 REL_KEYWORD = "the in"
 PAGE_SIZE = 10
+LOAD_ROWS = 100
 STAMP_MS = 1551657600000  # 2019-03-04 00:00 UTC
 TZ = A.UTC
 
@@ -110,6 +115,55 @@ def archive_lines_q(spark, sf_dir):
                       field("$.net.kind").alias("net"), field("$.ts").cast("long").alias("ts"))
 
 
+def collect_faithful_q(spark, sf_dir):
+    """Lines as they leave the collector, text for text: numbers of fifty digits, doubled keys, odd spaces, text behind the object."""
+    root = scratch_path(spark, "faithful")
+    A.odd_log_lines(spark, sf_dir).write.text(f"{root}/in")
+    run_to_end(collect_logs(log_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/_checkpoint", trigger="availableNow", now=STAMP_MS, tz=TZ))
+    routed = spark.read.schema("value string, topic string").text(f"{root}/out/topics")
+    refused = spark.read.schema("value string").text(f"{root}/out/quarantine")
+    return routed.select("topic", "value").unionByName(refused.select(F.lit("quarantine").alias("topic"), "value"))
+
+
+def _cdc(spark, sf_dir) -> str:
+    """Run the change stream over every envelope, and a torn copy of those of status P."""
+    root = scratch_path(spark, "cdc")
+    env = A.cdc_envelopes(spark, sf_dir, torn="P")
+    env.write.text(f"{root}/in")
+    run_to_end(cdc_stream_to_orders(spark, f"{root}/in", f"{root}/out", f"{root}/_checkpoint", trigger="availableNow"))
+    return f"{root}/out"
+
+
+def cdc_stream_orders_q(spark, sf_dir):
+    msgs = spark.read.schema("value string").text(f"{_cdc(spark, sf_dir)}/order")
+    o = parse_order(msgs)
+    return o.select("id", F.col("user_id").alias("userId"), F.col("total_amount").alias("totalAmount"), F.col("consignee_tel").alias("consigneeTel"))
+
+
+def cdc_ledger_q(spark, sf_dir):
+    """What became of the envelopes: messages, ignored, refused, and the rows among them."""
+    return read_ledger(spark, _cdc(spark, sf_dir)).groupBy("outcome").agg(F.sum("envelopes").alias("envelopes"), F.sum("rows").alias("rows"))
+
+
+def publish_once_q(spark, sf_dir):
+    """Order messages published twice as the same batch: one copy is there."""
+    root = scratch_path(spark, "publish")
+    msgs = A.order_messages(spark, sf_dir)
+    for _ in range(2):
+        publish(msgs, "order", root, batch_id=0)
+    return parse_order(spark.read.schema("value string").text(f"{root}/order")).select("id", "area", "create_time")
+
+
+def orders_compacted_q(spark, sf_dir):
+    """The order stream's table after its months were fed in two batches and one month was merged."""
+    root = scratch_path(spark, "compacted")
+    for i, half in enumerate(A.order_messages(spark, sf_dir).randomSplit([0.5, 0.5], 7)):
+        half.write.mode("append").text(f"{root}/in")
+        run_to_end(order_stream(topic_stream(spark, f"{root}/in"), f"{root}/orders", f"{root}/_checkpoint", trigger="availableNow"))
+    compact_partition(spark, f"{root}/orders", ORDERS_TABLE, "create_month", ORDER_DATE[:7], sort_by=["create_date"])
+    return read_orders(spark, f"{root}/orders").select("id", "area", "total_amount", "create_date")
+
+
 def cdc_insert_orders_q(spark, sf_dir):
     msgs = cdc_to_messages(parse_envelope(A.cdc_envelopes(spark, sf_dir)))
     o = parse_order(msgs)
@@ -123,14 +177,17 @@ def order_enrich_q(spark, sf_dir):
                     F.col("consignee_tel").alias("tel_masked"))
 
 
+def _all_order_columns(orders: DataFrame) -> DataFrame:
+    names = [c for c in ORDERS_TABLE.fieldNames() if c not in ("consignee_tel", "create_month", "writer", "batch_id")]
+    return orders.select(*names, F.col("consignee_tel").alias("tel_masked"))
+
+
 def order_stream_q(spark, sf_dir, max_files: int | None = None):
     root = scratch_path(spark, "order_stream")
     A.order_messages(spark, sf_dir, in_time_order=_slices(spark, max_files)).write.text(f"{root}/in")
     _run("order_stream", order_stream(topic_stream(spark, f"{root}/in", max_files=max_files), f"{root}/orders",
                                       f"{root}/_checkpoint", trigger="availableNow", quarantine=f"{root}/quarantine"))
-    o = read_table(spark, f"{root}/orders", ORDERS_TABLE)
-    return o.select("id", "area", "total_amount", "create_date", "create_hour", "create_hour_minute",
-                    F.col("consignee_tel").alias("tel_masked"))
+    return _all_order_columns(read_orders(spark, f"{root}/orders"))
 
 
 def order_json_roundtrip_q(spark, sf_dir):
@@ -149,7 +206,44 @@ def dau_stream_q(spark, sf_dir, max_files: int | None = None):
     A.startup_json(spark, sf_dir, in_time_order=_slices(spark, max_files)).write.text(f"{root}/in")
     _run("dau_stream", dau_stream(log_stream(spark, f"{root}/in", max_files=max_files), f"{root}/dau",
                                   f"{root}/_checkpoint", trigger="availableNow", tz=TZ))
-    return read_table(spark, f"{root}/dau", DAU_TABLE).select("log_date", "mid", "ts", "log_hour")
+    return read_dau(spark, f"{root}/dau").select(*STARTUP.fieldNames())
+
+
+def known_devices_q(spark, sf_dir):
+    """First day of every device, from the moves that the keyed stream kept."""
+    root = scratch_path(spark, "known_devices")
+    A.startup_json(spark, sf_dir).write.text(f"{root}/in")
+    run_to_end(known_devices_stream(log_stream(spark, f"{root}/in"), f"{root}/known", f"{root}/_checkpoint", trigger="availableNow", tz=TZ))
+    return known_devices(spark, f"{root}/known")
+
+
+def realtime_cards_q(spark, sf_dir):
+    """The KPI cards from the tables that the three streams keep: each card opens one day's folder (orders: one month's)."""
+    root = scratch_path(spark, "cards")
+    A.startup_json(spark, sf_dir).write.text(f"{root}/startup")
+    A.order_messages(spark, sf_dir).write.text(f"{root}/order")
+    run_to_end(dau_stream(log_stream(spark, f"{root}/startup"), f"{root}/dau", f"{root}/_dau", trigger="availableNow", tz=TZ))
+    run_to_end(known_devices_stream(log_stream(spark, f"{root}/startup"), f"{root}/known", f"{root}/_known", trigger="availableNow", tz=TZ))
+    run_to_end(order_stream(topic_stream(spark, f"{root}/order"), f"{root}/orders", f"{root}/_orders", trigger="availableNow"))
+    cards = kpi.realtime_total(read_dau(spark, f"{root}/dau", [KPI_DATE]), None, read_orders(spark, f"{root}/orders", [ORDER_DATE]), KPI_DATE,
+                               ORDER_DATE, new_mid=new_device_card(spark, f"{root}/known", KPI_DATE))
+    return cards.select("id", "name", "value")
+
+
+def stream_counts_q(spark, sf_dir):
+    """Counts of the daily-device stream as its listener kept them, torn lines among its input."""
+    root = scratch_path(spark, "stream_counts")
+    lines = A.startup_json(spark, sf_dir)
+    torn = lines.where(F.get_json_object("value", "$.log_id").cast("long") % 50 == 0).select(F.substr("value", F.lit(1), F.lit(10)).alias("value"))
+    lines.unionByName(torn).write.text(f"{root}/in")
+    counts = BatchCounts(spark, f"{root}/counts")
+    spark.streams.addListener(counts)
+    try:
+        counts.wait(run_to_end(dau_stream(log_stream(spark, f"{root}/in"), f"{root}/dau", f"{root}/_checkpoint", trigger="availableNow", tz=TZ)))
+    finally:
+        spark.streams.removeListener(counts)
+    kept = batch_counts(spark, f"{root}/counts").where(F.col("metric") == "dau_in")
+    return kept.groupBy("counter").agg(F.sum("n").alias("n"))
 
 
 def dau_new_in_batch_q(spark, sf_dir):
@@ -249,6 +343,44 @@ def sale_relevance_page_q(spark, sf_dir):
                             where=F.col("dt") == SALE_DT)
 
 
+def _sale_table(spark, sf_dir) -> str:
+    """The stored sale table: every month with its statistics, one month loaded from the warehouse on top."""
+    root = scratch_path(spark, "sale_table")
+    A.sale_rows(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/sale")
+    ranking.write_statistics(spark.read.schema(SALE).parquet(f"{root}/sale"), f"{root}/sale")
+    return f"{root}/sale"
+
+
+def sale_answer_ranked_json_q(spark, sf_dir):
+    """The sale search answer by relevance: statistics of all months added up, rows of one month scanned."""
+    return as_json(ranking.ranked_answer(spark, _sale_table(spark, sf_dir), SALE_DT, SALE_KEYWORD, 1, PAGE_SIZE))
+
+
+def sale_ranked_page_q(spark, sf_dir):
+    """The second page by relevance, behind the last row of the first."""
+    table = _sale_table(spark, sf_dir)
+    first = ranking.ranked_page(spark, table, SALE_DT, SALE_KEYWORD, PAGE_SIZE).collect()
+    cursor = paging.cursor_of(first[-1] if first else None, ranking.BY_SCORE)
+    return ranking.ranked_page(spark, table, SALE_DT, SALE_KEYWORD, PAGE_SIZE, cursor).select("user_id", "sku_id", "score")
+
+
+def sale_page_keyset_q(spark, sf_dir):
+    """The second page by amount, behind the last row of the first."""
+    hits = _hits(spark, sf_dir).select("user_id", "sku_id", "sku_name", "order_amount")
+    keys = [paging.Key("order_amount", descending=True), paging.Key("user_id"), paging.Key("sku_id")]
+    first = paging.keyset_page(hits, keys, PAGE_SIZE).collect()
+    return paging.keyset_page(hits, keys, PAGE_SIZE, paging.cursor_of(first[-1] if first else None, keys))
+
+
+def sale_load_files_q(spark, sf_dir):
+    """One month loaded in files of at most ``LOAD_ROWS`` rows: its rows, its fullest file within the bound, files no more than needed per task."""
+    root = scratch_path(spark, "sale_files")
+    A.sale_rows(spark, sf_dir, SALE_DT).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/warehouse")
+    load_sale_day(spark, f"{root}/warehouse", f"{root}/sale", SALE_DT, max_records_per_file=LOAD_ROWS)
+    files = spark.read.parquet(f"{root}/sale/dt={SALE_DT}").groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.max("n") <= LOAD_ROWS, F.lit(True)).alias("bounded"))
+
+
 def gender_share_q(spark, sf_dir):
     return search.gender_share(_hits(spark, sf_dir))
 
@@ -315,6 +447,18 @@ QUERIES = {
     "sale_summary_json": sale_summary_json_q,
     "realtime_total_json": realtime_total_json_q,
     "dau_hour_compare_json": dau_hour_compare_json_q,
+    "known_devices": known_devices_q,
+    "realtime_cards": realtime_cards_q,
+    "stream_counts": stream_counts_q,
+    "collect_faithful": collect_faithful_q,
+    "cdc_stream_orders": cdc_stream_orders_q,
+    "cdc_ledger": cdc_ledger_q,
+    "publish_once": publish_once_q,
+    "orders_compacted": orders_compacted_q,
+    "sale_answer_ranked_json": sale_answer_ranked_json_q,
+    "sale_ranked_page": sale_ranked_page_q,
+    "sale_page_keyset": sale_page_keyset_q,
+    "sale_load_files": sale_load_files_q,
     "area_sales": area_sales_q,
     "area_sales_binned": area_sales_binned_q,
 }

@@ -38,7 +38,7 @@ from ..sinks.snapshot import read_snapshot
 from ..sinks.tables import append_table, ensure_table, writer_id
 from ..sources.logs import parse_startup
 from .metrics import with_metrics
-from .runner import DEFAULT_TRIGGER, start
+from .runner import DEFAULT_TRIGGER, start, state_settings
 
 _log = logging.getLogger(__name__)
 KEYS = ("log_date", "mid")
@@ -154,11 +154,11 @@ def _state_batch(path: str, refused: str, late: str, inherited: tuple[str, set[s
 
 def dau_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                tz: str | None = None, mode: str = "state", keep_days: int | None = None,
-               quarantine: str | None = None):
+               quarantine: str | None = None, partitions: int | None = None):
     """Start the daily dedup over a stream of startup-log JSON lines (``value``).
 
     Refused lines go to ``quarantine`` (default: ``<path>_quarantine``). One query writes a table at a time.
-    The state has as many partitions as ``spark.sql.shuffle.partitions`` says at the first start.
+    The state has ``partitions`` parts (default: one per core of the cluster), fixed by the first start.
     """
     spark = logs.sparkSession
     refused = quarantine or f"{path.rstrip('/')}_quarantine"
@@ -170,7 +170,8 @@ def dau_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None
         out = with_metrics(_with_new_keys(parsed, keep_days), "dau_in", rows=F.count_if(F.col("kind") != KEY),
                            refused=count(REFUSED), late=count(LATE), accepted=count(ROW), keys=count(KEY))
         run = _state_batch(path, refused, f"{path.rstrip('/')}_late", _inherit(spark, path, checkpoint))
-        return start(out.writeStream.foreachBatch(run), checkpoint, trigger)
+        with state_settings(spark, partitions):
+            return start(out.writeStream.foreachBatch(run), checkpoint, trigger)
     if mode == "table":
         parsed = with_metrics(parsed.withColumn("kind", line_kind()), "dau_in", rows=F.count(F.lit(1)),
                               refused=F.count_if(F.col("kind") == REFUSED), accepted=F.count_if(F.col("kind") == ROW))

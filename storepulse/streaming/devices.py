@@ -18,7 +18,7 @@ from ..sinks.tables import append_table, ensure_table
 from ..sources.logs import parse_startup
 from .dau import ROW, line_kind
 from .metrics import with_metrics
-from .runner import DEFAULT_TRIGGER, keyed_state, start
+from .runner import DEFAULT_TRIGGER, start, state_settings
 
 _MOVES = "mid string, log_date string, n long"
 MOVES_TABLE = T.StructType([T.StructField("mid", T.StringType(), True), T.StructField("n", T.LongType(), True),
@@ -59,13 +59,14 @@ def device_moves(logs: DataFrame, tz: str | None = None) -> DataFrame:
     return keys.groupBy("mid").transformWithStateInPandas(_first_day(), outputStructType=_MOVES, outputMode="Append", timeMode="None")
 
 
-def known_devices_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER, tz: str | None = None):
-    """Start keeping the moves table at ``path``."""
+def known_devices_stream(logs: DataFrame, path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER, tz: str | None = None,
+                         partitions: int | None = None):
+    """Start keeping the moves table at ``path``, its state in ``partitions`` parts (default: one per core)."""
     ensure_table(logs.sparkSession, path, MOVES_TABLE, ["log_date", "writer", "batch_id"])
 
     def run(batch: DataFrame, batch_id: int) -> None:
         append_table(batch, path, ["log_date"], batch_id)
-    with keyed_state(logs.sparkSession):
+    with state_settings(logs.sparkSession, partitions, keyed=True):
         return start(device_moves(logs, tz).writeStream.foreachBatch(run), checkpoint, trigger)
 
 

@@ -31,16 +31,22 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = DEFAU
 
 
 @contextmanager
-def keyed_state(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB, which arbitrary state needs; a query copies the
+def state_settings(spark: SparkSession, partitions: int | None = None, keyed: bool = False):
+    """Queries started inside keep their state in ``partitions`` parts (default: one per core of the cluster; fixed
+    by a query's first start), and in RocksDB with ``keyed``, which arbitrary state needs. A query copies the
     session's settings when it starts, so the session keeps its own."""
-    key, own = "spark.sql.streaming.stateStore.providerClass", CLUSTER_CONF["spark.sql.streaming.stateStore.providerClass"]
-    old = spark.conf.get(key)
-    spark.conf.set(key, own)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    own = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
+    if keyed:
+        own[store] = CLUSTER_CONF[store]
+    old = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
