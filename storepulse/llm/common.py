@@ -47,6 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, columns) -> str:
+    """``name``, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(values: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Index ranges of ``values`` (texts) of about ``limit`` characters, one value at least."""
     start, size = 0, 0

@@ -253,27 +253,63 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """(``id_col``, n_shingles, component_id, kept): classes of documents linked by sets that share ``percent`` of their union.
-
-    One row per input row. Null or empty texts and texts of white space have no shingles and no
-    links. Rows with a null id have no links, a null component and are kept; rows that repeat an id
-    are one node of the graph. An empty table gives an empty result.
-    """
+def _classes(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, n_shingles, component) of rows (id, text) whose id has one text: the smallest id reachable over links."""
     least = floor_of(percent / 100)
-    sig = stored(signatures(docs, words, id_col, text_col), "signatures")
+    sig = stored(signatures(rows, words, "id", "text"), "signatures")
     real = sig.where("id is not null and fp is not null")
     reps = real.groupBy("fp").agg(F.min("id").alias("rep"))
     nodes = real.join(reps, (real["fp"] == reps["fp"]) & (real["id"] == reps["rep"]), "left_semi").dropDuplicates(["id", "fp"])
     bands = nodes.select(F.explode("keys").alias("key"), "id", "sig")
     dealt = bands.repartition("key").sortWithinPartitions("key", "id")
     found = stored(_pairs(dealt, least).distinct(), "candidates")
-    plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    links = _confirmed(found.where("not tie"), plain, words, percent).unionByName(_clustered(found.where("tie"), plain, words, percent))
+    # rows that repeat an id and its text would be repeated in its links
+    links = _confirmed(found.where("not tie"), rows, words, percent).unionByName(_clustered(found.where("tie"), rows, words, percent))
     comps = stored(components(links), "components")
     # a document's class is that of its set's first document
     out = sig.join(reps, "fp", "left").withColumn("node", F.coalesce("rep", "id"))
     out = out.select("id", "n_shingles", "node").join(comps, "node", "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("component", "node"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"),
-                      F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+    return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "node")).alias("component"))
+
+
+def _ids_of_texts(rows: DataFrame) -> DataFrame | None:
+    """(id, text_hash, node) of every text of an id that has several, None if no id has: the text with the smallest hash keeps the id as its node."""
+    hashes = rows.where("id is not null").select("id", F.xxhash64("text").alias("text_hash"))
+    several = hashes.groupBy("id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low < high")
+    texts = stored(hashes.join(several.select("id", "low"), "id").distinct(), "texts")
+    if texts.isEmpty():
+        return None
+    below = rows.agg(F.min("id")).first()[0] - 1  # new ids lie below all others
+    node = F.when(F.col("text_hash") == F.col("low"), F.col("id")).otherwise(F.lit(below) - F.monotonically_increasing_id())
+    return stored(texts.select("id", "text_hash", node.alias("node")), "nodes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
+                    by_text: bool = False) -> DataFrame:
+    """(``id_col``, n_shingles, component_id, kept): classes of documents linked by sets that share ``percent`` of their union.
+
+    One row per input row; ``component_id`` is the smallest id of the class. Null or empty texts and texts of white
+    space have no shingles and no links. Rows with a null id have no links, a null component and are kept. A document
+    is an id and a text: rows that repeat both are one document, the texts of an id that has several are
+    documents of their own (told apart by a 64-bit hash), each in its own text's class. An empty table gives an
+    empty result.
+
+    With ``by_text`` also ``text_hash``, the xxhash64 of the row's text where its id has several (else null), and
+    ``first``: whether the row's document is the one that stands for its class, the only one of it, while several texts of
+    the smallest id in one class are all ``kept``.
+    """
+    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    nodes = _ids_of_texts(rows)
+    if nodes is None:
+        out = _classes(rows, words, percent).select("id", "n_shingles", "component", F.lit(None).cast("long").alias("text_hash"),
+                                                    F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("first"))
+    else:
+        named = rows.withColumn("text_hash", F.xxhash64("text")).join(nodes, ["id", "text_hash"], "left")
+        out = stored(_classes(named.select(F.coalesce("node", "id").alias("id"), "text"), words, percent), "classes")
+        out = out.withColumnRenamed("id", "node").join(nodes, "node", "left").withColumn("id", F.coalesce("id", "node"))
+        heads = out.where("component is not null").groupBy("component").agg(F.min(F.struct("id", F.col("node").alias("head_node"))).alias("head"))
+        out = out.join(heads, "component", "left").select("id", "n_shingles", F.col("head.id").alias("component"), "text_hash",
+                                                          F.coalesce(F.col("node") == F.col("head.head_node"), F.lit(True)).alias("first"))
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept")
+    more = ["text_hash", "first"] if by_text else []
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), kept, *more)
