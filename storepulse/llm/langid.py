@@ -1,20 +1,22 @@
 """Language identification by word-first backoff (operator 4).
 
 Known words are scored by their log frequency in each language. A word the model has not
-seen falls back to its character n-grams, from MAX_GRAM characters down to one, with '<' and
+seen in the sample falls back to its character n-grams, from MAX_GRAM characters down to one, with '<' and
 '>' for the word's ends: the longest order of which the model knows any gram decides, by the
 mean of its known grams' log frequencies. A text's score is the sum over its words; the
 prediction is the best language (ties: the first by name), its score the posterior
 probability.
 
 The model is fitted on a bounded sample of labelled rows: FIT_ROWS of each language, those
-with the smallest hash of their id. Everything else covers all rows and whole texts.
+with the smallest hash of their id (ties: of their text). It knows every word and gram of these rows; everything
+else covers all rows and whole texts.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -24,19 +26,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from storepulse.llm.common import record_batch, slices
+from storepulse.llm.common import fresh, slices
 
 #: The documented bound of the sample: labelled rows of each language.
 FIT_ROWS = 1000
-#: Bounds of the model, by frequency: words, and grams of each order.
-MAX_WORDS = 60_000
-MAX_GRAMS = 30_000
 MAX_GRAM = 4
+#: Parts of a language that are ranked apart before the sample is taken from their best.
+PARTS = 64
 #: Weight of a word that is scored by its grams, and the smoothing of counts.
 GRAM_WEIGHT = 0.5
 SMOOTH = 0.5
 _MEMO = 300_000
-_WORD = re.compile(r"[^\W\d_]+")
+# Runs of letters (categories L*): the regular expression's word signs without digits and other numeric signs.
+_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_WORD = re.compile(rf"[^\W_{re.escape(_NUMERIC)}]+")
 UNKNOWN = "und"
 #: A worker's scores of words by model, kept over its tasks.
 _WORDS_OF: dict[str, dict[str, np.ndarray]] = {}
@@ -73,7 +76,7 @@ def fit(rows: Iterator[tuple[str | None, str]]) -> Model:
     total = Counter()
     for lang in langs:
         total.update(words[lang])
-    ranked = sorted((w for w, n in total.items() if n > 1), key=lambda w: (-total[w], w))[:MAX_WORDS]
+    ranked = sorted(total)
     orders: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(MAX_GRAM + 1)]
     for lang in langs:
         for w, n in words[lang].items():
@@ -86,8 +89,7 @@ def fit(rows: Iterator[tuple[str | None, str]]) -> Model:
         of = Counter()
         for lang in langs:
             of.update(orders[k][lang])
-        top = sorted(of, key=lambda g: (-of[g], g))[:MAX_GRAMS]
-        grams.update(_log_shares(langs, orders[k], top))
+        grams.update(_log_shares(langs, orders[k], sorted(of)))
     prior = np.log(np.array([docs[x] for x in langs], float) / max(1, sum(docs.values()))) if langs else np.zeros(0)
     values = np.array(list(grams.values())).reshape(len(grams), len(langs))
     return Model(langs, prior, _log_shares(langs, words, ranked), dict(zip(grams, range(len(grams)))), values)
@@ -103,12 +105,18 @@ def _log_shares(langs: list[str], counts: dict[str, Counter], keys: list[str]) -
 
 
 def sample(docs: DataFrame, use: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """FIT_ROWS rows of each language among those where ``use`` holds, by the smallest hash of their id."""
-    keys = docs.where(use & docs[lang_col].isNotNull()).select(docs[lang_col].alias("lang"), docs[id_col].cast("long").alias("id"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")  # the limit applies before the shuffle
-    picked = keys.withColumn("k", F.row_number().over(order)).where(F.col("k") <= FIT_ROWS).select("id").distinct()
-    texts = docs.where(use & docs[lang_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang"))
-    return texts.join(picked, "id", "left_semi").select("text", "lang")
+    """FIT_ROWS rows (text, lang) of each language among those where ``use`` holds, by the smallest hash of their id.
+
+    Parts of a language are ranked first, then the best of all its parts, so no task ranks a whole language. Rows
+    that repeat id and text are one row.
+    """
+    rows = docs.where(use & docs[lang_col].isNotNull()).select(
+        docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("h"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
+    best = [F.xxhash64("id"), "id", "h"]
+    keys = rows.select("lang", "id", "h").distinct().withColumn("part", F.pmod(F.xxhash64("h", "id"), F.lit(PARTS)))
+    for group in (["lang", "part"], ["lang"]):  # the limit applies before each shuffle
+        keys = keys.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy(*best))).where(F.col("k") <= FIT_ROWS).drop("k")
+    return rows.join(keys.drop("part"), ["lang", "id", "h"], "left_semi").dropDuplicates(["lang", "id", "h"]).select("text", "lang")
 
 
 def held_out(id_col: Column) -> Column:
@@ -122,17 +130,19 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Learned only from text and language of rows that are not held out. Null texts and texts
     without a letter are ``und`` with score 0, as are all texts if no row has a language. A text
-    whose letters tell nothing gets the most frequent language. Repeated or null ids pass through;
-    the fitted sample takes every row of a sampled id.
+    whose letters tell nothing gets the most frequent language. Repeated or null ids pass through.
     """
     spark = docs.sparkSession
     rows = sample(docs, ~held_out(docs[id_col]), id_col, text_col, lang_col).toLocalIterator()  # bounded by FIT_ROWS
-    model = spark.sparkContext.broadcast(fit((r[0], r[1]) for r in rows))  # bounded by MAX_WORDS, MAX_GRAMS
+    model = spark.sparkContext.broadcast(fit((r[0], r[1]) for r in rows))  # the words and grams of these rows
     mark = uuid.uuid4().hex
     keep = [id_col] if keep is None else keep
     made = ("lang_pred", "score", "held_out")
-    fields = [f for f in docs.schema.fields if f.name in keep and f.name not in made]
-    kept = docs.select([F.col(f.name) for f in fields] + [docs[text_col].alias("__text"), held_out(docs[id_col]).alias("held_out")])
+    body = fresh("text_to_read", [*docs.columns, *made])
+    if set(made).intersection(keep):
+        raise ValueError(f"rename columns named as the results first: {sorted(set(made).intersection(keep))}")
+    fields = [f for f in docs.schema.fields if f.name in keep]
+    kept = docs.select([F.col(f.name) for f in fields] + [docs[text_col].alias(body), held_out(docs[id_col]).alias("held_out")])
     out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["held_out boolean", "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +152,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             _WORDS_OF[mark] = {}
         memo = _WORDS_OF[mark]
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(body).to_pylist()
             for a, b in slices(texts):
                 langs, scores = [], []
                 for text in texts[a:b]:
