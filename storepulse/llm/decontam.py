@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import slices, stored
+from storepulse.llm.common import fresh, slices, stored
 
 WINDOW = 10
 ROUND_WINDOWS = 400_000
@@ -112,8 +112,11 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     keep = [id_col] if keep is None else keep
     made = ("n_words", "spans", "items")
-    fields = [f for f in docs.schema.fields if f.name in keep and f.name not in made]
-    now = docs.select([F.col(f.name) for f in fields] + [docs[text_col].alias("__text"), F.lit(0).cast("long").alias("n_words"),
+    if set(made).intersection(keep):
+        raise ValueError(f"rename columns named as the results first: {sorted(set(made).intersection(keep))}")
+    fields = [f for f in docs.schema.fields if f.name in keep]
+    body = fresh("text_to_read", [*docs.columns, *made])
+    now = docs.select([F.col(f.name) for f in fields] + [docs[text_col].alias(body), F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.array().cast("array<string>").alias("items")])
     schema = now.schema
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -125,7 +128,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         def run(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             t = Tables([(i or "", x) for i, x in tables.value])
             for batch in batches:
-                texts = batch.column("__text").to_pylist()
+                texts = batch.column(body).to_pylist()
                 for a, b in slices(texts):
                     part = batch.slice(a, b - a)
                     old_spans, old_items = part.column("spans").to_pylist(), part.column("items").to_pylist()
@@ -136,12 +139,12 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                         counts.append(len(w))
                         spans.append([{"a": x, "b": y} for x, y in merged([(p["a"], p["b"]) for p in s] + more)])
                         found.append(sorted(own.union(i)))
-                    cols = [part.column(f.name) for f in fields] + [part.column("__text"), pa.array(counts, pa.int64()),
+                    cols = [part.column(f.name) for f in fields] + [part.column(body), pa.array(counts, pa.int64()),
                                                                     pa.array(spans, kind), pa.array(found, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields] + ["__text", *made])
+                    yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields] + [body, *made])
 
         now = now.mapInArrow(run, schema)
-    return now.drop("__text")
+    return now.drop(body)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns) -> DataFrame:
