@@ -26,16 +26,21 @@ DEFAULT_CONF = {
 }
 
 
+# State of the streams that keep keys: on disk, with changelog checkpoints.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Starting points for a large cluster (hundreds of executors, tens of TB per job): many
-# initial shuffle partitions that AQE coalesces to ~256 MB, larger file splits, and the
-# RocksDB state store for the state-store form of the daily-device stream.
+# initial shuffle partitions that AQE coalesces to ~256 MB, larger file splits, and state on disk.
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **STATE_CONF,
 }
 
 
@@ -103,6 +108,17 @@ def existing(spark: SparkSession, paths) -> list[str]:
     return [p for p, (fs, hp) in found if fs.exists(hp)]
 
 
+def _scratch_of(spark: SparkSession) -> str:
+    return os.path.join(scratch_root(spark), "storepulse", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder name below the scratch root (not created)."""
-    return os.path.join(scratch_root(spark), "storepulse", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder name below the application's scratch folder (not created)."""
+    return os.path.join(_scratch_of(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this application. Results that are DataFrames read them: call it when
+    those are written or no longer needed, before the session stops."""
+    fs, folder = hadoop_path(spark, _scratch_of(spark))
+    fs.delete(folder, True)

@@ -66,7 +66,7 @@ def known_devices_stream(logs: DataFrame, path: str, checkpoint: str, trigger: s
 
     def run(batch: DataFrame, batch_id: int) -> None:
         append_table(batch, path, ["log_date"], batch_id)
-    with state_settings(logs.sparkSession, partitions, keyed=True):
+    with state_settings(logs.sparkSession, partitions):
         return start(device_moves(logs, tz).writeStream.foreachBatch(run), checkpoint, trigger)
 
 

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..session import CLUSTER_CONF
+from ..session import STATE_CONF
 
 DEFAULT_TRIGGER = "5 seconds"
 
@@ -31,22 +31,20 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = DEFAU
 
 
 @contextmanager
-def state_settings(spark: SparkSession, partitions: int | None = None, keyed: bool = False):
+def state_settings(spark: SparkSession, partitions: int | None = None):
     """Queries started inside keep their state in ``partitions`` parts (default: one per core of the cluster; fixed
-    by a query's first start), and in RocksDB with ``keyed``, which arbitrary state needs. A query copies the
-    session's settings when it starts, so the session keeps its own."""
-    store = "spark.sql.streaming.stateStore.providerClass"
-    own = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
-    if keyed:
-        own[store] = CLUSTER_CONF[store]
-    old = {k: spark.conf.get(k) for k in own}
+    by a query's first start), and in RocksDB, so that it is bounded by disks and not by the executors' memory; a
+    batch uploads its changes, not the files they end up in. A query copies the session's settings when it
+    starts, so the session keeps its own."""
+    own = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism), **STATE_CONF}
+    old = {k: spark.conf.get(k, None) for k in own}
     for k, v in own.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:

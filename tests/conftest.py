@@ -12,9 +12,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from storepulse.session import build_session
+    from storepulse.session import build_session, remove_scratch
     s = build_session("local[4]", app="storepulse-tests", shuffle_partitions=8)
     yield s
+    remove_scratch(s)
     s.stop()
 
 

@@ -114,3 +114,18 @@ def test_spread_only_under_split_scans(spark):
     spread_df = spread(raw.where("event_type = 'view'"), min_partitions=64)
     plan = _plan(spread_df)
     assert "RoundRobinPartitioning(64)" in plan and "EqualTo(event_type,view)" in plan  # filter still pushed
+
+
+def test_scratch_folders_go_together(spark):
+    import os
+    from storepulse.session import build_session, remove_scratch, scratch_path
+    a, b = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert a != b and os.path.dirname(a) == os.path.dirname(b) and spark.sparkContext.applicationId in a
+    kept = os.listdir(os.path.dirname(a)) if os.path.isdir(os.path.dirname(a)) else []
+    spark.range(3).write.parquet(a)
+    other = os.path.join(os.path.dirname(os.path.dirname(a)), "another-application", "x")
+    spark.range(3).write.parquet(other)
+    if not kept:  # nothing of other tests is in use
+        remove_scratch(spark)
+        assert not os.path.exists(a)
+    assert os.path.exists(other)
