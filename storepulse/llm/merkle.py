@@ -46,8 +46,9 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), ""), 256)
 
 
-def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``rows`` plus ``idx``, the place in ``group`` (not null) by ``order`` from 0, and ``n``, the group's size.
+def numbered(rows: DataFrame, group: str, order: list[str], more: DataFrame | None = None) -> DataFrame:
+    """``rows`` plus ``idx``, the place in ``group`` (not null) by ``order`` from 0, and ``n``, the group's size, and
+    the columns of ``more`` (one row per group), which reach the rows without a join by the group alone.
 
     Ties are ordered arbitrarily but once for all: the numbered rows are written. ``rows`` should be a stored
     table, for its rows are read twice, once to choose the ranges. A group, or a key of ``order``, that holds
@@ -61,6 +62,8 @@ def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select(group, "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"), "__first",
                            F.sum("__rows").over(Window.partitionBy(group)).alias("n"))
+    if more is not None:
+        pieces = pieces.join(more, group)
     out = ranged.join(pieces, [group, "__part"]).withColumn("idx", F.col("__place") - F.col("__first") + F.col("__before"))
     return out.drop("__place", "__part", "__first", "__before")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, merkle, minhash, packing, rans, tokencount, trie, windows
-from storepulse.llm.common import stored, table
+from storepulse.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -72,8 +72,7 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sequences = stored(trie.turn_sequences(table(spark, sf_dir, "conversations")), "turns")  # read twice: own turns and heads
-    return trie.prefix_trie(trie.rebuilt(sequences))
+    return trie.prefix_trie(*trie.rebuilt(trie.turns_of(table(spark, sf_dir, "conversations"))))
 
 
 QUERIES = {

@@ -58,7 +58,7 @@ def _brute(seqs):
 def _got(spark, rows):
     ship(spark)
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn int, role string, text string, shard int, node string")
-    out = trie.prefix_trie(trie.rebuilt(trie.turn_sequences(df)))
+    out = trie.prefix_trie(*trie.rebuilt(trie.turns_of(df)))
     assert out.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     return sorted((tuple(r) for r in out.collect()), key=str)
 
@@ -105,24 +105,33 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("cells", [1, 7, 40])
 def test_nodes_over_many_shards(spark, monkeypatch, cells):
     """Shards of a few rows: nearly all nodes are boundary nodes; a third of the conversations are equal."""
-    ship(spark)
     rows = _random(cells, 300, True)
-    seqs = _sequences(rows)
-    small = spark.sparkContext.broadcast(cells)
-    whole = trie._shards
+    monkeypatch.setattr(trie, "CELLS", cells)
+    assert _got(spark, rows) == _brute(_sequences(rows))
 
-    def shards(batches):
-        trie.CELLS = small.value
-        return whole(batches)
-    monkeypatch.setattr(trie, "_shards", shards)
-    monkeypatch.setattr(trie, "PIECE", 3)
-    assert _got(spark, rows) == _brute(seqs)
+
+@pytest.mark.parametrize("width,cells", [(1, 1 << 20), (2, 5), (3, 40), (2, 1)])
+def test_conversations_of_several_bands(spark, monkeypatch, width, cells):
+    """Bands of a few turns, so that conversations have up to seven of them, end at a band's last turn, and share parts of them."""
+    rnd = random.Random(width * 100 + cells)
+    rows = [(c, t, "u", rnd.choice(["a b", "c", "d e f"]) if rnd.random() < 0.3 else "same words here") for c in range(120) for t in range(rnd.choice([0, 1, 2, 3, 4, 5, 6, 7]))]
+    rows += [(c, t, "u", f"hot {t}") for c in range(200, 260) for t in range(6)] + [(300, t, "u", "x " * t) for t in range(9)] + [(301, t, "u", "x " * t) for t in range(9)]
+    monkeypatch.setattr(trie, "WIDTH", width)
+    monkeypatch.setattr(trie, "CELLS", cells)
+    assert _got(spark, rows) == _brute(_sequences(rows))
+
+
+def test_long_equal_conversations(spark, monkeypatch):
+    rows = [(c, t, "u", f"turn {t}") for c in (400, 401) for t in range(500)] + [(402, t, "u", f"turn {t}" if t < 450 else f"other {t}") for t in range(600)]
+    monkeypatch.setattr(trie, "WIDTH", 64)
+    assert _got(spark, rows) == _brute(_sequences(rows))
 
 
 def test_one_shard_does_not_need_sorted_rows():
     turns = [[1, 2], [], [1, 2, 3], [2], [1, 2]]
     convs = np.array([5, 9, 7, 1, 3])
     ids = [b"".join(int(x).to_bytes(trie.ID_BYTES, "big") for x in t) for t in turns]
-    out = trie._shard(ids, convs, [np.array([x for t in turns for x in t])], 0)
+    none = np.zeros(5, np.int64)
+    out = trie._shard(0, [b""] * 5, ids, convs, np.array([x for t in turns for x in t]), none > 0, none, none, 0, trie.WIDTH)
     got = sorted(zip(out["depth"], out["conv_id"], out["n_convs"]))
     assert got == [(0, 1, 5), (1, 1, 1), (1, 3, 3), (2, 3, 3), (3, 7, 1)]
