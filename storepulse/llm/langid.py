@@ -37,14 +37,26 @@ PARTS = 64
 GRAM_WEIGHT = 0.5
 SMOOTH = 0.5
 _MEMO = 300_000
-# Runs of letters (categories L*): the regular expression's word signs without digits and other numeric signs.
-_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_WORD = re.compile(rf"[^\W_{re.escape(_NUMERIC)}]+")
+# Runs of letters (categories L*): word signs that are no digits, of which other numeric signs are taken out first.
+_SIGNS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()]
+_NUMERIC = re.compile("[" + re.escape("".join(c for c in _SIGNS if c < "\U00010000")) + "]")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+_ASTRAL_NUMERIC = str.maketrans({c: " " for c in _SIGNS if c >= "\U00010000"})
+_WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: A worker's scores of words by model, kept over its tasks.
 _WORDS_OF: dict[str, dict[str, np.ndarray]] = {}
 
 
+def words_of(text: str | None) -> list[str]:
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _NUMERIC.sub(" ", text)
+        if _ASTRAL.search(text):
+            text = text.translate(_ASTRAL_NUMERIC)
+    return _WORD.findall(text)
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -71,7 +83,7 @@ def fit(rows: Iterator[tuple[str | None, str]]) -> Model:
     docs: Counter = Counter()
     for text, lang in rows:
         docs[lang] += 1
-        words[lang].update(_WORD.findall((text or "").lower()))
+        words[lang].update(words_of(text))
     langs = sorted(docs)
     total = Counter()
     for lang in langs:
@@ -156,7 +168,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             for a, b in slices(texts):
                 langs, scores = [], []
                 for text in texts[a:b]:
-                    words = _WORD.findall((text or "").lower())
+                    words = words_of(text)
                     if not words or not m.langs:
                         langs.append(UNKNOWN)
                         scores.append(0.0)

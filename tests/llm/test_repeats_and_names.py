@@ -81,7 +81,8 @@ def test_no_letter_is_no_language(spark):
     rows = [(1, "the cat sat on the mat " * 5, "x"), (2, "½ ² Ⅷ ³ ٣ 12 _ !", "x"), (3, "½the", "x"), (6, "a", "x"), (13, "le chat", "x")]
     got = {r.doc_id: r for r in langid.identify(_docs(spark, rows)).collect()}
     assert got[2].lang_pred == "und" and got[2].score == 0 and got[3].lang_pred == "en"
-    assert langid._WORD.findall("½the²x Ⅷé_ß３") == ["the", "x", "é", "ß"]
+    assert langid.words_of("½the²x Ⅷé_ß３ a\U0001F101b \U00010400c") == ["the", "x", "é", "ß", "a", "b", "\U00010428c"]
+    assert langid.words_of("a½ \U0001F101") == ["a"] and langid.words_of(None) == []
 
 
 def test_the_sample_is_bounded_by_rows(spark, monkeypatch):
