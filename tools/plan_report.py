@@ -52,24 +52,22 @@ def summarize(plan: str) -> list[str]:
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from storepulse.session import build_session
-    from storepulse.plans import adapters as A
-    import __spark_entry__ as E
+    from storepulse.plans.catalogue import QUERIES
     spark = build_session("local[8]", shuffle_partitions=16)
     jvm = spark._jvm
     print(f"# Physical plans (generated by tools/plan_report.py at `{sf_dir}`)\n")
-    print("Streaming entries and the warehouse load run jobs when called and are left out: "
-          + ", ".join(sorted(STREAMING)) + ". The *no broadcast* line is the same query with\n"
-          "automatic broadcasts off and the dimension limit of the checked broadcasts at 0, i.e. the\n"
-          "exchanges left when no table fits a broadcast (only `nation`, 25 rows, stays broadcast).\n"
+    print("Streaming entries, loads and paged searches run jobs when called and are left out: "
+          + ", ".join(sorted(STREAMING)) + "; so are the training-data queries, which write\n"
+          "tables between their stages. The *no broadcast* line is the same query with automatic broadcasts off, i.e. the\n"
+          "exchanges left when no table fits a broadcast.\n"
           "`RoundRobinPartitioning` is the split guard for single-row-group test files; on a\n"
           "well-split input it is not planned.\n")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in STREAMING:
             continue
         lines = []
         for label, conf in (("as planned", "10485760"), ("no broadcast", "-1")):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
-            A.DIM_BROADCAST_ROWS = 2_000_000 if conf != "-1" else 0  # tables above the checked limit
             df = fn(spark, sf_dir)
             plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
             items = summarize(plan)
