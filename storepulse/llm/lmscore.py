@@ -1,24 +1,34 @@
 """Language-model scoring by cross-entropy difference (operator 7).
 
 Two bigram models, one of the target documents and one of the background, share one
-vocabulary: the words of all documents. A word is the 64-bit hash of its bytes, a bigram that of
-two words, and each has a count of its own however many there are. A bigram backs off to
-its word, a word to the uniform share. Per token the loss is the negative log probability; a
-document's score is its mean loss under the target model less its mean loss under the
-background model, so the smaller, the more it reads like the target.
-
-Counts are summed per batch before the shuffle and kept as a table of losses on shared storage, which grows
-with the corpus. Documents meet it by the bigrams they hold; nothing but the totals passes the driver.
+vocabulary: the words of all documents. A word is the 64-bit hash of its bytes, and every word and
+bigram has a count of its own however many there are. A bigram backs off to its word, a word to the
+uniform share. Per token the loss is the negative log probability; a document's score is its mean
+loss under the target model less its mean loss under the background model, so the smaller, the more
+it reads like the target.
+
+``matched`` scales the background's counts to the target's number of tokens: the models are as large as
+one another, and the background is what a sample of that size holds on average, from all of its rows.
+``leave_out`` takes a document's own counts from the model that holds it, so none is scored by itself.
+
+Three passes read the texts. The first counts the words; those that make one token in HOT or more, at most HOT of them, are
+hot. The second counts bigrams of two hot words, HOT * HOT at most, which are scored where the text is
+read. In the third every other bigram goes to the shard of its word, or of the word before where the word itself is hot:
+it travels once, in packed columns, and is counted and scored there. So a key of a shard is never more than one token in HOT;
+a shard has SHARD_TOKENS tokens on average, and what it returns is one sum per document it met.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from storepulse.llm.common import slices, stored
@@ -26,8 +36,15 @@ from storepulse.llm.minhash import mix
 
 #: Weight of the back-off distribution, in occurrences.
 BACK_OFF = 4.0
+#: A word with one token in so many is hot; at most so many are.
+HOT = 1024
+#: Tokens of a shard on average, and words a task counts before it passes them on.
+SHARD_TOKENS, HELD_WORDS = 1 << 21, 1 << 21
+#: Losses are added as whole numbers of this part, so sums don't depend on their order.
+UNIT = 2.0 ** -30
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_COLUMNS = ("ids", "hashes", "lengths", "target", "words", "n_words", "contexts", "context", "doc", "n", "last",
+            "hot", "hot_contexts", "hot_context", "hot_doc", "hot_n", "hot_own")
 
 
 def word_ids(text: str | None) -> np.ndarray:
@@ -36,101 +53,302 @@ def word_ids(text: str | None) -> np.ndarray:
     return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.uint64(1))
 
 
-def _before(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    out = np.concatenate([np.zeros(1, np.uint64), ids[:-1]]) if len(ids) else ids
-    starts = np.cumsum(lengths) - lengths
-    out[starts[lengths > 0]] = 0
-    return out
-
-
-def bigrams(ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return mix(before * _ODD + ids)
+def _tokens(texts: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from, to, lengths, words) of slices of ``texts``."""
+    for a, b in slices(texts):
+        each = [word_ids(t) for t in texts[a:b]]
+        yield a, b, np.array([len(x) for x in each], np.int64), np.concatenate(each)
 
 
-def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows by ``columns`` (the last first) and where a new value begins in it."""
-    order = np.lexsort(columns)
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows by ``columns`` (the last first), where a new value begins in it, and the number of every row's value."""
+    order = np.lexsort(columns) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
     new = np.zeros(len(order), bool)
     new[:1] = True
     for c in columns:
-        new[1:] |= c[order][1:] != c[order][:-1]
-    return order, np.flatnonzero(new)
+        s = c[order]
+        new[1:] |= s[1:] != s[:-1]
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), of
 
 
-def _tokens(texts: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(from, to, lengths, words, words before) of slices of ``texts``."""
-    for a, b in slices(texts):
-        each = [word_ids(t) for t in texts[a:b]]
-        lengths, ids = np.array([len(x) for x in each]), np.concatenate(each)
-        yield a, b, lengths, ids, _before(ids, lengths)
+def _sums(values: np.ndarray, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values[order], at, axis=0) if len(at) else values[:0]
+
+
+def _sides(n: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """``n`` as the column of its side, zero in the other."""
+    out = np.zeros((len(n), 2), np.int64)
+    out[np.arange(len(n)), np.where(target, 0, 1)] = n
+    return out
 
 
-def counts(marked: DataFrame) -> DataFrame:
-    """(key, before, word, target, background) of every bigram, summed over all rows of (text, is_target)."""
+def _add(total: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    for k in range(2):
+        column = np.zeros(len(total), np.int64)
+        np.add.at(column, at, np.ascontiguousarray(values[:, k]))
+        total[:, k] += column
+
+
+def _place(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Place of every word among the sorted ``hot`` ones, -1 for others."""
+    at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
+    return np.where(hot[at] == words, at, -1)
+
+
+class Model:
+    """What every task knows: totals of both sides, and the counts of hot words, their contexts and their pairs."""
+
+    def __init__(self, hot: np.ndarray, words: np.ndarray, pairs: np.ndarray, contexts: np.ndarray, totals: np.ndarray, vocabulary: int, matched: bool, leave_out: bool):
+        self.hot, self.words, self.pairs, self.contexts = hot, words, pairs, contexts
+        self.totals, self.vocabulary, self.leave_out = totals, vocabulary, leave_out
+        both = matched and totals.min() > 0
+        self.scale = np.array([1.0, totals[0] / totals[1] if both else 1.0])
+
+    def _rest(self, counts: np.ndarray, own: np.ndarray, target: np.ndarray) -> np.ndarray:
+        return self.scale * (counts - _sides(own, target) if self.leave_out else counts)
+
+    def seen(self, n, pair, word, own_word, length, target) -> np.ndarray:
+        """Losses of ``n`` equal bigrams of a document, without their context's part."""
+        if not len(n):
+            return np.zeros((0, 2), np.int64)
+        share = (self._rest(word, own_word, target) + 0.5) / (self._rest(np.broadcast_to(self.totals, word.shape), length, target) + 0.5 * self.vocabulary)
+        return np.rint(-n[:, None] * np.log(self._rest(pair, n, target) + BACK_OFF * share) / UNIT).astype(np.int64)
+
+    def context(self, n, counts, target) -> np.ndarray:
+        """Losses' part of ``n`` bigrams of a document that share their context."""
+        if not len(n):
+            return np.zeros((0, 2), np.int64)
+        return np.rint(n[:, None] * np.log(self._rest(counts, n, target) + BACK_OFF) / UNIT).astype(np.int64)
+
+
+def _pack(columns: dict[str, np.ndarray]) -> bytes:
+    heads, data = [], []
+    for name in _COLUMNS:
+        c = columns[name]
+        if c.dtype.kind in "iu" and c.dtype.itemsize == 8 and name not in ("ids", "hashes", "words", "contexts", "hot_contexts"):
+            c = c.astype(np.uint32) if len(c) == 0 or c.max() < 1 << 32 else c
+            if c.dtype == np.uint32 and (len(c) == 0 or c.max() < 1 << 16):
+                c = c.astype(np.uint16)
+        heads.append(struct.pack("<cBq", c.dtype.kind.encode(), c.dtype.itemsize, len(c)))
+        # bytes of one weight together, so that the high ones, mostly zero, take no room
+        data.append(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(heads + data))
+
+
+def _unpack(blob: bytes) -> dict[str, np.ndarray]:
+    raw, out = zstandard.ZstdDecompressor().decompress(blob), {}
+    at = 10 * len(_COLUMNS)
+    for k, name in enumerate(_COLUMNS):
+        kind, size, n = struct.unpack_from("<cBq", raw, 10 * k)
+        c = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
+        out[name] = np.ascontiguousarray(c).view(f"{kind.decode()}{size}").reshape(n)
+        at += n * size
+    return out
+
+
+def word_counts(marked: DataFrame) -> DataFrame:
+    """(word, target, background) of every word, summed over all rows of (text, is_target)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
+
+        def merged(more: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+            w, c = np.concatenate(more), np.concatenate(counts)
+            order, at, _ = _runs(w)
+            return w[order][at], _sums(c, order, at)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["word", "target", "background"])
+
+        for batch in batches:
+            texts, target = batch.column("text").to_pylist(), np.array(batch.column("target").to_pylist(), bool)
+            for a, b, lengths, ids in _tokens(texts):
+                words, n = merged([words, ids], [n, _sides(np.ones(len(ids), np.int64), np.repeat(target[a:b], lengths))])
+                if len(words) >= HELD_WORDS:
+                    yield out()
+                    words, n = words[:0], n[:0]
+        if len(words):
+            yield out()
+
+    rows = marked.mapInArrow(run, "word long, target long, background long")
+    return rows.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def hot_counts(marked: DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by side of every pair of hot words (square, the context first) and of each as a context."""
+    n_hot, shared = len(hot), marked.sparkSession.sparkContext.broadcast(hot)  # HOT + 1 words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n_hot * n_hot + n_hot, 2), np.int64)
         for batch in batches:
-            texts, target = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), bool)
-            for a, b, lengths, ids, before in _tokens(texts):
+            texts, target = batch.column("text").to_pylist(), np.array(batch.column("target").to_pylist(), bool)
+            for a, b, lengths, ids in _tokens(texts):
                 if not len(ids):
                     continue
-                key, good = bigrams(ids, before), np.repeat(target[a:b], lengths)
-                order, at = _runs(key)
-                n, t = np.diff(np.append(at, len(order))), np.add.reduceat(good[order].astype(np.int64), at)
-                first = order[at]
-                yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)) for x in (key, before, ids)] + [pa.array(t), pa.array(n - t)],
-                                                 names=["key", "before", "word", "target", "background"])
-
-    rows = marked.mapInArrow(run, "key long, before long, word long, target long, background long")
-    return rows.groupBy("key", "before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def losses(pairs: DataFrame) -> DataFrame:
-    """(key, loss_target, loss_background) of every bigram of ``pairs``."""
-    sides = ("target", "background")
-    words = stored(pairs.groupBy("word").agg(*[F.sum(s).alias(f"w_{s}") for s in sides]), "words")
-    contexts = pairs.groupBy("before").agg(*[F.sum(s).alias(f"c_{s}") for s in sides])
-    total = words.agg(F.count("*"), *[F.sum(f"w_{s}") for s in sides]).first()  # one row
-    out = pairs.join(words, "word").join(contexts, "before")
-    made = []
-    for k, s in enumerate(sides):
-        share = (F.col(f"w_{s}") + 0.5) / F.lit(float(total[k + 1] or 0) + 0.5 * total[0])
-        made.append((-F.log((F.col(s) + BACK_OFF * share) / (F.col(f"c_{s}") + BACK_OFF))).alias(f"loss_{s}"))
-    return out.select("key", *made)
-
-
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", quality_col: str = "quality") -> DataFrame:
+                at = _place(ids, shared.value)
+                before = np.concatenate([[0], at[:-1]])
+                before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0  # the start, word 0, is the first hot one
+                good = np.repeat(target[a:b], lengths)
+                for side, of in enumerate((good, ~good)):
+                    known = of & (before >= 0)
+                    total[n_hot * n_hot:, side] += np.bincount(before[known], minlength=n_hot)
+                    known &= at >= 0
+                    total[:n_hot * n_hot, side] += np.bincount(before[known] * n_hot + at[known], minlength=n_hot * n_hot)
+        some = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some, 0]), pa.array(total[some, 1])], names=["place", "target", "background"])
+
+    rows = marked.mapInArrow(run, "place long, target long, background long").groupBy("place").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    rows = rows.toArrow()  # (HOT + 1) * (HOT + 2) rows at most
+    total = np.zeros((n_hot * n_hot + n_hot, 2), np.int64)
+    total[rows.column("place").to_numpy()] = np.stack([rows.column(c).to_numpy() for c in ("target", "background")], 1)
+    return total[:n_hot * n_hot].reshape(n_hot, n_hot, 2), total[n_hot * n_hot:]
+
+
+def _read(m: Model, ids: list, hashes: np.ndarray, target: np.ndarray, lengths: np.ndarray, words: np.ndarray, shards: int) -> tuple[np.ndarray, dict[int, bytes]]:
+    """What a slice of texts gives: sums by document of all that hot counts decide, and a blob for every shard."""
+    n_docs, of = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
+    ends = np.cumsum(lengths)
+    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
+    before[(ends - lengths)[lengths > 0]] = 0
+    last = np.zeros(len(words), np.int64)
+    last[ends[lengths > 0] - 1] = 1
+    total = np.zeros((n_docs, 2), np.int64)
+    if not len(words):
+        return total, {}
+    # equal bigrams of a document become one; the last one of a text is no context
+    order, at, _ = _runs(before, words, of)
+    n, ended = np.diff(np.append(at, len(order))), _sums(last, order, at)
+    w, b, doc = (x[order][at] for x in (words, before, of))
+    iw, ib = _place(w, m.hot), _place(b, m.hot)
+    group = doc * len(m.hot)
+    # counts of hot words in their documents, as words and as contexts
+    own = np.zeros(len(w), np.int64)
+    h = np.flatnonzero(iw >= 0)
+    o, s, num = _runs((group + iw)[h])
+    own[h] = _sums(n[h], o, s)[num]
+    c = np.flatnonzero(ib >= 0)
+    o, s, _ = _runs((group + ib)[c])
+    first = c[o[s]]
+    _add(total, doc[first], m.context(_sums(n[c], o, s), m.contexts[ib[first]], target[doc[first]]))
+    h = np.flatnonzero((iw >= 0) & (ib >= 0))
+    _add(total, doc[h], m.seen(n[h], m.pairs[ib[h], iw[h]], m.words[iw[h]], own[h], lengths[doc[h]], target[doc[h]]))
+    cold = np.flatnonzero((iw < 0) | (ib < 0))
+    shard = (mix(np.where(iw < 0, w, b)[cold]) % np.uint64(shards)).astype(np.int64)
+    out, order = {}, np.lexsort((w[cold], iw[cold] >= 0, shard))
+    cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        rows = cold[order[x:y]]
+        docs, of_doc = np.unique(doc[rows], return_inverse=True)
+        plain = iw[rows] < 0
+        r, s = rows[plain], rows[~plain]
+        own_words, n_words = np.unique(w[r], return_counts=True)
+        contexts, context = np.unique(b[r], return_inverse=True)
+        hot_contexts, hot_context = np.unique(b[s], return_inverse=True)
+        out[int(shard[order[x]])] = _pack(dict(
+            ids=ids[docs], hashes=hashes[docs], lengths=lengths[docs], target=target[docs].astype(np.uint8), words=own_words, n_words=n_words,
+            contexts=contexts, context=context, doc=of_doc[plain], n=n[r], last=ended[r], hot=iw[s], hot_contexts=hot_contexts,
+            hot_context=hot_context, hot_doc=of_doc[~plain], hot_n=n[s], hot_own=own[s]))
+    return total, out
+
+
+def _shard(m: Model, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, hashes, sums) of the documents of a shard: its bigrams counted and scored."""
+    parts = [_unpack(x) for x in blobs]
+    shift = np.cumsum([0] + [len(p["ids"]) for p in parts])
+    ids, hashes, lengths, target = (np.concatenate([p[c] for p in parts]) for c in ("ids", "hashes", "lengths", "target"))
+    target, total = target.astype(bool), np.zeros((len(ids), 2), np.int64)
+    lengths = lengths.astype(np.int64)
+    w = np.concatenate([np.repeat(p["words"], p["n_words"]) for p in parts])
+    b = np.concatenate([p["contexts"][p["context"]] for p in parts])
+    doc = np.concatenate([p["doc"].astype(np.int64) + k for p, k in zip(parts, shift)])
+    n, ended = (np.concatenate([p[c] for p in parts]).astype(np.int64) for c in ("n", "last"))
+    mine = target[doc]
+    order, at, of_word = _runs(w)
+    words = _sums(_sides(n, mine), order, at)
+    contexts = _sums(_sides(n - ended, mine), order, at)
+    order, at, of_pair = _runs(b, w)
+    pairs = _sums(_sides(n, mine), order, at)
+    order, at, of_own = _runs(doc, of_word)
+    own, follow, first = _sums(n, order, at), _sums(n - ended, order, at), order[at]
+    _add(total, doc, m.seen(n, pairs[of_pair], words[of_word], own[of_own], lengths[doc], mine))
+    _add(total, doc[first], m.context(follow, contexts[of_word[first]], mine[first]))
+    # hot words after one of this shard
+    iw = np.concatenate([p["hot"] for p in parts]).astype(np.int64)
+    b = np.concatenate([p["hot_contexts"][p["hot_context"]] for p in parts])
+    doc = np.concatenate([p["hot_doc"].astype(np.int64) + k for p, k in zip(parts, shift)])
+    n, own = (np.concatenate([p[c] for p in parts]).astype(np.int64) for c in ("hot_n", "hot_own"))
+    order, at, of_pair = _runs(b, iw)
+    pairs = _sums(_sides(n, target[doc]), order, at)
+    _add(total, doc, m.seen(n, pairs[of_pair], m.words[iw], own, lengths[doc], target[doc]))
+    order, at, _ = _runs(hashes, ids)
+    return ids[order][at], hashes[order][at], _sums(total, order, at)
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", quality_col: str = "quality",
+          matched: bool = False, leave_out: bool = False) -> DataFrame:
     """(``id_col``, n_tokens, loss_target, loss_background, score) of every whole text.
 
     Target documents have quality 1 in ``labels`` (in any row of their id), all others are background.
     Null texts and texts without words have 0 tokens and null losses. One row per input row; rows with
-    null or repeated ids are scored like any other. Without target or background that model is uniform.
+    null or repeated ids are scored like any other, each a document of its own: ``leave_out`` takes out that row,
+    not its copies. Without target or background that model is uniform, and nothing is matched.
     """
+    spark = docs.sparkSession
     good = labels.where(labels[quality_col] == 1).select(labels[label_id].cast("long").alias("id"), F.lit(True).alias("target")).distinct()
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    # one plan at every size: by hash of the id, the ids as the small side, no sort of the texts
-    marked = plain.join(good.hint("shuffle_hash"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    model = stored(losses(stored(counts(marked), "bigrams")), "losses")
-    texts = plain.select("id", F.xxhash64("text").alias("doc"), "text")
+    plain = plain.withColumn("hash", F.xxhash64("id", "text"))
+    # the ids alone are joined, no text is shuffled with them; the texts meet their side by row hash
+    rows = stored(plain.select("id", "hash").join(good.hint("shuffle_hash"), "id", "left").select("id", "hash", F.coalesce("target", F.lit(False)).alias("target")), "sides")
+    marked = plain.join(good.hint("shuffle_hash"), "id", "left").select("id", "hash", F.coalesce("target", F.lit(False)).alias("target"), "text")
 
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc = batch.column(0).to_numpy()
-            for a, b, lengths, ids, before in _tokens(batch.column(1).to_pylist()):
-                key, of = bigrams(ids, before), np.repeat(np.arange(a, b), lengths)
-                order, at = _runs(key, of)
-                first = order[at]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[of[first]]), pa.array(key[first].view(np.int64)),
-                                                  pa.array(np.diff(np.append(at, len(order))), pa.int32())], names=["doc", "key", "n"])
-
-    def length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = stored(word_counts(marked), "words")
+    size = words.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()  # one row
+    vocabulary, totals = size[0], np.array([size[1], size[2]], np.int64)
+    often = words.where((F.col("target") + F.col("background")) * HOT >= int(totals.sum())).toArrow()  # HOT rows at most
+    hot = np.concatenate([np.zeros(1, np.uint64), often.column("word").to_numpy().view(np.uint64)])
+    counts = np.concatenate([np.zeros((1, 2), np.int64), np.stack([often.column(c).to_numpy() for c in ("target", "background")], 1)])
+    order = np.argsort(hot)
+    hot, counts = hot[order], counts[order]
+    pairs, contexts = hot_counts(marked, hot)
+    model = spark.sparkContext.broadcast(Model(hot, counts, pairs, contexts, totals, vocabulary, matched, leave_out))  # 16 * HOT * HOT bytes at most
+    shards = max(1, math.ceil(int(totals.sum()) / SHARD_TOKENS))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [len(_WORD.findall((t or "").encode().lower())) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["id", "doc", "n_tokens"])
-
-    # the mean of a text is the same however many rows repeat it
-    sums = texts.select("doc", "text").mapInArrow(held, "doc long, key long, n int").join(model, "key").groupBy("doc").agg(
-        F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(c)).alias(c) for c in ("loss_target", "loss_background")])
-    means = sums.select("doc", *[(F.col(c) / F.col("n")).alias(c) for c in ("loss_target", "loss_background")])
-    out = texts.mapInArrow(length, "id long, doc long, n_tokens long").join(means, "doc", "left").drop("doc")
-    return out.withColumn("score", F.col("loss_target") - F.col("loss_background")).withColumnRenamed("id", id_col)
+            ids, hashes = batch.column("id").fill_null(0).to_numpy(), batch.column("hash").to_numpy()
+            texts, target = batch.column("text").to_pylist(), np.array(batch.column("target").to_pylist(), bool)
+            for a, b, lengths, words in _tokens(texts):
+                total, blobs = _read(model.value, ids[a:b], hashes[a:b], target[a:b], lengths, words, shards)
+                sums = struct.pack("<q", b - a) + b"".join(np.ascontiguousarray(x, np.int64).tobytes() for x in (ids[a:b], hashes[a:b], lengths, total[:, 0], total[:, 1]))
+                to = int(hashes[a]) % shards
+                for k in sorted({to, *blobs}):
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blobs.get(k)], pa.binary()), pa.array([sums if k == to else None], pa.binary())],
+                                                     names=["shard", "blob", "sums"])
+
+    def scored(table: pa.Table) -> pa.Table:
+        blobs = [x for x in table.column("blob").to_pylist() if x is not None]
+        out = [np.zeros((6, 0), np.int64)]
+        for s in table.column("sums").to_pylist():
+            if s is not None:
+                n = struct.unpack_from("<q", s)[0]
+                part = np.frombuffer(s, np.int64, 5 * n, 8).reshape(5, n)
+                out.append(np.concatenate([part[:2], np.ones((1, n), np.int64), part[2:]]))
+        if blobs:
+            ids, hashes, total = _shard(model.value, blobs)
+            none = np.zeros(len(ids), np.int64)
+            out.append(np.stack([ids, hashes, none, none, total[:, 0], total[:, 1]]))
+        cols = np.concatenate(out, 1)
+        order, at, _ = _runs(cols[1], cols[0])
+        sums = _sums(cols[2:].T, order, at)
+        return pa.table([pa.array(np.ascontiguousarray(c)) for c in (*cols[:2][:, order][:, at], *sums.T)], names=["key", "hash", "copies", "n", "target", "background"])
+
+    blobs = marked.mapInArrow(read, "shard int, blob binary, sums binary").repartition(shards, "shard")
+    parts = blobs.groupBy("shard").applyInArrow(scored, "key long, hash long, copies long, n long, target long, background long")
+    sums = parts.groupBy("key", "hash").agg(*[F.sum(c).alias(c) for c in ("copies", "n", "target", "background")])
+    some = F.col("n") > 0
+    means = sums.select("key", "hash", F.expr("n div copies").alias("n_tokens"), *[
+        F.when(some, F.col(c) * F.lit(UNIT) / F.col("n")).alias(f"loss_{c}") for c in ("target", "background")])
+    out = rows.withColumn("key", F.coalesce("id", F.lit(0))).join(means, ["key", "hash"], "left")
+    return out.select(F.col("id").alias(id_col), "n_tokens", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))

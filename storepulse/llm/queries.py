@@ -45,7 +45,8 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """Documents of quality 1 against all others, the models matched in size and no document scored by its own counts."""
+    return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), matched=True, leave_out=True)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
