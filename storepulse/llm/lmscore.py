@@ -1,7 +1,7 @@
 """Language-model scoring by cross-entropy difference (operator 7).
 
 Two bigram models, one of the target documents and one of the background, share one
-vocabulary: the words of all documents. A word is the 64-bit hash of its bytes, and every word and
+vocabulary: the words of all documents. A word is the 63-bit hash of its bytes, and every word and
 bigram has a count of its own however many there are. A bigram backs off to its word, a word to the
 uniform share. Per token the loss is the negative log probability; a document's score is its mean
 loss under the target model less its mean loss under the background model, so the smaller, the more
@@ -15,7 +15,8 @@ Three passes read the texts. The first counts the words; those that make one tok
 hot. The second counts bigrams of two hot words, HOT * HOT at most, which are scored where the text is
 read. In the third every other bigram goes to the shard of its word, or of the word before where the word itself is hot:
 it travels once, in packed columns, and is counted and scored there. So a key of a shard is never more than one token in HOT;
-a shard has SHARD_TOKENS tokens on average, and what it returns is one sum per document it met.
+a shard has SHARD_TOKENS tokens on average, and what it returns is one sum per document it met. Frequent words, KNOWN at
+most, travel by their number instead of their hash. Texts are joined with their side once and kept packed for all passes.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import slices, stored
+from storepulse.llm.common import stored
 from storepulse.llm.minhash import mix
 
 #: Weight of the back-off distribution, in occurrences.
@@ -40,23 +41,34 @@ BACK_OFF = 4.0
 HOT = 1024
 #: Tokens of a shard on average, and words a task counts before it passes them on.
 SHARD_TOKENS, HELD_WORDS = 1 << 21, 1 << 21
+#: Bytes of texts that are read at once.
+SLICE = 1 << 22
+#: Frequent words that are numbered, at the most (2 MB).
+KNOWN = 1 << 18
 #: Losses are added as whole numbers of this part, so sums don't depend on their order.
 UNIT = 2.0 ** -30
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _COLUMNS = ("ids", "hashes", "lengths", "target", "words", "n_words", "contexts", "context", "doc", "n", "last",
             "hot", "hot_contexts", "hot_context", "hot_doc", "hot_n", "hot_own")
+_SORTED = ("words", "contexts", "hot_contexts")
 
 
-def word_ids(text: str | None) -> np.ndarray:
+def word_ids(text: bytes | None) -> np.ndarray:
     """Hashes of the words in order; 0 is kept for the start of a text."""
-    words = _WORD.findall((text or "").encode().lower())
-    return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.uint64(1))
-
-
-def _tokens(texts: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from, to, lengths, words) of slices of ``texts``."""
-    for a, b in slices(texts):
-        each = [word_ids(t) for t in texts[a:b]]
+    words = _WORD.findall((text or b"").lower())
+    return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1), np.uint64(1))
+
+
+def _tokens(packed: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from, to, lengths, words) of slices of packed texts of about SLICE bytes, one text at least."""
+    open_ = zstandard.ZstdDecompressor()
+    size = np.array([0 if t is None else zstandard.frame_content_size(t) for t in packed], np.int64)
+    part = (np.cumsum(size) - size) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(packed)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            continue
+        each = [word_ids(t if t is None else open_.decompress(t)) for t in packed[a:b]]
         yield a, b, np.array([len(x) for x in each], np.int64), np.concatenate(each)
 
 
@@ -100,12 +112,18 @@ def _place(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
 class Model:
     """What every task knows: totals of both sides, and the counts of hot words, their contexts and their pairs."""
 
-    def __init__(self, hot: np.ndarray, words: np.ndarray, pairs: np.ndarray, contexts: np.ndarray, totals: np.ndarray, vocabulary: int, matched: bool, leave_out: bool):
-        self.hot, self.words, self.pairs, self.contexts = hot, words, pairs, contexts
+    def __init__(self, known: np.ndarray, hot: np.ndarray, words: np.ndarray, pairs: np.ndarray, contexts: np.ndarray, totals: np.ndarray, vocabulary: int, matched: bool, leave_out: bool):
+        self.known, self.hot, self.words, self.pairs, self.contexts = known, self.numbers(hot, known), words, pairs, contexts
         self.totals, self.vocabulary, self.leave_out = totals, vocabulary, leave_out
         both = matched and totals.min() > 0
         self.scale = np.array([1.0, totals[0] / totals[1] if both else 1.0])
 
+    @staticmethod
+    def numbers(words: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Places of known words among the sorted ``known``; other words keep their hash, the highest bit set."""
+        at = _place(words, known)
+        return np.where(at >= 0, at.astype(np.uint64), words | np.uint64(1 << 63))
+
     def _rest(self, counts: np.ndarray, own: np.ndarray, target: np.ndarray) -> np.ndarray:
         return self.scale * (counts - _sides(own, target) if self.leave_out else counts)
 
@@ -127,7 +145,9 @@ def _pack(columns: dict[str, np.ndarray]) -> bytes:
     heads, data = [], []
     for name in _COLUMNS:
         c = columns[name]
-        if c.dtype.kind in "iu" and c.dtype.itemsize == 8 and name not in ("ids", "hashes", "words", "contexts", "hot_contexts"):
+        if name in _SORTED:
+            c = np.diff(c, prepend=c.dtype.type(0))
+        if c.dtype.kind in "iu" and c.dtype.itemsize == 8 and name not in ("ids", "hashes", *_SORTED):
             c = c.astype(np.uint32) if len(c) == 0 or c.max() < 1 << 32 else c
             if c.dtype == np.uint32 and (len(c) == 0 or c.max() < 1 << 16):
                 c = c.astype(np.uint16)
@@ -143,11 +163,24 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     for k, name in enumerate(_COLUMNS):
         kind, size, n = struct.unpack_from("<cBq", raw, 10 * k)
         c = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
-        out[name] = np.ascontiguousarray(c).view(f"{kind.decode()}{size}").reshape(n)
+        c = np.ascontiguousarray(c).view(f"{kind.decode()}{size}").reshape(n)
+        out[name] = np.cumsum(c, dtype=c.dtype) if name in _SORTED else c
         at += n * size
     return out
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(id, hash, text) with the text as zstd bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            text = [t if t is None else c.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), pa.array(text, pa.binary())], names=["id", "hash", "text"])
+
+    return rows.mapInArrow(run, "id long, hash long, text binary")
+
+
 def word_counts(marked: DataFrame) -> DataFrame:
     """(word, target, background) of every word, summed over all rows of (text, is_target)."""
 
@@ -209,6 +242,7 @@ def hot_counts(marked: DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _read(m: Model, ids: list, hashes: np.ndarray, target: np.ndarray, lengths: np.ndarray, words: np.ndarray, shards: int) -> tuple[np.ndarray, dict[int, bytes]]:
     """What a slice of texts gives: sums by document of all that hot counts decide, and a blob for every shard."""
     n_docs, of = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
+    words = m.numbers(words, m.known)
     ends = np.cumsum(lengths)
     before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
     before[(ends - lengths)[lengths > 0]] = 0
@@ -299,20 +333,25 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     good = labels.where(labels[quality_col] == 1).select(labels[label_id].cast("long").alias("id"), F.lit(True).alias("target")).distinct()
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     plain = plain.withColumn("hash", F.xxhash64("id", "text"))
-    # the ids alone are joined, no text is shuffled with them; the texts meet their side by row hash
-    rows = stored(plain.select("id", "hash").join(good.hint("shuffle_hash"), "id", "left").select("id", "hash", F.coalesce("target", F.lit(False)).alias("target")), "sides")
-    marked = plain.join(good.hint("shuffle_hash"), "id", "left").select("id", "hash", F.coalesce("target", F.lit(False)).alias("target"), "text")
+    marked = _packed(plain).join(good.hint("shuffle_hash"), "id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    marked = stored(marked, "marked")
 
     words = stored(word_counts(marked), "words")
     size = words.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()  # one row
     vocabulary, totals = size[0], np.array([size[1], size[2]], np.int64)
-    often = words.where((F.col("target") + F.col("background")) * HOT >= int(totals.sum())).toArrow()  # HOT rows at most
-    hot = np.concatenate([np.zeros(1, np.uint64), often.column("word").to_numpy().view(np.uint64)])
+    total = F.col("target") + F.col("background")
+    spread = words.groupBy(F.floor(F.log2(total)).alias("power")).count().collect()  # 64 rows at most
+    least = min((1 << r.power for r in spread if sum(x["count"] for x in spread if x.power >= r.power) <= KNOWN), default=1 << 62)
+    often = words.where(total >= least).toArrow()  # KNOWN rows at most
+    known = np.concatenate([np.zeros(1, np.int64), often.column("word").to_numpy()]).view(np.uint64)
     counts = np.concatenate([np.zeros((1, 2), np.int64), np.stack([often.column(c).to_numpy() for c in ("target", "background")], 1)])
-    order = np.argsort(hot)
-    hot, counts = hot[order], counts[order]
+    order = np.argsort(known)
+    known, counts = known[order], counts[order]
+    is_hot = counts.sum(1) * HOT >= totals.sum()
+    is_hot[0] = True
+    hot, counts = known[is_hot], counts[is_hot]
     pairs, contexts = hot_counts(marked, hot)
-    model = spark.sparkContext.broadcast(Model(hot, counts, pairs, contexts, totals, vocabulary, matched, leave_out))  # 16 * HOT * HOT bytes at most
+    model = spark.sparkContext.broadcast(Model(known, hot, counts, pairs, contexts, totals, vocabulary, matched, leave_out))  # 16 * HOT * HOT bytes at most
     shards = max(1, math.ceil(int(totals.sum()) / SHARD_TOKENS))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,5 +389,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     some = F.col("n") > 0
     means = sums.select("key", "hash", F.expr("n div copies").alias("n_tokens"), *[
         F.when(some, F.col(c) * F.lit(UNIT) / F.col("n")).alias(f"loss_{c}") for c in ("target", "background")])
-    out = rows.withColumn("key", F.coalesce("id", F.lit(0))).join(means, ["key", "hash"], "left")
+    out = marked.select("id", "hash", F.coalesce("id", F.lit(0)).alias("key")).join(means, ["key", "hash"], "left")
     return out.select(F.col("id").alias(id_col), "n_tokens", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))

@@ -54,6 +54,7 @@ def test_against_dictionaries(spark, monkeypatch, matched, leave_out):
     ship(spark)
     monkeypatch.setattr(lmscore, "HOT", 24)
     monkeypatch.setattr(lmscore, "SHARD_TOKENS", 3000)
+    monkeypatch.setattr(lmscore, "KNOWN", 300)
     rng = np.random.default_rng(3)
     text = lambda n: " ".join(f"w{int(k)}" for k in rng.zipf(1.3, n) % 5000)
     rows = [(i, text(int(rng.integers(0, 200)))) for i in range(120)] + [(120, text(9000)), (121, None), (122, ""), (123, "one"), (None, None)]
@@ -77,7 +78,8 @@ def test_one_word_in_all_rows_and_one_side_only(spark):
 
 def test_packed_columns():
     rng = np.random.default_rng(1)
-    columns = {c: rng.integers(0, 9, k).astype(np.int64) for k, c in enumerate(lmscore._COLUMNS)}
+    columns = {c: np.sort(rng.integers(0, 9, k)).astype(np.int64) for k, c in enumerate(lmscore._COLUMNS)}
+    columns["words"] = np.array([0, 3, 1 << 63, (1 << 64) - 1], np.uint64)
     columns["hashes"], columns["n"] = np.array([-(1 << 60)]), np.array([1 << 40, 3])
     back = lmscore._unpack(lmscore._pack(columns))
     assert all(back[c].tolist() == columns[c].tolist() for c in lmscore._COLUMNS)
