@@ -15,7 +15,8 @@ Three passes read the texts. The first counts the words; those that make one tok
 hot. The second counts bigrams of two hot words, HOT * HOT at most, which are scored where the text is
 read. In the third every other bigram goes to the shard of its word, or of the word before where the word itself is hot:
 it travels once, in packed columns, and is counted and scored there. So a key of a shard is never more than one token in HOT;
-a shard has SHARD_TOKENS tokens on average, and what it returns is one sum per document it met. Frequent words, KNOWN at
+a shard has SHARD_TOKENS tokens on average, and what it returns are packed sums for
+each slice of texts that it met, by the place of the document. Frequent words, KNOWN at
 most, travel by their number instead of their hash. Texts are joined with their side once and kept packed for all passes.
 """
 
@@ -48,7 +49,7 @@ KNOWN = 1 << 18
 #: Losses are added as whole numbers of this part, so sums don't depend on their order.
 UNIT = 2.0 ** -30
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_COLUMNS = ("ids", "hashes", "lengths", "target", "words", "n_words", "contexts", "context", "doc", "n", "last",
+_COLUMNS = ("lengths", "docs", "target", "words", "n_words", "contexts", "context", "doc", "n", "last",
             "hot", "hot_contexts", "hot_context", "hot_doc", "hot_n", "hot_own")
 _SORTED = ("words", "contexts", "hot_contexts")
 
@@ -147,7 +148,7 @@ def _pack(columns: dict[str, np.ndarray]) -> bytes:
         c = columns[name]
         if name in _SORTED:
             c = np.diff(c, prepend=c.dtype.type(0))
-        if c.dtype.kind in "iu" and c.dtype.itemsize == 8 and name not in ("ids", "hashes", *_SORTED):
+        if c.dtype.kind in "iu" and c.dtype.itemsize == 8 and name not in _SORTED:
             c = c.astype(np.uint32) if len(c) == 0 or c.max() < 1 << 32 else c
             if c.dtype == np.uint32 and (len(c) == 0 or c.max() < 1 << 16):
                 c = c.astype(np.uint16)
@@ -239,7 +240,7 @@ def hot_counts(marked: DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return total[:n_hot * n_hot].reshape(n_hot, n_hot, 2), total[n_hot * n_hot:]
 
 
-def _read(m: Model, ids: list, hashes: np.ndarray, target: np.ndarray, lengths: np.ndarray, words: np.ndarray, shards: int) -> tuple[np.ndarray, dict[int, bytes]]:
+def _read(m: Model, target: np.ndarray, lengths: np.ndarray, words: np.ndarray, shards: int) -> tuple[np.ndarray, dict[int, bytes]]:
     """What a slice of texts gives: sums by document of all that hot counts decide, and a blob for every shard."""
     n_docs, of = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
     words = m.numbers(words, m.known)
@@ -281,18 +282,18 @@ def _read(m: Model, ids: list, hashes: np.ndarray, target: np.ndarray, lengths:
         contexts, context = np.unique(b[r], return_inverse=True)
         hot_contexts, hot_context = np.unique(b[s], return_inverse=True)
         out[int(shard[order[x]])] = _pack(dict(
-            ids=ids[docs], hashes=hashes[docs], lengths=lengths[docs], target=target[docs].astype(np.uint8), words=own_words, n_words=n_words,
+            lengths=lengths[docs], docs=docs, target=target[docs].astype(np.uint8), words=own_words, n_words=n_words,
             contexts=contexts, context=context, doc=of_doc[plain], n=n[r], last=ended[r], hot=iw[s], hot_contexts=hot_contexts,
             hot_context=hot_context, hot_doc=of_doc[~plain], hot_n=n[s], hot_own=own[s]))
     return total, out
 
 
-def _shard(m: Model, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, hashes, sums) of the documents of a shard: its bigrams counted and scored."""
+def _shard(m: Model, blobs: list[bytes]) -> list[bytes]:
+    """The bigrams of a shard counted and scored: for every blob, places of documents and what their losses grow by."""
     parts = [_unpack(x) for x in blobs]
-    shift = np.cumsum([0] + [len(p["ids"]) for p in parts])
-    ids, hashes, lengths, target = (np.concatenate([p[c] for p in parts]) for c in ("ids", "hashes", "lengths", "target"))
-    target, total = target.astype(bool), np.zeros((len(ids), 2), np.int64)
+    shift = np.cumsum([0] + [len(p["docs"]) for p in parts])
+    lengths, target = (np.concatenate([p[c] for p in parts]) for c in ("lengths", "target"))
+    target, total = target.astype(bool), np.zeros((len(lengths), 2), np.int64)
     lengths = lengths.astype(np.int64)
     w = np.concatenate([np.repeat(p["words"], p["n_words"]) for p in parts])
     b = np.concatenate([p["contexts"][p["context"]] for p in parts])
@@ -316,8 +317,20 @@ def _shard(m: Model, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     order, at, of_pair = _runs(b, iw)
     pairs = _sums(_sides(n, target[doc]), order, at)
     _add(total, doc, m.seen(n, pairs[of_pair], m.words[iw], own, lengths[doc], target[doc]))
-    order, at, _ = _runs(hashes, ids)
-    return ids[order][at], hashes[order][at], _sums(total, order, at)
+    return [_answer(p["docs"].astype(np.int64), total[a:b]) for p, a, b in zip(parts, shift, shift[1:])]
+
+
+def _answer(docs: np.ndarray, total: np.ndarray) -> bytes:
+    """Places (as steps) and sums, bytes of one weight together."""
+    columns = np.stack([np.diff(docs, prepend=0), total[:, 0], total[:, 1]])
+    planes = np.ascontiguousarray(columns.view(np.uint8).reshape(3, len(docs), 8).transpose(0, 2, 1))
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _answered(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(3, 8, -1)
+    columns = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(3, -1)
+    return np.cumsum(columns[0]), columns[1:].T
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", quality_col: str = "quality",
@@ -359,32 +372,38 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             ids, hashes = batch.column("id").fill_null(0).to_numpy(), batch.column("hash").to_numpy()
             texts, target = batch.column("text").to_pylist(), np.array(batch.column("target").to_pylist(), bool)
             for a, b, lengths, words in _tokens(texts):
-                total, blobs = _read(model.value, ids[a:b], hashes[a:b], target[a:b], lengths, words, shards)
-                sums = struct.pack("<q", b - a) + b"".join(np.ascontiguousarray(x, np.int64).tobytes() for x in (ids[a:b], hashes[a:b], lengths, total[:, 0], total[:, 1]))
-                to = int(hashes[a]) % shards
+                total, blobs = _read(model.value, target[a:b], lengths, words, shards)
+                sums = b"".join(np.ascontiguousarray(x, np.int64).tobytes() for x in (ids[a:b], hashes[a:b], lengths, total[:, 0], total[:, 1]))
+                own, to = xxhash.xxh3_64_intdigest(sums) >> 1, int(hashes[a]) % shards
                 for k in sorted({to, *blobs}):
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blobs.get(k)], pa.binary()), pa.array([sums if k == to else None], pa.binary())],
-                                                     names=["shard", "blob", "sums"])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own]), pa.array([b - a]), pa.array([blobs.get(k)], pa.binary()),
+                                                      pa.array([sums if k == to else None], pa.binary())], names=["shard", "slice", "size", "blob", "sums"])
 
     def scored(table: pa.Table) -> pa.Table:
-        blobs = [x for x in table.column("blob").to_pylist() if x is not None]
-        out = [np.zeros((6, 0), np.int64)]
-        for s in table.column("sums").to_pylist():
-            if s is not None:
-                n = struct.unpack_from("<q", s)[0]
-                part = np.frombuffer(s, np.int64, 5 * n, 8).reshape(5, n)
-                out.append(np.concatenate([part[:2], np.ones((1, n), np.int64), part[2:]]))
-        if blobs:
-            ids, hashes, total = _shard(model.value, blobs)
-            none = np.zeros(len(ids), np.int64)
-            out.append(np.stack([ids, hashes, none, none, total[:, 0], total[:, 1]]))
-        cols = np.concatenate(out, 1)
-        order, at, _ = _runs(cols[1], cols[0])
-        sums = _sums(cols[2:].T, order, at)
-        return pa.table([pa.array(np.ascontiguousarray(c)) for c in (*cols[:2][:, order][:, at], *sums.T)], names=["key", "hash", "copies", "n", "target", "background"])
-
-    blobs = marked.mapInArrow(read, "shard int, blob binary, sums binary").repartition(shards, "shard")
-    parts = blobs.groupBy("shard").applyInArrow(scored, "key long, hash long, copies long, n long, target long, background long")
+        some = table.filter(table.column("blob").is_valid())
+        answers = _shard(model.value, some.column("blob").to_pylist()) if some.num_rows else []
+        own = table.filter(table.column("sums").is_valid())
+        rows = [some.select(["slice", "size"]).append_column("sums", pa.array([None] * some.num_rows, pa.binary())).append_column("answer", pa.array(answers, pa.binary())),
+                own.select(["slice", "size", "sums"]).append_column("answer", pa.array([None] * own.num_rows, pa.binary()))]
+        return pa.concat_tables(rows)
+
+    def added(table: pa.Table) -> pa.Table:
+        """Sums of the documents of a slice; slices of equal rows have equal sums, so they are added together."""
+        n, sums = table.column("size")[0].as_py(), [x for x in table.column("sums").to_pylist() if x is not None]
+        ids, hashes, lengths, *_ = np.frombuffer(sums[0], np.int64).reshape(5, n)
+        total = np.zeros((n, 2), np.int64)
+        for x in sums:
+            total += np.frombuffer(x, np.int64).reshape(5, n)[3:].T
+        for x in table.column("answer").to_pylist():
+            if x is not None:
+                docs, more = _answered(x)
+                total[docs] += more
+        columns = (ids, hashes, np.full(n, len(sums)), lengths * len(sums), total[:, 0], total[:, 1])
+        return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=["key", "hash", "copies", "n", "target", "background"])
+
+    blobs = marked.mapInArrow(read, "shard int, slice long, size long, blob binary, sums binary").repartition(shards, "shard")
+    answers = blobs.groupBy("shard").applyInArrow(scored, "slice long, size long, sums binary, answer binary")
+    parts = answers.groupBy("slice").applyInArrow(added, "key long, hash long, copies long, n long, target long, background long")
     sums = parts.groupBy("key", "hash").agg(*[F.sum(c).alias(c) for c in ("copies", "n", "target", "background")])
     some = F.col("n") > 0
     means = sums.select("key", "hash", F.expr("n div copies").alias("n_tokens"), *[

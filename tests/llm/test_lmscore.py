@@ -80,6 +80,10 @@ def test_packed_columns():
     rng = np.random.default_rng(1)
     columns = {c: np.sort(rng.integers(0, 9, k)).astype(np.int64) for k, c in enumerate(lmscore._COLUMNS)}
     columns["words"] = np.array([0, 3, 1 << 63, (1 << 64) - 1], np.uint64)
-    columns["hashes"], columns["n"] = np.array([-(1 << 60)]), np.array([1 << 40, 3])
+    columns["n"] = np.array([1 << 40, 3])
     back = lmscore._unpack(lmscore._pack(columns))
     assert all(back[c].tolist() == columns[c].tolist() for c in lmscore._COLUMNS)
+    docs, sums = np.array([0, 4, 900]), np.array([[-5, 1 << 50], [0, 3], [1 << 40, -1]])
+    back = lmscore._answered(lmscore._answer(docs, sums))
+    assert back[0].tolist() == docs.tolist() and back[1].tolist() == sums.tolist()
+    assert len(lmscore._answered(lmscore._answer(docs[:0], sums[:0]))[0]) == 0
