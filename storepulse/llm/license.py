@@ -2,10 +2,12 @@
 
 Templates are short notices and the openings of licence texts. Terms are their words and
 word pairs; a term's weight is its count times the inverse document frequency over all
-scanned files. In a file, runs of template words around a word that hints at a licence are
-segments (a header, a notice, a whole licence file); each is compared with every template by
-cosine. A file's own licence is its best segment at or above ``threshold`` (ties: the first
-licence by name). A file of which the segment is the larger part is a licence file and speaks for its directory; a file without a
+scanned files. Every window of a file's whole text is compared with every template by cosine,
+however long it is and wherever it lies; windows are passed over only where a bound proves that
+they cannot reach ``threshold``. A file's own licence is its best window at or above ``threshold``
+(ties: the first window, then the first licence by name). The notice goes on behind its window while template words
+follow, gaps of one word aside. A file of which the notice is the larger part is a licence file and
+speaks for its directory; a file without a
 licence of its own takes that of the nearest directory above it that has one, found by joining
 the paths of its ancestors.
 """
@@ -14,9 +16,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,9 +49,7 @@ TEMPLATES = [
     ("Unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 _WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
-_HINT = re.compile(r"licen[cs]e|permission|redistribution|public domain|spdx", re.I)
-_HINT_WORD = re.compile(r"licen[cs](?:e|es|ed|ing)|permission|redistribution|domain|spdx")
-#: Words that are no template word but may stand inside a segment, one at a time.
+#: Words that are no template word but may stand inside the rest of a notice, one at a time.
 _GAP = 1
 
 
@@ -85,51 +86,98 @@ def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 class Matcher:
-    def __init__(self, n: int, seen: dict[str, int]):
-        self.most = math.log(1 + n) + 1  # of a term that no file holds
-        self.idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in _ALL_TERMS}
-        self.templates = []
-        for name, terms in _TERMS:
-            v = {t: k * self.idf[t] for t, k in terms.items()}
-            self.templates.append((name, v, math.sqrt(sum(x * x for x in v.values()))))
-        self.by_term: dict[str, list[int]] = defaultdict(list)
-        for i, (_, v, _) in enumerate(self.templates):
-            for t in v:
-                self.by_term[t].append(i)
-
-    def cosine(self, words: list[str]) -> tuple[str | None, float]:
-        v = {t: k * self.idf.get(t, self.most) for t, k in terms_of(words).items()}
-        norm, best = math.sqrt(sum(x * x for x in v.values())), (None, 0.0)
-        for i in sorted({i for t in v for i in self.by_term.get(t, ())}):
-            name, template, own = self.templates[i]
-            c = sum(x * template[t] for t, x in v.items() if t in template) / (norm * own)
-            if c > best[1] + 1e-12:
-                best = (name, c)
-        return best
+    """Finds the window of a text that is closest to a template, among those of cosine ``floor`` and more."""
+
+    def __init__(self, n: int, seen: dict[str, int], floor: float = 0.0):
+        self.row = {t: i for i, t in enumerate(_ALL_TERMS)}
+        self.other = len(self.row)  # row of all terms of no template, which weigh as if no file held them
+        self.weight = np.array([math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in _ALL_TERMS] + [math.log(1 + n) + 1])
+        unit = np.zeros((self.other + 1, len(_TERMS)))
+        for j, (_, terms) in enumerate(_TERMS):
+            for t, k in terms.items():
+                unit[self.row[t], j] = k * self.weight[self.row[t]]
+        unit /= np.sqrt((unit * unit).sum(0))
+        self.cover = unit * unit  # share of a template's square that a term is
+        self.gain = self.weight[:, None] * unit  # what an occurrence of a term adds to the product with a template
+        self.bad = (self.weight * self.weight)[:, None] * (unit == 0)  # the least it adds to the square outside the template
+        self.floor = max(floor, 1e-6)
 
     def scan(self, text: str | None) -> tuple[str | None, float, float]:
-        """Licence, cosine and share of the text's words of the best segment."""
-        if not text or not _HINT.search(text):
-            return None, 0.0, 0.0
+        """Licence, cosine and share of the text's words of the best window and the notice behind it."""
         w = words_of(text)
-        known = [x in _VOCABULARY for x in w]
-        best, upto = (None, 0.0, 0.0), -1
+        own = _VOCABULARY.intersection(w)
+        if not own:
+            return None, 0.0, 0.0
+        held = [self.row[t] for t in own.union(f"{a} {b}" for a, b in zip(w, w[1:]) if a in own and b in own) if t in self.row]
+        # a cosine is at most the root of the share of the template's square whose terms the text holds
+        near = np.flatnonzero(self.cover[held].sum(0) >= self.floor ** 2 - 1e-9)
+        if not len(near):
+            return None, 0.0, 0.0
+        which, c, start, end = self._best(w, near)
+        if which is None:
+            return None, 0.0, 0.0
+        while end < len(w) - 1 and any(x in _VOCABULARY for x in w[end + 1:end + 2 + _GAP]):
+            end += 1
+        return _TERMS[which][0], c, (end + 1 - start) / len(w)
+
+    def _best(self, w: list[str], near: np.ndarray) -> tuple[int | None, float, int, int]:
+        """Template, cosine, first and last word of the best window, by the templates ``near``.
+
+        Sums of occurrences over a window are differences of running sums: the product ``d`` with a template, and ``bad``,
+        the least square of the window's terms outside it. cosine ** 2 <= d ** 2 / (d ** 2 + bad), which bounds how far
+        a window from each start can reach. Squares of counts are then summed exactly along the windows left.
+        """
+        n, ids, count = len(w), {}, Counter()
+        term, rank = np.zeros((2, n), np.int64), np.zeros((2, n))  # words, and pairs by their last word
+        rows = []
         for i, x in enumerate(w):
-            if i < upto or not _HINT_WORD.fullmatch(x):
-                continue
-            a = b = i
-            while a > 0 and any(known[max(0, a - 1 - _GAP):a]):
-                a -= 1
-            while b < len(w) - 1 and any(known[b + 1:b + 2 + _GAP]):
-                b += 1
-            upto = b + 1
-            # the run may begin or end in the prose around it: every tail that begins at a template word is tried
-            for s in range(a, i + 1):
-                if known[s] and i - s <= 40:
-                    name, c = self.cosine(w[s:b + 1][:80])
-                    if c > best[1] + 1e-12:
-                        best = (name, c, min(80, b + 1 - s) / len(w))
-        return best
+            for k, t in ((0, x), (1, f"{w[i - 1]} {x}")) if i else ((0, x),):
+                if t not in ids:
+                    ids[t] = len(ids)
+                    rows.append(self.row.get(t, self.other))
+                term[k, i], rank[k, i] = ids[t], count[t]
+                count[t] += 1
+        rows = np.array(rows)
+        square = (self.weight * self.weight)[rows]
+
+        def running(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Running sums of words and pairs, and with them what lies before a window from each start."""
+            a, b = of[:, near][rows[term[0]]], of[:, near][rows[term[1]]]
+            b[0] = 0
+            sums = np.concatenate([np.zeros((1, len(near))), np.cumsum(a + b, 0)])
+            return sums, sums[:-1] + b
+
+        (gain, gain_at), (bad, bad_at), (cover, cover_at) = running(self.gain), running(self.bad), running(self.cover)
+        at, last = np.arange(n), np.full((n, len(near)), n - 1)
+        ratio = (1 - self.floor ** 2) / self.floor ** 2 if self.floor < 1 else 0.0
+        for j in range(len(near)):
+            while True:
+                reach = np.maximum(gain[last[:, j] + 1, j] - gain_at[:, j], 0) ** 2 * ratio * (1 + 1e-9) + 1e-9 * (1 + bad[-1, j])
+                to = np.minimum(last[:, j], np.maximum(at - 1, np.searchsorted(bad[1:, j], bad_at[:, j] + reach, "right") - 1))
+                if (to == last[:, j]).all():
+                    break
+                last[:, j] = to
+            last[cover[last[:, j] + 1, j] - cover_at[:, j] < self.floor ** 2 - 1e-9, j] = -1
+        upto = last.max(1)
+        best, value, first, final, done, before = None, self.floor - 1e-12, 0, 0, 0, np.zeros(len(ids))
+        for s in np.flatnonzero((rows[term[0]] != self.other) & (upto >= at)).tolist():
+            np.add.at(before, term[0, done:s], 1)  # words before the window, and pairs up to its first word
+            np.add.at(before, term[1, max(done, 1):s], 1)
+            done, e = s, int(upto[s]) + 1
+            pair = term[1, s] if s else -1
+            ranks = rank[:, s:e] - before[term[:, s:e]]
+            if s:
+                ranks[1, term[1, s:e] == pair] -= 1
+            added = square[term[:, s:e]] * (2 * ranks + 1)
+            added[1, 0] = 0
+            c = (gain[s + 1:e + 1] - gain_at[s]) / np.sqrt(np.cumsum(added.sum(0)))[:, None]
+            top = float(c.max())
+            if top > value + 1e-12:
+                j = int(np.flatnonzero(c.max(0) >= top - 1e-12)[0])
+                best, value, first, final = int(near[j]), top, s, s + int(np.flatnonzero(c[:, j] >= top - 1e-12)[0])
+                if value >= 1 - 1e-12:  # none is closer
+                    break
+        return best, min(value, 1.0) if best is not None else 0.0, first, final
 
 
 def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path", threshold: float = 0.7) -> DataFrame:
@@ -145,7 +193,7 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_
     shared = spark.sparkContext.broadcast(document_frequencies(plain))  # a count per template term
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(*shared.value)
+        m = Matcher(*shared.value, threshold)
         for batch in batches:
             found = [m.scan(t) for t in batch.column(1).to_pylist()]
             own = [(n, c, s) if c >= threshold else (None, 0.0, 0.0) for n, c, s in found]

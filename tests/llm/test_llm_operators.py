@@ -256,6 +256,31 @@ def test_licences(spark, empty):
     assert license.scan(empty.withColumnRenamed("source", "path")).count() == 0
 
 
+def test_licences_in_every_window(spark):
+    """Notices far behind a hint, with template words on both sides, broken lines, no hint at all; against all windows of short texts."""
+    filler = "the of to in this and " * 30
+    rows = [(1, f"license {filler}released under the MIT License"), (2, f"Released under the MIT License {filler}"),
+            (3, "this is free and unencumbered software released into the public\ndomain"), (4, "prose " * 9 + "you may not use this file except in compliance with the " + "x " * 9),
+            (5, "license of the house " + filler)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "cast(null as string) as path")
+    got = {r.doc_id: (r.license, r.score) for r in license.scan(docs, threshold=0.6).collect()}
+    assert got[1] == got[2] == ("MIT", 1.0) and got[3] == ("Unlicense", 1.0) and got[4][0] == "Apache-2.0" and got[5] == (None, 0.0)
+    rng, names = np.random.default_rng(4), [license.words_of(t) for _, t in license.TEMPLATES]
+    for floor in (0.7, 0.4) * 10:
+        m = license.Matcher(100, {t: int(rng.integers(0, 90)) for t in license._ALL_TERMS}, floor)
+        w = [x for k in rng.integers(0, len(names), 3) for x in ["foo", "of", *names[k], "the"] if rng.random() > 0.2][:30]
+        best = (None, 0.0)
+        for s in range(len(w)):
+            for e in range(s, len(w)):
+                v = {t: k * m.weight[m.row.get(t, m.other)] for t, k in license.terms_of(w[s:e + 1]).items()}
+                for name, terms in license._TERMS:
+                    u = {t: k * m.weight[m.row[t]] for t, k in terms.items()}
+                    c = sum(x * u[t] for t, x in v.items() if t in u) / np.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in u.values()))
+                    best = (name, c) if c > best[1] + 1e-12 else best
+        name, c, _ = m.scan(" ".join(w))
+        assert (name, round(c, 9)) == ((best[0], round(best[1], 9)) if best[1] >= floor else (None, 0.0))
+
+
 def test_cross_entropy_difference(spark, odd, empty):
     docs = spark.createDataFrame([(i, "red green blue " * 9 if i % 2 else "one two three " * 9) for i in range(20)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
