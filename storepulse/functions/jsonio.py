@@ -43,6 +43,11 @@ def json_col(*cols) -> Column:
     return F.to_json(F.struct(*cols))
 
 
+def once(col: Column, use) -> Column:
+    """``use(col)`` with ``col`` worked out once a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(col), use), 1)
+
+
 def json_object_field(value: str, fields: str) -> Column:
     """Struct of the given top-level ``fields`` plus ``is_object``: whether the text is one JSON object and nothing else.
 
@@ -51,14 +56,16 @@ def json_object_field(value: str, fields: str) -> Column:
     the object breaks the outer one, and no text can hold its own checksum to end it early. Of doubled
     keys the last one counts.
     """
-    text = F.col(value)
-    check = F.md5(text)
-    outer = F.concat(F.lit('{"v":'), text, F.lit(',"end":"'), check, F.lit('"}'))
-    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    read = F.from_json(outer, f"v struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>, end string", strict)
-    ok = F.coalesce((read["end"] == check) & read["v"].isNotNull(), F.lit(False))
     names = [f.split()[0] for f in fields.split(", ")]
-    return F.struct(ok.alias("is_object"), *[F.when(ok, read["v"][n]).alias(n) for n in names])
+    schema = f"v struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>, end string"
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+    def checked(check: Column) -> Column:
+        outer = F.concat(F.lit('{"v":'), F.col(value), F.lit(',"end":"'), check, F.lit('"}'))
+        return once(F.from_json(outer, schema, strict), lambda read: once(
+            F.coalesce((read["end"] == check) & read["v"].isNotNull(), F.lit(False)),
+            lambda ok: F.struct(ok.alias("is_object"), *[F.when(ok, read["v"][n]).alias(n) for n in names])))
+    return once(F.md5(F.col(value)), checked)
 
 
 _SPACE = r"[ \t\n\r]*"
@@ -66,8 +73,8 @@ _SPACE = r"[ \t\n\r]*"
 
 def _opened(masked: Column) -> Column:
     """Brackets opened less brackets closed, strings aside."""
-    bare = F.regexp_replace(masked, '"[^"]*"', "")
-    return F.regexp_count(bare, F.lit(r"[\[{]")) - F.regexp_count(bare, F.lit(r"[\]}]"))
+    return once(F.regexp_replace(masked, '"[^"]*"', ""),
+                lambda bare: F.regexp_count(bare, F.lit(r"[\[{]")) - F.regexp_count(bare, F.lit(r"[\]}]")))
 
 
 def splice_member(value: str, key: str, new: Column) -> Column:
@@ -82,25 +89,34 @@ def splice_member(value: str, key: str, new: Column) -> Column:
     masked = F.regexp_replace(text, r"\\.", "\x01\x01")
     name = "".join(f"(?:{c}|\x01\x01(?i:{ord(c):04x}))" for c in key)
     member = f'"{name}"{_SPACE}:'
-    between, found = F.split(masked, member, -1), F.regexp_extract_all(masked, F.lit(member), F.lit(0))
     scalar = rf'^({_SPACE})("[^"]*"|[^ \t\n\r,\[\]{{}}"]+)'
 
-    def step(acc, i):
-        before, after = F.element_at(between, i), F.element_at(between, i + 1)
-        depth = acc["depth"] + _opened(before)
-        start = acc["at"] + F.length(before) + F.length(F.element_at(found, i))  # where the member's value begins
-        old = F.regexp_extract(after, scalar, 0)
-        top = depth == 1
-        swap = top & (F.length(old) > 0)
-        upto = F.substr(text, acc["copied"], start - acc["copied"])
-        return F.struct(depth.alias("depth"), start.alias("at"), F.when(swap, start + F.length(old)).otherwise(acc["copied"]).alias("copied"),
-                        F.when(swap, F.concat(acc["out"], upto, F.regexp_extract(after, scalar, 1), new)).otherwise(acc["out"]).alias("out"),
-                        F.when(top, swap).otherwise(acc["done"]).alias("done"))
-
-    first = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), F.lit(1).alias("copied"), F.lit("").alias("out"), F.lit(False).alias("done"))
-    swapped = F.aggregate(F.sequence(F.lit(1), F.size(found)), first, step,
-                          lambda acc: F.struct(F.concat(acc["out"], F.substr(text, acc["copied"])).alias("text"), acc["done"].alias("done")))
-    swapped = F.when(F.size(found) > 0, swapped).otherwise(F.struct(text.alias("text"), F.lit(False).alias("done")))
-    comma = F.when(masked.rlike(rf"^{_SPACE}\{{{_SPACE}\}}{_SPACE}$"), "").otherwise(",")
-    added = F.regexp_replace(swapped["text"], F.lit(rf"\}}({_SPACE})$"), F.concat(comma, F.lit(f'"{key}":'), new, F.lit("}$1")))
-    return F.when(swapped["done"], swapped["text"]).otherwise(added)
+    def step(parts, acc, i):
+        before, after = F.element_at(parts["between"], i), F.element_at(parts["between"], i + 1)
+        begin = acc["at"] + F.length(before) + F.length(F.element_at(parts["found"], i))  # where the member's value begins
+        seen = F.struct((acc["depth"] + _opened(before)).alias("depth"), begin.alias("start"), F.regexp_extract(after, scalar, 0).alias("old"),
+                        F.regexp_extract(after, scalar, 1).alias("space"))
+
+        def member_read(m):
+            top = m["depth"] == 1
+            swap = top & (F.length(m["old"]) > 0)
+            upto = F.substr(text, acc["copied"], m["start"] - acc["copied"])
+            return F.struct(m["depth"].alias("depth"), m["start"].alias("at"), F.when(swap, m["start"] + F.length(m["old"])).otherwise(acc["copied"]).alias("copied"),
+                            F.when(swap, F.concat(acc["out"], upto, m["space"], new)).otherwise(acc["out"]).alias("out"),
+                            F.when(top, swap).otherwise(acc["done"]).alias("done"))
+        return once(seen, member_read)
+
+    def spliced(parts):
+        first = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), F.lit(1).alias("copied"), F.lit("").alias("out"), F.lit(False).alias("done"))
+        swapped = F.aggregate(F.sequence(F.lit(1), F.size(parts["found"])), first, lambda acc, i: step(parts, acc, i),
+                              lambda acc: F.struct(F.concat(acc["out"], F.substr(text, acc["copied"])).alias("text"), acc["done"].alias("done")))
+        swapped = F.when(F.size(parts["found"]) > 0, swapped).otherwise(F.struct(text.alias("text"), F.lit(False).alias("done")))
+        comma = F.when(parts["masked"].rlike(rf"^{_SPACE}\{{{_SPACE}\}}{_SPACE}$"), "").otherwise(",")
+
+        def finished(got):
+            added = F.regexp_replace(got["text"], F.lit(rf"\}}({_SPACE})$"), F.concat(comma, F.lit(f'"{key}":'), new, F.lit("}$1")))
+            return F.when(got["done"], got["text"]).otherwise(added)
+        return once(swapped, finished)
+
+    return once(masked, lambda m: once(F.struct(m.alias("masked"), F.split(m, member, -1).alias("between"),
+                                                F.regexp_extract_all(m, F.lit(member), F.lit(0)).alias("found")), spliced))

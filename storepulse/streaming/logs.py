@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonio import json_object_field, splice_member
 from ..functions.scalars import epoch_ms_parts
+from ..session import settings
 from ..sinks.tables import publish, writer_id
 from ..sources.logs import EVENT_TOPIC, STARTUP_TOPIC, route, stamp_ts
 from .runner import DEFAULT_TRIGGER, start
@@ -34,9 +35,14 @@ def stamped_lines(batch: DataFrame, now: Column | int | str | None = None, tz: s
                     F.when(F.col("is_object"), F.col("topic")).alias("topic"))
 
 
+# Folders that a task writes to at a time, without sorting its lines by folder first.
+OPEN_FILES = "256"
+
+
 def _write_text(df: DataFrame, path: str, parts: list, batch_id: int) -> None:
-    (df.hint("rebalance", *parts).withColumn("writer", F.lit(writer_id(df))).withColumn("batch_id", F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "writer", "batch_id").text(path))
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+        (df.hint("rebalance", *parts).withColumn("writer", F.lit(writer_id(df))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "writer", "batch_id").text(path))
 
 
 def collect_batch(out: str, now: Column | int | str | None = None, tz: str | None = None,

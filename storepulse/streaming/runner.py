@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..session import STATE_CONF
+from ..session import STATE_CONF, settings
 
 DEFAULT_TRIGGER = "5 seconds"
 
@@ -37,14 +37,8 @@ def state_settings(spark: SparkSession, partitions: int | None = None):
     batch uploads its changes, not the files they end up in. A query copies the session's settings when it
     starts, so the session keeps its own."""
     own = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism), **STATE_CONF}
-    old = {k: spark.conf.get(k, None) for k in own}
-    for k, v in own.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, own):
         yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:

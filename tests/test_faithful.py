@@ -175,3 +175,26 @@ def test_rows_per_file(spark, tmp_dir):
     for folder in (f"{out}/dt=2019-02-01", f"{tmp_dir}/t"):
         sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
         assert sum(sizes) == 250 and max(sizes) <= 100 and sorted(sizes)[-2:] == [100, 100]
+
+
+def test_lines_are_parsed_and_searched_once(spark):
+    """However often a step names it, a line's checksum, its parse and its split stand in the plan once."""
+    lines = spark.createDataFrame([('{"a":{"ts":1},"ts":2}',)], "value string")
+    plan = lines.select(splice_member("value", "ts", F.lit("7")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == plan.count("regexp_replace(value") == 1
+    plan = lines.select(json_object_field("value", "type string, ts string").alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == plan.count("md5(") == 1
+
+
+def test_lines_are_not_sorted_by_folder(spark, tmp_dir, monkeypatch):
+    """A task that writes to many day folders holds no lines: it keeps the folders' files open."""
+    from pyspark.sql import DataFrameWriter
+    from storepulse.streaming.logs import collect_batch
+    seen, text, name = [], DataFrameWriter.text, "spark.sql.maxConcurrentOutputFileWriters"
+    monkeypatch.setattr(DataFrameWriter, "text", lambda w, path, **kw: (seen.append((path, int(w._spark.conf.get(name)))), text(w, path, **kw))[1])
+    before = spark.conf.get(name)
+    batch = spark.createDataFrame([(f'{{"type":"startup","ts":{i * 86_400_000}}}',) for i in range(40)] + [("torn",)], "value string")
+    collect_batch(tmp_dir, "client", "UTC")(batch, 0)
+    assert all(n > 0 for path, n in seen if "archive" in path or "quarantine" in path) and len(seen) > 2
+    assert spark.conf.get(name) == before
+    assert spark.read.text(f"{tmp_dir}/archive").count() == 41 and spark.read.text(f"{tmp_dir}/quarantine").count() == 1
