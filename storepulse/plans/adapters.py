@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import to_message
 from ..functions.scalars import add_log_time, camel_columns
 from ..functions.text import match_all
+from ..session import bounded_tasks
 
 UTC = "UTC"
 # At most this many partitions when spreading an under-split scan (a small input on a
@@ -259,6 +260,11 @@ def sale_rows(spark: SparkSession, sf_dir: str, dt: str | None = None,
         F.col("dt"))
 
 
+def sale_settings(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Session settings for writing :func:`sale_rows` of whole tables."""
+    return bounded_tasks(spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "orders", "customer", "part")])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents (``doc_id, text``)."""
     return table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import as_json, to_message
 from ..operators import answers, dedup, kpi, paging, ranking, search
 from ..schemas import SALE, STARTUP
-from ..session import scratch_path
+from ..session import scratch_path, settings
 from ..sinks.compact import compact_partition
 from ..sinks.tables import load_sale_day, publish
 from ..sources.cdc import cdc_to_messages, parse_envelope
@@ -69,6 +69,12 @@ def _sale(spark, sf_dir) -> DataFrame:
     return A.sale_rows(spark, sf_dir, SALE_DT)
 
 
+def _write_sale(spark, sf_dir, path: str, dt: str | None = None) -> None:
+    """The warehouse table by month; its joins and its writer hold as much per task whatever the tables' size."""
+    with settings(spark, A.sale_settings(spark, sf_dir)):
+        A.sale_rows(spark, sf_dir, dt).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+
+
 def _hits(spark, sf_dir) -> DataFrame:
     sale = A.sale_rows(spark, sf_dir, SALE_DT, sku_keyword=SALE_KEYWORD)
     return search.sale_hits(sale, SALE_DT, SALE_KEYWORD)
@@ -311,7 +317,7 @@ def sale_partition_scan_q(spark, sf_dir):
     """Write the warehouse table by month, load one month into the index through the
     partition-pruned scan, read the loaded day back."""
     root = scratch_path(spark, "sale_load")
-    A.sale_rows(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/warehouse")
+    _write_sale(spark, sf_dir, f"{root}/warehouse")
     load_sale_day(spark, f"{root}/warehouse", f"{root}/sale_detail", SALE_DT)
     return sale_scan(spark, f"{root}/sale_detail", SALE_DT).select(*SALE_SCAN_COLUMNS)
 
@@ -339,14 +345,15 @@ def relevance_page_q(spark, sf_dir):
 
 def sale_relevance_page_q(spark, sf_dir):
     """The month's sales that match, best first; statistics over the sales of all months."""
-    return search.rank_bm25(A.sale_rows(spark, sf_dir), ["user_id", "sku_id"], "sku_name", SALE_KEYWORD, 1, PAGE_SIZE,
-                            where=F.col("dt") == SALE_DT)
+    with settings(spark, A.sale_settings(spark, sf_dir)):  # the sales of all months are worked out inside, once
+        return search.rank_bm25(A.sale_rows(spark, sf_dir), ["user_id", "sku_id"], "sku_name", SALE_KEYWORD, 1, PAGE_SIZE,
+                                where=F.col("dt") == SALE_DT)
 
 
 def _sale_table(spark, sf_dir) -> str:
     """The stored sale table: every month with its statistics, one month loaded from the warehouse on top."""
     root = scratch_path(spark, "sale_table")
-    A.sale_rows(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/sale")
+    _write_sale(spark, sf_dir, f"{root}/sale")
     ranking.write_statistics(spark.read.schema(SALE).parquet(f"{root}/sale"), f"{root}/sale")
     return f"{root}/sale"
 
@@ -375,7 +382,7 @@ def sale_page_keyset_q(spark, sf_dir):
 def sale_load_files_q(spark, sf_dir):
     """One month loaded in files of at most ``LOAD_ROWS`` rows: its rows, its fullest file within the bound, files no more than needed per task."""
     root = scratch_path(spark, "sale_files")
-    A.sale_rows(spark, sf_dir, SALE_DT).hint("rebalance", "dt").write.partitionBy("dt").parquet(f"{root}/warehouse")
+    _write_sale(spark, sf_dir, f"{root}/warehouse", SALE_DT)
     load_sale_day(spark, f"{root}/warehouse", f"{root}/sale", SALE_DT, max_records_per_file=LOAD_ROWS)
     files = spark.read.parquet(f"{root}/sale/dt={SALE_DT}").groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.max("n") <= LOAD_ROWS, F.lit(True)).alias("bounded"))

@@ -129,3 +129,20 @@ def test_scratch_folders_go_together(spark):
         remove_scratch(spark)
         assert not os.path.exists(a)
     assert os.path.exists(other)
+
+
+@pytest.mark.parametrize("name", ["sale_partition_scan", "sale_ranked_page", "sale_answer_ranked_json"])
+def test_tasks_of_the_sale_table_do_not_grow(spark, monkeypatch, name):
+    """All months are joined and written in partitions that follow the tables' size; the session keeps its settings."""
+    from pyspark.sql import DataFrameWriter
+    from storepulse import session
+    from storepulse.plans.catalogue import QUERIES
+    parts, task = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    seen, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(session, "PART_INPUT", 2000)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **kw: (seen.append((path, w._spark.conf.get(parts, None), w._spark.conf.get(task))), parquet(w, path, *a, **kw))[1])
+    before = spark.conf.get(parts, None), spark.conf.get(task)
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    (_, n, size), = [x for x in seen if x[0].endswith(("/warehouse", "/sale"))]
+    assert int(n) > 20 and int(size) == session.TASK_SHUFFLE
+    assert (spark.conf.get(parts, None), spark.conf.get(task)) == before
