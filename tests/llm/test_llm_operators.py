@@ -188,6 +188,37 @@ def test_passages_of_frequent_lines_and_version_chains(spark):
     assert len(got) == 6 + 11
 
 
+def test_frequent_line_makes_comparisons_in_proportion(spark, monkeypatch):
+    """200 documents share a line, some of them a passage: all passages are found, and the compared pairs don't grow with the square."""
+    ship(spark)
+    rng = np.random.default_rng(21)
+    fresh = lambda n: [f"n{rng.integers(1 << 40)}" for _ in range(n)]
+    line = [f"line{i}" for i in range(30)]
+    texts = [fresh(20) + line + fresh(60) for _ in range(200)]
+    texts += [fresh(5) + _drift(texts[9 * k + 3][10:100], rng, 1) + fresh(9) for k in range(20)]
+    pairs, stored = [], windows.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name == "links":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(windows, "stored", counted)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.source_id) for r in windows.duplicate_passages(docs).collect()}
+    assert got >= {(200 + k, 9 * k + 3) for k in range(20)} and {b for b, _ in got} == set(range(200, 220))
+    assert sum(pairs) < 20 * len(texts)
+
+
+def test_sketches_of_equal_passages_are_equal():
+    rng = np.random.default_rng(22)
+    s, before = rng.integers(0, 1 << 63, 90, dtype=np.uint64), rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+    other = np.concatenate([before, s[20:80], before])
+    here, there = (windows.sketch(v, np.array([at]), 46, [0, 17, 34], 1) for v, at in ((s, 30), (other, 60)))
+    assert here.shape == (1, 3 * 6) and (here[0, :6] == there[0, :6]).all() and set(windows.sketch(s[:9], np.array([0, 3]), 46, [0], 0)[1].tolist())
+
+
 def test_roots_are_those_of_the_compact_windows():
     v = np.random.default_rng(2).integers(0, 50, 400).astype(np.uint64)
     n = np.array([100, 3, 0, 97, 200])
