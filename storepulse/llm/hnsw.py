@@ -5,10 +5,11 @@ the layered graph of one shard: vectors enter in growing batches, each searched
 so far by all vectors of the batch at once, and are tied to diverse near neighbours in both
 directions. Blocks of vectors then query every shard of their label (each pair of shards once,
 as links have no direction). A beam that is full of links is widened until it is not, so no
-link is lost to its width; after that a sample of the block is compared with the whole shard,
-and the beam of the whole block is doubled until each of them finds RECALL of its true links and
-of its nearest vectors, linked or not, so a block without links in its sample is proven as well. A
-beam as wide as the shard ends in a direct comparison.
+link is lost to its width; before that a sample of the block is compared with the whole shard,
+and its beam is doubled until each of them finds RECALL of its true links and
+of its nearest vectors, linked or not, so a block without links in its sample is proven as well. The whole block is
+searched with that beam. A beam as wide as the shard ends in a direct comparison. A step of a search holds
+the vectors of GATHER bytes at once, whatever the beam.
 
 Every link is verified by its cosine in double precision. A task counts links and returns
 a spanning forest of those it saw, never all pairs; forests are united by ``components``.
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from storepulse.llm.common import components, forest, stored
+from storepulse.session import settings
 
 SHARD_ROWS = 8192
 BLOCK = 512
@@ -32,14 +34,31 @@ NEIGHBOURS, CAPACITY, UP, BEAM = 12, 32, 16, 32
 #: Audit: vectors of a block compared with the whole shard, their nearest vectors looked for, and the share of these
 #: and of their links that must be found for each of them.
 AUDIT, AUDIT_NEAREST, RECALL = 32, 10, 0.995
+#: Bytes of neighbours' vectors that a step of a search holds at once.
+GATHER = 16 << 20
 #: Vectors of a beam that are expanded at once, at least; an eighth of a wide beam.
 _EXPAND = 4
 #: Slack of single-precision search before the exact verification.
 _SLACK = 1e-4
 
 
+def _sims(q: np.ndarray, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Similarity of each query and its vectors ``ids``, -2 where there is none (-1); as many queries at once as GATHER holds."""
+    out = np.empty(ids.shape, np.float32)
+    step = max(1, GATHER // max(1, 4 * ids.shape[1] * x.shape[1]))
+    for a in range(0, len(q), step):
+        some = ids[a:a + step]
+        out[a:a + step] = np.where(some >= 0, np.einsum("nd,nmd->nm", q[a:a + step], x[some]), -2)
+    return out
+
+
 def _beam(q: np.ndarray, x: np.ndarray, near: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best ``width`` vectors that a search from ``start`` finds for each query: ids (-1: none) and similarities."""
+    """Best ``width`` vectors that a search from ``start`` finds for each query: ids (-1: none) and similarities; queries in
+    parts, so that their beams and the neighbours of a step stay in about GATHER bytes each."""
+    part = max(1, GATHER // (16 * (width + max(_EXPAND, width // 8) * near.shape[1])))
+    if len(q) > part:
+        both = [_beam(q[a:a + part], x, near, start[a:a + part], width) for a in range(0, len(q), part)]
+        return np.concatenate([i for i, _ in both]), np.concatenate([s for _, s in both])
     n, rows = len(q), np.arange(len(q))
     seen = np.zeros((n, len(x) + 1), bool)
     seen[:, -1] = True
@@ -49,7 +68,7 @@ def _beam(q: np.ndarray, x: np.ndarray, near: np.ndarray, start: np.ndarray, wid
     m = min(width, start.shape[1])
     first = start[:, :m]
     seen[rows[:, None], first] = True
-    sims[:, :m] = np.where(first >= 0, np.einsum("nd,nmd->nm", q, x[first]), -2)
+    sims[:, :m] = _sims(q, x, first)
     ids[:, :m], done[:, :m] = first, first < 0
     live = rows
     while len(live):
@@ -68,7 +87,8 @@ def _beam(q: np.ndarray, x: np.ndarray, near: np.ndarray, start: np.ndarray, wid
         found[:, 1:][found[:, 1:] == found[:, :-1]] = -1
         found[seen[live[:, None], found]] = -1
         seen[live[:, None], found] = True
-        s = np.where(found >= 0, np.einsum("nd,nmd->nm", q[live], x[found]), -2).astype(np.float32)
+        found = found[:, (found >= 0).any(0)]
+        s = _sims(q[live], x, found)
         all_s, all_i = np.concatenate([sims[live], s], 1), np.concatenate([ids[live], found], 1)
         all_d = np.concatenate([done[live], found < 0], 1)
         top = np.argpartition(-all_s, width - 1, axis=1)[:, :width]
@@ -178,26 +198,31 @@ def linked(graph: Graph, q: np.ndarray, exact_x: np.ndarray, exact_q: np.ndarray
     sims = q[some] @ graph.x.T
     true, k = (sims >= floor).sum(1), min(AUDIT_NEAREST, n)
     least = np.partition(sims, n - k, axis=1)[:, n - k] - _SLACK / 10  # of the k nearest, linked or not
-    width = 2 * BEAM
-    while True:
-        todo, out, w, nearest = np.arange(len(q)), [], min(width, n), np.full(len(some), k)
+
+    def beam(todo: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        out, w, first = [], min(width, n), None
         while len(todo):
             if w >= n:
                 i, j = np.nonzero(q[todo] @ graph.x.T >= floor)
                 out.append((todo[i], j))
                 break
             ids, sims = graph.search(q[todo], w)
-            if len(todo) == len(q):
-                nearest = np.minimum((sims[some] >= least[:, None]).sum(1), k)
+            first = sims if first is None else first
             full = (sims >= floor).all(1)
             i, c = np.nonzero((sims >= floor) & ~full[:, None])
             out.append((todo[i], ids[i, c]))
             todo, w = todo[full], min(4 * w, n)
-        i, j = np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+        return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out]), first
+
+    width = 2 * BEAM
+    while width < n:  # a row's search is the same alone and in its block: the sample is widened, then the block is searched once
+        i, _, first = beam(some, width)
         found = np.bincount(i, minlength=len(q))[some]
-        if width >= n or ((found >= RECALL * true) & (nearest >= RECALL * k)).all():  # the worst row decides
+        nearest = np.minimum((first >= least[:, None]).sum(1), k)
+        if ((found >= RECALL * true) & (nearest >= RECALL * k)).all():  # the worst row decides
             break
         width *= 2
+    i, j, _ = beam(np.arange(len(q)), width)
     ok = _exact(exact_q, exact_x, i, j, threshold)
     return i[ok], j[ok]
 
@@ -277,7 +302,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                 n = np.concatenate([n_q[there], n_x[other], np.zeros(len(edges_a), np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array([r["label"]] * len(src), pa.string()), pa.array(src), pa.array(dst), pa.array(n)], names=["label", "a", "b", "n"])
 
-    found = stored(jobs.repartition("label", "dim", "shard", "of").mapInArrow(query, "label string, a long, b long, n long"), "links")
+    # a row is two shards and a graph: a worker holds one at a time
+    with settings(vectors.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+        found = stored(jobs.repartition("label", "dim", "shard", "of").mapInArrow(query, "label string, a long, b long, n long"), "links")
     counts = found.where("a = b").groupBy("label", F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     own = good.join(reps, ["label", "key"]).select("id", F.col("rep"))
     edges = found.where("a <> b").select("a", "b").unionByName(own.select(F.col("id").alias("a"), F.col("rep").alias("b")))

@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -372,6 +373,28 @@ def test_audit_without_links_in_the_sample():
         assert len(found & set(zip(*(a.tolist() for a in true)))) >= 0.999 * len(true[0]) - 1 and {i for i, _ in found} >= set(rare)
 
 
+def test_wide_beam_in_bounded_memory():
+    """A beam of 1,024 for a whole block finds the same in bounded memory; a block is searched once, after its sample."""
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph, q = hnsw.Graph.build(x), x[:hnsw.BLOCK]
+    tracemalloc.start()
+    ids, sims = graph.search(q, 1024)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    want = np.sort(q @ x.T, axis=1)[:, -10:]
+    assert np.mean(np.abs(np.sort(sims, axis=1)[:, -10:] - want) < 1e-5) > 0.99 and (ids >= -1).all()
+    rows, search = [], hnsw.Graph.search
+    hnsw.Graph.search = lambda self, q, w: rows.append(len(q)) or search(self, q, w)
+    try:
+        hnsw.linked(graph, q, x.astype(float), q.astype(float), 0.93)
+    finally:
+        hnsw.Graph.search = search
+    assert rows.count(hnsw.BLOCK) <= 1
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 1), (7, 7), (8, None)], "a long, b long")
     assert {r.node: r.component for r in components(edges).collect()} == {1: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
