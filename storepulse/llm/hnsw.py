@@ -35,7 +35,7 @@ NEIGHBOURS, CAPACITY, UP, BEAM = 12, 32, 16, 32
 #: and of their links that must be found for each of them.
 AUDIT, AUDIT_NEAREST, RECALL = 32, 10, 0.995
 #: Bytes of neighbours' vectors that a step of a search holds at once.
-GATHER = 16 << 20
+GATHER = 4 << 20
 #: Vectors of a beam that are expanded at once, at least; an eighth of a wide beam.
 _EXPAND = 4
 #: Slack of single-precision search before the exact verification.
@@ -48,7 +48,7 @@ def _sims(q: np.ndarray, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
     step = max(1, GATHER // max(1, 4 * ids.shape[1] * x.shape[1]))
     for a in range(0, len(q), step):
         some = ids[a:a + step]
-        out[a:a + step] = np.where(some >= 0, np.einsum("nd,nmd->nm", q[a:a + step], x[some]), -2)
+        out[a:a + step] = np.where(some >= 0, np.matmul(x[some], q[a:a + step, :, None])[:, :, 0], -2)
     return out
 
 
@@ -101,7 +101,7 @@ def _diverse(ids: np.ndarray, sims: np.ndarray, x: np.ndarray, most: int) -> np.
     order = np.argsort(-sims, axis=1, kind="stable")[:, :3 * most]
     ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
     v = x[ids]
-    among = np.einsum("nad,nbd->nab", v, v)
+    among = np.matmul(v, v.transpose(0, 2, 1))
     chosen = np.zeros(ids.shape, bool)
     for k in range(ids.shape[1]):
         worst = np.where(chosen, among[:, k], -2).max(1)
@@ -128,7 +128,7 @@ class Graph:
     @staticmethod
     def _layer(x: np.ndarray) -> np.ndarray:
         n = len(x)
-        near = np.full((n + 1, CAPACITY), -1)  # the last row is the neighbours of "none"
+        near = np.full((n + 1, CAPACITY), -1, np.int32)  # the last row is the neighbours of "none"
         size = min(n, NEIGHBOURS + 1)
         sims = x[:size] @ x[:size].T
         np.fill_diagonal(sims, -2)
@@ -184,7 +184,7 @@ class Graph:
     @classmethod
     def load(cls, data: bytes, x: np.ndarray) -> Graph:
         z = np.load(io.BytesIO(data))
-        return cls(x, [(z[f"m{i}"].astype(np.int64), z[f"g{i}"].astype(np.int64)) for i in range(int(z["n"]))])
+        return cls(x, [(z[f"m{i}"].astype(np.int64), z[f"g{i}"]) for i in range(int(z["n"]))])
 
 
 def _exact(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray, threshold: float) -> np.ndarray:
