@@ -212,6 +212,46 @@ def test_frequent_line_makes_comparisons_in_proportion(spark, monkeypatch):
     assert sum(pairs) < 20 * len(texts)
 
 
+def test_cover_holds_the_same_places_with_few_spans():
+    rng = np.random.default_rng(23)
+    for _ in range(300):
+        spans = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 20), rng.integers(5, 15, 20))]
+        got = windows.cover(spans)
+        assert set(got) <= set(spans) and {i for a, b in got for i in range(a, b)} == {i for a, b in spans for i in range(a, b)}
+        assert all(c[0] > a[1] for a, c in zip(got, got[2:]))
+    assert windows.cover([]) == [] and windows.cover([(0, 9), (9, 12), (2, 9)]) == [(0, 9), (9, 12)]
+
+
+def test_rows_follow_the_words_not_the_sources(spark):
+    """Texts that go on in one line, each in another number of copies of it: every word, class and source is kept, in rows in proportion to the words."""
+    ship(spark)
+    rng = np.random.default_rng(24)
+    fresh = lambda n: [f"n{rng.integers(1 << 40)}" for _ in range(n)]
+    line = [f"line{i}" for i in range(17)]
+    texts = [fresh(30) + line * (4 + k % 5) + fresh(30) for k in range(20)] + [fresh(10) + line * 60 + fresh(10) for _ in range(20)]
+    passage = [f"p{i}" for i in range(150)]
+    texts += [fresh(9) + passage[:80], fresh(9) + passage[:60] + fresh(20), fresh(9) + passage + fresh(9), fresh(200)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = windows.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    of, links, held, n = {}, {}, {}, 0
+    for r in found.collect():
+        of.setdefault(r.doc_id, set()).update(range(r.from_word, r.to_word))
+        links.setdefault(r.doc_id, set()).add(r.source_id)
+    got = windows.representatives(found).collect()
+    for r in got:
+        assert r.to_word - r.from_word >= 50 and r.source_id in links[r.doc_id] and r.n_sources == len(links[r.doc_id])
+        held.setdefault(r.doc_id, set()).update(range(r.from_word, r.to_word))
+    assert held == of and {r.doc_id: r.component_id for r in got} == {i: 0 if i < 40 else 40 for i in of}
+    assert {r.doc_id for r in got} | {r.source_id for r in got} == set(of) | {x for y in links.values() for x in y} == set(range(43))
+    s = [minhash.shingles(minhash.word_hashes(t), 5) for _, t in rows]
+    for j in range(len(rows)):
+        every = {w for i in range(j) for a, b in windows.passages(s[i], s[j], 46, 80) for w in range(a, b + 4)}
+        assert len(held.get(j, set())) >= 0.9 * len(every) and held.get(j, set()) <= every
+    words = sum(len(t) for t in texts)
+    assert len(got) <= 2 * words / 50 + len(texts)
+    assert windows.representatives(found.limit(0)).count() == 0
+
+
 def test_sketches_of_equal_passages_are_equal():
     rng = np.random.default_rng(22)
     s, before = rng.integers(0, 1 << 63, 90, dtype=np.uint64), rng.integers(0, 1 << 63, 50, dtype=np.uint64)
