@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from storepulse.llm.common import record_batch, slices
+from storepulse.llm.common import record_batch, slices, worker_tables
 
 #: Bounds of a worker's tables, in entries; a full table is started anew.
 MAX_WORDS = 500_000
@@ -212,14 +212,12 @@ class ChunkCodec:
         return b"".join([table[i] for i in ids if i < n]).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, ChunkCodec] = {}
-
-
 def codec(path: str) -> ChunkCodec:
     """The worker's codec of a vocabulary file."""
-    if path not in _CODECS:
-        _CODECS[path] = ChunkCodec(path)
-    return _CODECS[path]
+    own = worker_tables(f"bpe {path}")
+    if not own:
+        own["codec"] = ChunkCodec(path)
+    return own["codec"]
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -19,14 +19,15 @@ import re
 import sys
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from storepulse.llm.common import fresh, slices
+from storepulse.llm.common import fresh, ranges, worker_tables
 
 #: The documented bound of the sample: labelled rows of each language.
 FIT_ROWS = 1000
@@ -44,8 +45,6 @@ _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 _ASTRAL_NUMERIC = str.maketrans({c: " " for c in _SIGNS if c >= "\U00010000"})
 _WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-#: A worker's scores of words by model, kept over its tasks.
-_WORDS_OF: dict[str, dict[str, np.ndarray]] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,14 +60,15 @@ def words_of(text: str | None) -> list[str]:
 class Model:
     langs: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
+    words: dict[str, int]  # row of word_values
+    word_values: np.ndarray
     grams: dict[str, int]  # row of values
     values: np.ndarray
 
     def of_word(self, word: str) -> np.ndarray:
         known = self.words.get(word)
         if known is not None:
-            return known
+            return self.word_values[known]
         marked = f"<{word}>"
         for n in range(MAX_GRAM, 0, -1):
             found = [g for g in [self.grams.get(marked[i:i + n]) for i in range(len(marked) - n + 1)] if g is not None]
@@ -77,6 +77,31 @@ class Model:
         return np.zeros(len(self.langs))
 
 
+class Scores:
+    """A worker's scores of words, kept over its tasks: those of the model's words, and of up to _MEMO others."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._renew(_MEMO)
+
+    def _renew(self, room: int) -> None:
+        m = self.model
+        self.at = dict(m.words)
+        self.values = np.empty((len(m.words) + room, len(m.langs)))
+        self.values[:len(m.words)] = m.word_values
+
+    def of(self, words: Iterable[str]) -> np.ndarray:
+        """A row for each of ``words``, which are distinct."""
+        new = [w for w in words if w not in self.at]
+        if len(self.at) + len(new) > len(self.values):
+            new = [w for w in words if w not in self.model.words]
+            self._renew(max(_MEMO, len(new)))
+        for w in new:
+            self.values[len(self.at)] = self.model.of_word(w)
+            self.at[w] = len(self.at)
+        return self.values.take([self.at[w] for w in words], 0)
+
+
 def fit(rows: Iterator[tuple[str | None, str]]) -> Model:
     """A model of (text, language) rows; empty rows give a model without languages."""
     words: dict[str, Counter] = defaultdict(Counter)
@@ -96,24 +121,27 @@ def fit(rows: Iterator[tuple[str | None, str]]) -> Model:
             for k in range(1, MAX_GRAM + 1):
                 for i in range(len(marked) - k + 1):
                     orders[k][lang][marked[i:i + k]] += weight
-    grams: dict[str, np.ndarray] = {}
+    grams: dict[str, int] = {}
+    values = []
     for k in range(1, MAX_GRAM + 1):
         of = Counter()
         for lang in langs:
             of.update(orders[k][lang])
-        grams.update(_log_shares(langs, orders[k], sorted(of)))
+        found = sorted(of)
+        grams.update(zip(found, range(len(grams), len(grams) + len(found))))
+        values.append(_log_shares(langs, orders[k], found))
     prior = np.log(np.array([docs[x] for x in langs], float) / max(1, sum(docs.values()))) if langs else np.zeros(0)
-    values = np.array(list(grams.values())).reshape(len(grams), len(langs))
-    return Model(langs, prior, _log_shares(langs, words, ranked), dict(zip(grams, range(len(grams)))), values)
+    return Model(langs, prior, dict(zip(ranked, range(len(ranked)))), _log_shares(langs, words, ranked), grams, np.concatenate(values))
 
 
-def _log_shares(langs: list[str], counts: dict[str, Counter], keys: list[str]) -> dict[str, np.ndarray]:
+def _log_shares(langs: list[str], counts: dict[str, Counter], keys: list[str]) -> np.ndarray:
+    """A row of values for each of ``keys``."""
     if not keys:
-        return {}
+        return np.zeros((0, len(langs)))
     n = np.array([[counts[lang][k] for k in keys] for lang in langs], float) + SMOOTH
     shares = np.log(n / n.sum(1, keepdims=True))
     shares -= shares.mean(0)  # what all languages share says nothing
-    return dict(zip(keys, shares.T))
+    return np.ascontiguousarray(shares.T)
 
 
 def sample(docs: DataFrame, use: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -128,7 +156,8 @@ def sample(docs: DataFrame, use: Column, id_col: str, text_col: str, lang_col: s
     keys = rows.select("lang", "id", "h").distinct().withColumn("part", F.pmod(F.xxhash64("h", "id"), F.lit(PARTS)))
     for group in (["lang", "part"], ["lang"]):  # the limit applies before each shuffle
         keys = keys.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy(*best))).where(F.col("k") <= FIT_ROWS).drop("k")
-    return rows.join(keys.drop("part"), ["lang", "id", "h"], "left_semi").dropDuplicates(["lang", "id", "h"]).select("text", "lang")
+    keys = F.broadcast(keys.drop("part"))  # FIT_ROWS of each language; no text is shuffled to find them
+    return rows.join(keys, ["lang", "id", "h"], "left_semi").dropDuplicates(["lang", "id", "h"]).select("text", "lang")
 
 
 def held_out(id_col: Column) -> Column:
@@ -154,31 +183,30 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     if set(made).intersection(keep):
         raise ValueError(f"rename columns named as the results first: {sorted(set(made).intersection(keep))}")
     fields = [f for f in docs.schema.fields if f.name in keep]
-    kept = docs.select([F.col(f.name) for f in fields] + [docs[text_col].alias(body), held_out(docs[id_col]).alias("held_out")])
+    if text_col in keep:
+        body, texts = text_col, []  # a text goes to Python once
+    else:
+        texts = [docs[text_col].alias(body)]
+    kept = docs.select([F.col(f.name) for f in fields] + texts + [held_out(docs[id_col]).alias("held_out")])
     out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["held_out boolean", "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        if mark not in _WORDS_OF:
-            _WORDS_OF.clear()
-            _WORDS_OF[mark] = {}
-        memo = _WORDS_OF[mark]
+        own = worker_tables(f"langid {mark}")
+        if not own:
+            own["scores"] = Scores(m)
         for batch in batches:
-            texts = batch.column(body).to_pylist()
-            for a, b in slices(texts):
+            texts = batch.column(body)
+            for a, b in ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                 langs, scores = [], []
-                for text in texts[a:b]:
+                for text in texts.slice(a, b - a).to_pylist():
                     words = words_of(text)
                     if not words or not m.langs:
                         langs.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    if len(memo) > _MEMO:
-                        memo.clear()
                     counts = Counter(words)
-                    for w in [w for w in counts if w not in memo]:
-                        memo[w] = m.of_word(w)
-                    s = m.prior + np.array(list(counts.values()), float) @ np.array([memo[w] for w in counts])
+                    s = m.prior + np.array(list(counts.values()), float) @ own["scores"].of(counts)
                     p = np.exp(s - s.max())
                     best = int(s.argmax())
                     langs.append(m.langs[best])

@@ -11,11 +11,12 @@ from collections import Counter
 import numpy as np
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from storepulse.llm import bpe, decontam, hnsw, langid, license, lmscore, minhash, rans, tokencount, windows
+from storepulse.llm import bpe, common, decontam, hnsw, langid, license, lmscore, minhash, rans, tokencount, windows
 from storepulse.llm.common import components, ship
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -450,3 +451,32 @@ def test_pipeline_stages(spark):
         before, docs = docs.count(), stage(spark, docs, sf_dir)
         assert docs.columns == columns and 0 < docs.count() <= before
     assert pipeline.run(spark, sf_dir).count() == docs.count()
+
+
+def test_language_sends_a_text_to_python_once_and_shuffles_none_for_its_sample(spark):
+    docs = spark.createDataFrame([(i, f"ein kleiner text {i}" if i % 2 else f"some small text {i}", "de" if i % 2 else "en") for i in range(40)],
+                                 "doc_id long, text string, lang string")
+    sampled = langid.sample(docs, ~langid.held_out(docs["doc_id"]), "doc_id", "text", "lang")
+    plan = sampled._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+    assert sorted(sampled.collect()) == sorted((r.text, r.lang) for r in docs.where(~langid.held_out(docs["doc_id"])).collect())
+    whole, narrow = langid.identify(docs, keep=docs.columns), langid.identify(docs)
+    assert "text_to_read" not in whole._jdf.queryExecution().analyzed().toString()
+    assert sorted(whole.select("doc_id", "lang_pred", "score").collect()) == sorted(narrow.select("doc_id", "lang_pred", "score").collect())
+
+
+def test_scores_of_more_words_than_there_is_room_for(monkeypatch):
+    monkeypatch.setattr(langid, "_MEMO", 3)
+    model = langid.fit(iter([("the small house", "en"), ("das kleine haus", "de")]))
+    scores = langid.Scores(model)
+    for words in (["the", "hose", "kleiner"], ["houses", "hose", "smaller", "das"], [f"w{c}use" for c in "abcdefgh"], ["haus", "the"]):
+        assert np.array_equal(scores.of(words), np.array([model.of_word(w) for w in words]))
+        assert len(scores.at) <= len(scores.values)
+
+
+def test_a_worker_keeps_tables_for_one_operator_at_a_time():
+    first = common.worker_tables("test first")
+    first["table"] = 1
+    assert common.worker_tables("test first") is first
+    assert common.worker_tables("test second") == {}
+    assert common.worker_tables("test first") == {}
