@@ -480,3 +480,26 @@ def test_a_worker_keeps_tables_for_one_operator_at_a_time():
     assert common.worker_tables("test first") is first
     assert common.worker_tables("test second") == {}
     assert common.worker_tables("test first") == {}
+
+
+def test_first_document_of_a_root_is_found_without_a_sort_also_where_ids_repeat(spark):
+    passage, other = " ".join(f"p{i}" for i in range(80)), " ".join(f"q{i}" for i in range(80))
+    texts = [(3, f"{passage} {' '.join(f'a{i}' for i in range(30))}"), (3, f"{' '.join(f'b{i}' for i in range(30))} {passage}"),
+             (3, other), (9, f"{passage} c1 c2 c3"), (9, f"d1 d2 {other}")]
+    for part in (texts, texts[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string").coalesce(1)
+        h = {r.text: r.h for r in docs.select("text", F.hash("text").alias("h")).collect()}
+        early, late = sorted(h[t] for i, t in texts[:2])
+        got = {(r.doc_id, r.h, r.source_id) for r in windows.duplicate_passages(docs).collect()}
+        assert got == {(3, late, 3), (9, h[texts[3][1]], 3), (9, h[texts[4][1]], 3)}
+    roots = spark.createDataFrame([(1, 5, 7, 0), (1, 4, 2, 0), (2, 4, 2, 3), (2, 4, 2, 9), (3, 6, 8, 0), (3, 6, 1, 0)], "key long, id long, h int, at int")
+    firsts = windows._firsts(roots)
+    assert sorted((r.key, r.id_a) for r in firsts.collect()) == [(1, 4), (3, 6)]
+
+
+def test_shingles_of_many_texts_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 50, n).astype(np.uint32).tobytes() for n in (0, 3, 5, 400, 4, 70_000, 12)]
+    each = [minhash.shingles(np.frombuffer(t, np.uint32).astype(np.uint64), 5) for t in texts]
+    for a, b in zip(each, windows._shingled(texts, 5), strict=True):
+        assert np.array_equal(a, b)
