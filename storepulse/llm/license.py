@@ -201,14 +201,17 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_
                                               pa.array([x[2] for x in own], pa.float64())], names=["id", "path", "license", "score", "part"])
 
     scanned = stored(plain.mapInArrow(run, "id long, path string, license string, score double, part double"), "scanned")
-    marked = scanned.withColumn("row", F.monotonically_increasing_id())
-    marked = stored(marked.withColumn("dirs", F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1)), "marked")
-    speaks = marked.where((F.col("part") >= 0.5) & F.col("path").isNotNull()).groupBy(F.array_join("dirs", "/").alias("dir")).agg(
+    parts = F.split("path", "/")
+    marked = scanned.withColumn("dir", F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"))
+    speaks = marked.where((F.col("part") >= 0.5) & F.col("path").isNotNull()).groupBy("dir").agg(
         F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("best"))
-    without = marked.where(F.col("license").isNull() & F.col("path").isNotNull())
-    above = without.select("row", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("dirs")), lambda k: F.array_join(F.slice("dirs", 1, k), "/"))).alias("depth", "dir"))
-    nearest = above.join(speaks, "dir").groupBy("row").agg(F.max(F.struct("depth", "best")).alias("near"))
-    out = marked.join(nearest, "row", "left")
+    orphan = F.col("license").isNull() & F.col("path").isNotNull()
+    # Neither side of these joins is bounded, and a stored table is far smaller than its rows: no broadcast by its size.
+    dirs = marked.where(orphan).select("dir").distinct().withColumn("up", F.split("dir", "/"))
+    above = dirs.select(F.col("dir").alias("own"), F.posexplode(F.transform(F.sequence(F.lit(0), F.size("up")), lambda k: F.array_join(F.slice("up", 1, k), "/"))).alias("depth", "dir"))
+    nearest = above.join(speaks.hint("merge"), "dir").groupBy(F.col("own").alias("dir")).agg(F.max(F.struct("depth", "best")).alias("near"))
+    out = marked.where(orphan).join(nearest.hint("merge"), "dir", "left")
+    out = out.unionByName(marked.where(~orphan), allowMissingColumns=True)
     from_above = F.col("license").isNull() & F.col("near").isNotNull()
     return out.select(
         F.col("id").alias(id_col), F.when(from_above, F.col("near.best.license")).otherwise(F.col("license")).alias("license"),

@@ -503,3 +503,19 @@ def test_shingles_of_many_texts_at_once(monkeypatch):
     each = [minhash.shingles(np.frombuffer(t, np.uint32).astype(np.uint64), 5) for t in texts]
     for a, b in zip(each, windows._shingled(texts, 5), strict=True):
         assert np.array_equal(a, b)
+
+
+def test_licences_of_many_files_are_joined_without_a_broadcast(spark):
+    """Files by their folders: what an ancestor says goes to every folder once, and no side of a join whose rows grow with the files is sent to the driver."""
+    notice = "Released under the MIT License."
+    rows = [(0, notice, "top/LICENSE"), (1, "Licensed under the ISC License.", "top/a/LICENSE"), (2, None, "top/a/none"), (3, notice, None), (4, "x", None),
+            (5, "x", "elsewhere/f"), (6, "x", "f"), (7, "x", "/f"), (8, "x", ""), (9, "Licensed under the ISC License.", "/LICENSE")]
+    rows += [(10 + i, "prose", f"top/{'ab'[i % 2]}/{i % 7}/f{i}") for i in range(300)] + [(10, "prose", "top/b/0/f0")]
+    out = license.scan(spark.createDataFrame(rows, "doc_id long, text string, path string"))
+    got = sorted((r.doc_id, r.license, r.found, r.score) for r in out.collect())
+    want = [(0, "MIT", "file", 1.0), (1, "ISC", "file", 1.0), (2, "ISC", "inherited", 1.0), (3, "MIT", "file", 1.0), (4, None, "none", 0.0), *[(k, "ISC", "inherited", 1.0) for k in (5, 6, 7, 8)],
+            (9, "ISC", "file", 1.0)]
+    want += [(10 + i, "MIT" if i % 2 else "ISC", "inherited", 1.0) for i in range(300)] + [(10, "MIT", "inherited", 1.0)]
+    assert got == sorted(want)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
