@@ -519,3 +519,64 @@ def test_licences_of_many_files_are_joined_without_a_broadcast(spark):
     assert got == sorted(want)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_every_pair_of_a_group_at_once(monkeypatch):
+    """Passages of all pairs from one index, against those of each pair: lines in any order, versions, repeated words, two sides, two clusters, few places at once."""
+    rng = np.random.default_rng(31)
+    lines = [[f"l{k}w{i}" for i in range(rng.integers(3, 40))] for k in range(9)] + [["again"] * 30]
+    texts = [[w for k in rng.integers(0, 10, 12) for w in lines[k]] for _ in range(24)] + [["short"] * 12, []]
+    version = [f"v{i}" for i in range(150)]
+    for _ in range(12):
+        texts.append([f"n{rng.integers(1 << 40)}" for _ in range(7)] + version)
+        version = _drift(version, rng, 2)
+        version = version[:60] + version[61:] if rng.random() < 0.3 else version
+    of = [minhash.shingles(minhash.word_hashes(" ".join(t)), 5) for t in texts]
+    clusters, blocks = np.arange(len(of)) // 30, np.arange(len(of)) % 2
+    walked, chained = [], windows._chained
+    monkeypatch.setattr(windows, "_chained", lambda *a: walked.append(1) or chained(*a))
+    every = {}
+    for b in range(len(of)):
+        for a in range(b):
+            every[b, a] = windows.passages(of[a], of[b], 46, 80)
+    assert sum(map(bool, every.values())) > 60
+    for most in (1 << 20, 300):
+        monkeypatch.setattr(windows, "ENTRIES", most)
+        for salt, side in ((np.zeros(len(of), int), None), (clusters, None), (np.zeros(len(of), int), blocks)):
+            got = {}
+            for b, a, s, e in windows.every_pair(of, salt, side, 46, 80).tolist():
+                got.setdefault((b, a), []).append((s, e))
+            want = {(b, a): v for (b, a), v in every.items() if v and salt[a] == salt[b] and (side is None or side[a] != side[b])}
+            assert {k: sorted(v) for k, v in got.items()} == want
+    walked.clear()
+    line = [f"x{i}" for i in range(30)]
+    same = [minhash.shingles(minhash.word_hashes(" ".join([f"n{k}-{i}" for i in range(9)] + line * (1 + (k % 10 == 0)) + [f"m{k}-{i}" for i in range(60)])), 5) for k in range(200)]
+    assert {(b, a) for b, a, _, _ in windows.every_pair(same, np.zeros(200, int), None, 46, 80).tolist()} == {(b, a) for b in range(0, 200, 10) for a in range(0, b, 10)}
+    assert len(walked) < 20 * 200  # documents that share a line only are not followed pair by pair
+    assert len(windows.every_pair([], np.zeros(0, int), None, 46, 80)) == 0
+
+
+def test_passages_of_every_source_of_a_hot_root(spark, monkeypatch):
+    """A passage stands in 60 documents; of what some of them say behind it, each is repeated from another one than the first, and by less than a run's words."""
+    ship(spark)
+    rng = np.random.default_rng(33)
+    fresh = lambda n: [f"n{rng.integers(1 << 40)}" for _ in range(n)]
+    passage = [f"p{i}" for i in range(70)]
+    ends = [[f"e{k}-{i}" for i in range(9)] for k in range(20)]
+    texts = [fresh(30) + passage + (ends[k % 20] if k % 3 else []) + fresh(30) for k in range(60)] + [fresh(90) for _ in range(5)]
+    rows = [(int(i), " ".join(t)) for i, t in zip(rng.permutation(len(texts)), texts)]
+    s = {i: minhash.shingles(minhash.word_hashes(t), 5) for i, t in rows}
+    want = {(j, i) for j in s for i in range(j) if windows.passages(s[i], s[j], 46, 80)}
+    docs = spark.createDataFrame(rows + rows[:9], "doc_id long, text string").repartition(5)
+    for block in (1024, 16):  # one bucket, and blocks that meet in pairs
+        monkeypatch.setattr(windows, "BLOCK", block)
+        found = windows.duplicate_passages(docs)
+        got, words = set(), {}
+        for r in found.collect():
+            got.add((r.doc_id, r.source_id))
+            words.setdefault(r.doc_id, set()).update(range(r.from_word, r.to_word))
+        assert got == want and len(want) == 60 * 59 // 2
+        for j in words:
+            assert words[j] == {w for i in range(j) for a, b in windows.passages(s[i], s[j], 46, 80) for w in range(a, b + 4)}
+        each, few = (sorted(map(tuple, windows.representatives(f).collect())) for f in (found, windows.duplicate_passages(docs, every_source=False)))
+        assert each == few and {r[0]: r[5] for r in few if r[5]} == {j: sum(b == j for b, _ in want) for j in words}
