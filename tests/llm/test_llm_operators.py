@@ -580,3 +580,22 @@ def test_passages_of_every_source_of_a_hot_root(spark, monkeypatch):
             assert words[j] == {w for i in range(j) for a, b in windows.passages(s[i], s[j], 46, 80) for w in range(a, b + 4)}
         each, few = (sorted(map(tuple, windows.representatives(f).collect())) for f in (found, windows.duplicate_passages(docs, every_source=False)))
         assert each == few and {r[0]: r[5] for r in few if r[5]} == {j: sum(b == j for b, _ in want) for j in words}
+
+
+def test_pipeline_cuts_what_any_earlier_document_has(spark):
+    """40 documents share a passage; what some say behind it stands in another one than the first, and is too short for a run of its own."""
+    import corpus_pipeline
+    rng = np.random.default_rng(35)
+    fresh = lambda n: [f"n{rng.integers(1 << 40)}" for _ in range(n)]
+    passage, ends = [f"p{i}" for i in range(60)], [[f"e{k}-{i}" for i in range(8)] for k in range(7)]
+    parts = [(fresh(30), (ends[k % 7] if k % 4 else []), fresh(30)) for k in range(40)]
+    texts = [" ".join(a + passage + e + b) for a, e, b in parts]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.passages(spark, docs.repartition(3), "").collect()}
+    s, want = [minhash.shingles(minhash.word_hashes(t), 5) for t in texts], {}
+    for j, t in enumerate(texts):
+        gone = {w for i in range(j) for a, b in windows.passages(s[i], s[j], 46, 80) for w in range(a, b + 4)}
+        want[j] = " ".join(w for k, w in enumerate(t.split()) if k not in gone)
+        assert not j or len(gone) >= 60
+    assert got == {j: (t, len(t)) for j, t in want.items()}
+    assert want[37] == " ".join(parts[37][0] + parts[37][2])
